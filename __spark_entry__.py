@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,25 +34,25 @@ def _shown(reporting: DataFrame) -> DataFrame:
 
 
 def _exported(spark: SparkSession, folder: str) -> DataFrame:
-    reporting = retail.reporting(spark, folder)
+    reporting = _view(spark, folder)
     path = sf.export_csv(reporting, shared_folder(spark, "sales_reporting_csv"))
     return sf.read_reporting_csv(spark, path, schema_of(reporting))
 
 
 def _mart(spark: SparkSession, folder: str) -> DataFrame:
-    reporting = retail.reporting(spark, folder)
+    reporting = _view(spark, folder)
     path = sf.write_mart(reporting, shared_folder(spark, "sales_mart"))
     return sf.read_mart(spark, path, schema_of(reporting))
 
 
 def _summary_mart(spark: SparkSession, folder: str) -> DataFrame:
-    cuboid = sf.base_cuboid(retail.reporting(spark, folder))
+    cuboid = sf.base_cuboid(_view(spark, folder))
     path = sf.write_mart(cuboid, shared_folder(spark, "sales_summary"))
     return sf.read_mart(spark, path, schema_of(cuboid))
 
 
 def _sql_view(spark: SparkSession, folder: str) -> DataFrame:
-    sf.register_view(retail.reporting(spark, folder), "sales_reporting")
+    sf.register_view(_view(spark, folder), "sales_reporting")
     return spark.sql(
         """
         SELECT Region, Category, CAST(ROUND(SUM(SaleAmount), 2) AS DOUBLE) AS TotalSales
@@ -97,8 +98,14 @@ def _orphans(spark: SparkSession, folder: str) -> DataFrame:
     return fact.unionByName(documents)
 
 
+@lru_cache(maxsize=8)
+def _view(spark: SparkSession, folder: str) -> DataFrame:
+    """The reporting view of a folder: the definition is kept, no data."""
+    return retail.reporting(spark, folder)
+
+
 def _on(query: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, folder: query(retail.reporting(spark, folder))
+    return lambda spark, folder: query(_view(spark, folder))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -111,7 +118,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "export_reporting": lambda spark, folder: _shown(_exported(spark, folder)),
         "csv_roundtrip": lambda spark, folder: sf.rollup_levels(_exported(spark, folder)),
         "mart_drilldown": lambda spark, folder: sf.drill_levels(_mart(spark, folder), YEAR),
-        "mart_latest": lambda spark, folder: sf.drill_levels(_mart(spark, folder)),
+        "mart_latest": lambda spark, folder: sf.drill_levels(
+            sf.restrict_latest(_mart(spark, folder))
+        ),
         "summary_mart_rollup": lambda spark, folder: sf.rollup_levels(_summary_mart(spark, folder)),
         "orphan_facts": _orphans,
         "duplicate_keys": lambda spark, folder: sf.duplicate_keys(
@@ -146,7 +155,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "PeriodLabel", "TotalSales"
         )),
         # ranking and findings
-        "strongest_month": _on(lambda df: sf.strongest(sf.restrict_latest(df), "YearMonth")),
+        "strongest_month": _on(sf.strongest_period),
         "strongest_year": _on(lambda df: sf.strongest(df, "SalesYear")),
         "headline_findings": _on(lambda df: sf.headline_findings(df, ("Region", REGION), dice)),
         "top_bottom": _on(sf.top_bottom),

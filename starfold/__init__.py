@@ -7,7 +7,7 @@ from starfold.operators.checks import (
 from starfold.operators.cube import (
     against_average, base_cuboid, compare_members, cube_by, dice_by, drill_at, drill_levels,
     grand_total, latest_member, latest_value, level_rows, restrict, restrict_latest, rollup_at,
-    rollup_levels, slice_by, total_by, trend_by, with_period_label,
+    rollup_levels, slice_by, strongest_period, total_by, trend_by, with_period_label,
 )
 from starfold.operators.findings import headline_findings
 from starfold.operators.profile import (

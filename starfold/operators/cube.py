@@ -201,12 +201,22 @@ def _path(member: Any, spec: CubeSpec) -> tuple[Any, ...]:
     return path
 
 
-def _on_path(df: DataFrame, member: Any, spec: CubeSpec) -> tuple[DataFrame, int]:
-    """Detail under a path of members, and the length of the path; no member means the latest."""
-    if member is None:
-        return restrict_latest(df, spec), 1
-    path = _path(member, spec)
-    return restrict(df, dict(zip(spec.hierarchy, path)), spec), len(path)
+def _totals_under(df: DataFrame, member: Any, spec: CubeSpec) -> tuple[DataFrame, int]:
+    """Totals of the finest level under a path of members, and the length of the path.
+
+    With no member the latest one is taken from the totals themselves. Both sides of that join
+    need the same columns of the same aggregation, so its shuffle is made once and read twice, and
+    the facts are scanned once.
+    """
+    columns = spec.hierarchy
+    if member is not None:
+        path = _path(member, spec)
+        return _totals(restrict(df, dict(zip(columns, path)), spec), columns, spec), len(path)
+    top = col(columns[0])
+    totals = _totals(df.filter(top.isNotNull()), columns, spec)
+    latest = totals.agg(F.max(F.struct(top.alias("top"), F.col(_SUM)))["top"].alias("__latest"))
+    # One row.
+    return totals.join(F.broadcast(latest), top == F.col("__latest")).drop("__latest"), 1
 
 
 def drill_levels(df: DataFrame, member: Any = None, spec: CubeSpec = SALES) -> DataFrame:
@@ -214,14 +224,14 @@ def drill_levels(df: DataFrame, member: Any = None, spec: CubeSpec = SALES) -> D
 
     ``member`` is a top-level member, a path such as ``(2025, 1)``, or ``None`` for the latest
     top-level member. All levels come from one aggregation by grouping sets. No row if the member
-    does not occur.
+    does not occur. On a mart partitioned by the top level, pass ``restrict_latest(mart)`` for the
+    latest member: only its partition is then read.
     """
-    detail, fixed = _on_path(df, member, spec)
+    totals, fixed = _totals_under(df, member, spec)
     columns = spec.hierarchy
     prefixes = range(fixed, len(columns) + 1)
     expanded = (
-        _totals(detail, columns, spec)
-        .groupingSets([[col(c) for c in columns[:n]] for n in prefixes], *[col(c) for c in columns])
+        totals.groupingSets([[col(c) for c in columns[:n]] for n in prefixes], *[col(c) for c in columns])
         .agg(F.sum(_SUM).alias(_SUM), F.grouping_id().alias(_GID))
     )
     ids = _by_prefix(len(columns))
@@ -243,13 +253,30 @@ def drill_levels(df: DataFrame, member: Any = None, spec: CubeSpec = SALES) -> D
     ).orderBy("SortLevel", *[col(c).asc_nulls_first() for c in below])
 
 
+def _period_totals(
+    df: DataFrame, member: Any, level: str | None, spec: CubeSpec
+) -> tuple[DataFrame, str]:
+    column = (spec.levels[-1] if level is None else spec.level(level)).column
+    totals, _ = _totals_under(df, member, spec)
+    return totals.groupBy(col(column)).agg(F.sum(_SUM).alias(_SUM)).select(
+        col(column), _total_column(spec)
+    ), column
+
+
 def drill_at(
     df: DataFrame, member: Any = None, level: str | None = None, spec: CubeSpec = SALES
 ) -> DataFrame:
     """Totals of a single level under a member, in period order; the finest level by default."""
-    chosen = spec.levels[-1] if level is None else spec.level(level)
-    detail, _ = _on_path(df, member, spec)
-    return total_by(detail, [chosen.column], spec).orderBy(col(chosen.column).asc_nulls_last())
+    totals, column = _period_totals(df, member, level, spec)
+    return totals.orderBy(col(column).asc_nulls_last())
+
+
+def strongest_period(
+    df: DataFrame, member: Any = None, level: str | None = None, spec: CubeSpec = SALES
+) -> DataFrame:
+    """The period of one level under a member with the largest total; the first on a tie."""
+    totals, column = _period_totals(df, member, level, spec)
+    return largest_first(totals, [column], spec).limit(1)
 
 
 def level_rows(result: DataFrame, level: str) -> DataFrame:

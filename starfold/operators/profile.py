@@ -180,69 +180,36 @@ def _long(values: DataFrame) -> DataFrame:
     )
 
 
-# Buckets a bracket is cut into each time it is narrowed, and how often that is done.
+# A bracket is cut into this many parts each time it is narrowed, at most so often, and only while
+# it holds more values than one task should sort.
 _FANOUT = 4096
 _NARROWINGS = 2
+_ENOUGH = 1 << 20
 _SUBOCTAVES = 16
 
 
 def quantiles(values: DataFrame, probabilities: dict[str, float]) -> DataFrame:
     """Exact interpolated quantiles of every column of a frame of doubles, by counting.
 
-    ``percentile`` would gather a map of all distinct values in one task. Instead each wanted rank
-    is bracketed: count values per power-of-two bucket, keep the bucket that holds the rank, cut
-    it into equal parts, count again. Tasks send bucket counts, not values. After the narrowings
-    a bracket spans under 2^52 / (16 * 4096 * 4096) = 2^24 distinct doubles however many rows
-    there are, so sorting the distinct values left in it is a bounded last step.
+    ``percentile`` would gather a map of all distinct values in one task. Instead the rank of each
+    quantile is bracketed: count values per fraction of a power of two, keep the bucket that holds
+    the rank, cut it into equal parts, count again. Tasks send bucket counts, not values. Brackets
+    that are small already are not cut again, and if all are, adaptive execution drops that pass
+    over the data. What is left to sort per bracket is 2^20 values or, with any number of rows,
+    the 2^52 / (16 * 4096 * 4096) = 2^24 distinct doubles it can span.
     """
     long = _long(values)
-    magnitude = F.abs("value")
-    infinite = magnitude == F.lit(float("inf"))
-    # Grows with the value. Zero lies between the signs; a finite exponent lies in -1074..1023.
-    octave = F.when(infinite, F.lit(float(1024 * _SUBOCTAVES))).otherwise(
-        F.floor(F.log2(magnitude) * _SUBOCTAVES).cast("double")
-    ) + F.lit(float(1100 * _SUBOCTAVES))
-    first = F.when(F.col("value") == 0, F.lit(0.0)).otherwise(F.signum("value") * octave)
-
-    counts = (
-        long.groupBy("column", first.alias("bucket"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
-    )
-    in_column = Window.partitionBy("column")
-    counts = counts.withColumn("total", F.sum("n").over(in_column)).withColumn(
-        "before", F.sum("n").over(in_column.orderBy("bucket")) - F.col("n")
-    )
-    wanted = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(name).alias("quantile"), ((F.col("total") - 1) * F.lit(p)).alias("at"),
-                         F.lit(up).alias("upper"))
-                for name, p in probabilities.items()
-                for up in (False, True)
-            ]
-        )
-    )
-    # 0-based rank below and above the wanted position; they meet when it is whole.
-    rank = F.when(F.col("w.upper"), F.ceil("w.at")).otherwise(F.floor("w.at"))
-    brackets = (
-        counts.withColumn("w", wanted)
-        .withColumn("rank", rank)
-        .filter(_holds_rank())
-        .select("column", "w.quantile", "w.upper", "w.at", "rank", "low", "high", "before")
-    )
+    brackets = _first_brackets(long, probabilities)
     for _ in range(_NARROWINGS):
-        brackets = _narrow(long, brackets)
+        wide = F.col("n") > _ENOUGH
+        brackets = brackets.filter(~wide).unionByName(_narrow(long, brackets.filter(wide)))
     found = _pick(long, brackets)
-
-    fraction = F.col("at") - F.floor("at")
-    below, above = (F.max(F.when(F.col("upper") == up, F.col("value"))) for up in (False, True))
-    per_quantile = found.groupBy("column", "quantile").agg(
-        below.alias("below"), above.alias("above"), F.max(fraction).alias("fraction")
-    )
-    interpolated = F.when(F.col("below") == F.col("above"), F.col("below")).otherwise(
-        F.col("below") + (F.col("above") - F.col("below")) * F.col("fraction")
-    )
-    return per_quantile.groupBy("column").agg(
+    fraction = F.col("at") - F.col("rank")
+    interpolated = F.when(
+        (fraction > 0) & (F.col("next") > F.col("value")),
+        F.col("value") + (F.col("next") - F.col("value")) * fraction,
+    ).otherwise(F.col("value"))
+    return found.groupBy("column").agg(
         *[
             F.max(F.when(F.col("quantile") == name, interpolated)).alias(name)
             for name in probabilities
@@ -250,47 +217,97 @@ def quantiles(values: DataFrame, probabilities: dict[str, float]) -> DataFrame:
     )
 
 
-_RANK_KEY = ("column", "quantile", "upper", "at", "rank")
+# What identifies a bracket: the quantile, where it lies among the sorted values (``at``), and the
+# 0-based rank just below. ``before`` counts the values below the bracket, ``n`` those inside;
+# ``next`` is the smallest value above it.
+_QUANTILE = ("column", "quantile", "at", "rank")
+_BRACKET = (*_QUANTILE, "low", "high", "before", "n", "next")
+
+
+def _bucket_sizes() -> list[Column]:
+    return [F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")]
 
 
 def _holds_rank() -> Column:
     return (F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("n"))
 
 
+def _first_brackets(long: DataFrame, probabilities: dict[str, float]) -> DataFrame:
+    """The bucket of each quantile among at most 70,000 per column."""
+    magnitude = F.abs("value")
+    # Grows with the magnitude; the offset keeps it positive down to the smallest double.
+    octave = F.when(magnitude == float("inf"), 1024.0 * _SUBOCTAVES).otherwise(
+        F.floor(F.log2(magnitude) * _SUBOCTAVES).cast("double")
+    ) + F.lit(1100.0 * _SUBOCTAVES)
+    bucket = F.when(F.col("value") == 0, 0.0).otherwise(F.signum("value") * octave)
+    whole = Window.partitionBy("column")
+    ordered = whole.orderBy("bucket")
+    counted = (
+        long.groupBy("column", bucket.alias("bucket"))
+        .agg(*_bucket_sizes())
+        .select(
+            "*",
+            (F.sum("n").over(ordered) - F.col("n")).alias("before"),
+            F.lead("low").over(ordered).alias("next"),
+            F.sum("n").over(whole).alias("total"),
+        )
+    )
+    positions = F.array(
+        *[
+            F.struct(F.lit(name).alias("quantile"), ((F.col("total") - 1) * F.lit(p)).alias("at"))
+            for name, p in probabilities.items()
+        ]
+    )
+    return (
+        counted.select("*", F.inline(positions))
+        .withColumn("rank", F.floor("at"))
+        .filter(_holds_rank())
+        .select(*_BRACKET)
+    )
+
+
 def _inside(long: DataFrame, brackets: DataFrame) -> DataFrame:
-    """Values that lie in a bracket. There are two brackets per column and quantile, so their
+    """Values that lie in a bracket. There is one bracket per column and quantile, so what is
     broadcast has a fixed size."""
-    return long.join(F.broadcast(brackets), "column").filter(
+    return long.join(F.broadcast(brackets.drop("n")), "column").filter(
         F.col("value").between(F.col("low"), F.col("high"))
     )
 
 
-def _running(counted: DataFrame, order: str) -> DataFrame:
-    """Add the number of values before each bucket to those before its bracket."""
-    ordered = Window.partitionBy(*_RANK_KEY).orderBy(order)
-    return counted.withColumn(
-        "before", F.col("before") + F.sum("n").over(ordered) - F.col("n")
-    ).filter(_holds_rank())
-
-
 def _narrow(long: DataFrame, brackets: DataFrame) -> DataFrame:
     width = F.col("high") - F.col("low")
     part = F.when(width > 0, F.floor((F.col("value") - F.col("low")) / width * _FANOUT)).otherwise(0)
     counted = (
         _inside(long, brackets)
-        .groupBy(*_RANK_KEY, "before", part.alias("part"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+        .groupBy(*_QUANTILE, "before", "next", part.alias("part"))
+        .agg(*_bucket_sizes())
     )
-    return _running(counted, "part").select(*_RANK_KEY, "low", "high", "before")
+    ordered = Window.partitionBy(*_QUANTILE).orderBy("part")
+    return counted.withColumns(
+        {
+            "before": F.col("before") + F.sum("n").over(ordered) - F.col("n"),
+            "next": F.coalesce(F.lead("low").over(ordered), F.col("next")),
+        }
+    ).filter(_holds_rank()).select(*_BRACKET)
 
 
 def _pick(long: DataFrame, brackets: DataFrame) -> DataFrame:
+    """The value at each rank, and the one after it."""
     counted = (
         _inside(long, brackets)
-        .groupBy(*_RANK_KEY, "before", "value")
+        .groupBy(*_QUANTILE, "before", "next", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return _running(counted, "value").select(*_RANK_KEY, "value")
+    ordered = Window.partitionBy(*_QUANTILE).orderBy("value")
+    last_copy = F.col("rank") == F.col("before") + F.col("n") - 1
+    return counted.withColumns(
+        {
+            "before": F.col("before") + F.sum("n").over(ordered) - F.col("n"),
+            "next": F.coalesce(F.lead("value").over(ordered), F.col("next")),
+        }
+    ).filter(_holds_rank()).select(
+        *_QUANTILE, "value", F.when(last_copy, F.col("next")).otherwise(F.col("value")).alias("next")
+    )
 
 
 _SKETCH_GROUPS = 64
