@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -127,7 +128,7 @@ def numeric_summary(
     moments = _moments(values, chosen)
     quartiles = (quantiles if method == "exact" else sketched_quantiles)(values, _QUARTILES)
     # Both sides have one row per column.
-    joined = moments.join(F.broadcast(quartiles), "column", "left")
+    joined = moments.join(F.broadcast(quartiles), "position", "left")
     return joined.orderBy("position").select(
         "column",
         "count",
@@ -174,45 +175,51 @@ def _moments(values: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _long(values: DataFrame) -> DataFrame:
-    """One row per column and value, missing values left out."""
-    return values.unpivot([], [col(c) for c in values.columns], "column", "value").filter(
+    """One row per column position and value, missing values left out."""
+    every = F.array(*[col(c) for c in values.columns])
+    return values.select(F.posexplode(every).alias("position", "value")).filter(
         F.col("value").isNotNull()
     )
 
 
-# A bracket is cut into this many parts each time it is narrowed, at most so often, and only while
-# it holds more values than one task should sort.
+# A bracket is cut into this many parts each time it is narrowed, until it holds no more values
+# than one task should sort.
 _FANOUT = 4096
-_NARROWINGS = 2
 _ENOUGH = 1 << 20
 _SUBOCTAVES = 16
 
 
-def quantiles(values: DataFrame, probabilities: dict[str, float]) -> DataFrame:
+def quantiles(
+    values: DataFrame, probabilities: dict[str, float], enough: int = _ENOUGH
+) -> DataFrame:
     """Exact interpolated quantiles of every column of a frame of doubles, by counting.
 
+    One row per ``position`` of a column, from 0, with a value per named probability.
+
     ``percentile`` would gather a map of all distinct values in one task. Instead the rank of each
     quantile is bracketed: count values per fraction of a power of two, keep the bucket that holds
-    the rank, cut it into equal parts, count again. Tasks send bucket counts, not values. Brackets
-    that are small already are not cut again, and if all are, adaptive execution drops that pass
-    over the data. What is left to sort per bracket is 2^20 values or, with any number of rows,
-    the 2^52 / (16 * 4096 * 4096) = 2^24 distinct doubles it can span.
+    the rank, cut it into equal parts and count again while it holds too many values. Tasks send
+    bucket counts, not values. A double has 52 bits of fraction and each cut settles 12 of them, so
+    few cuts are ever made, and what is left to sort is ``enough`` values per bracket, or a single
+    one repeated any number of times.
+
+    The cuts are jobs that run in this call. Of each, one row per column and quantile comes back.
     """
     long = _long(values)
-    brackets = _first_brackets(long, probabilities)
-    for _ in range(_NARROWINGS):
-        wide = F.col("n") > _ENOUGH
-        brackets = brackets.filter(~wide).unionByName(_narrow(long, brackets.filter(wide)))
-    found = _pick(long, brackets)
+    brackets = _first_brackets(long, probabilities).collect()
+    while wide := [b for b in brackets if b.n > enough and b.low < b.high]:
+        narrowed = _narrow(long, _local(values, wide)).collect()
+        brackets = [b for b in brackets if b not in wide] + narrowed
+    found = _pick(long, _local(values, brackets))
     fraction = F.col("at") - F.col("rank")
     interpolated = F.when(
         (fraction > 0) & (F.col("next") > F.col("value")),
         F.col("value") + (F.col("next") - F.col("value")) * fraction,
     ).otherwise(F.col("value"))
-    return found.groupBy("column").agg(
+    return found.groupBy("position").agg(
         *[
-            F.max(F.when(F.col("quantile") == name, interpolated)).alias(name)
-            for name in probabilities
+            F.max(F.when(F.col("quantile") == i, interpolated)).alias(name)
+            for i, name in enumerate(probabilities)
         ]
     )
 
@@ -220,8 +227,21 @@ def quantiles(values: DataFrame, probabilities: dict[str, float]) -> DataFrame:
 # What identifies a bracket: the quantile, where it lies among the sorted values (``at``), and the
 # 0-based rank just below. ``before`` counts the values below the bracket, ``n`` those inside;
 # ``next`` is the smallest value above it.
-_QUANTILE = ("column", "quantile", "at", "rank")
+_QUANTILE = ("position", "quantile", "at", "rank")
 _BRACKET = (*_QUANTILE, "low", "high", "before", "n", "next")
+_BRACKET_ARROW = pa.schema(
+    [
+        ("position", pa.int32()), ("quantile", pa.int32()), ("at", pa.float64()),
+        ("rank", pa.int64()), ("low", pa.float64()), ("high", pa.float64()),
+        ("before", pa.int64()), ("n", pa.int64()), ("next", pa.float64()),
+    ]
+)
+
+
+def _local(values: DataFrame, brackets: list) -> DataFrame:
+    """From Arrow, rows become part of the plan; from Python objects they would be a Python RDD."""
+    rows = pa.Table.from_pylist([b.asDict() for b in brackets], _BRACKET_ARROW)
+    return values.sparkSession.createDataFrame(rows)
 
 
 def _bucket_sizes() -> list[Column]:
@@ -236,14 +256,14 @@ def _first_brackets(long: DataFrame, probabilities: dict[str, float]) -> DataFra
     """The bucket of each quantile among at most 70,000 per column."""
     magnitude = F.abs("value")
     # Grows with the magnitude; the offset keeps it positive down to the smallest double.
-    octave = F.when(magnitude == float("inf"), 1024.0 * _SUBOCTAVES).otherwise(
-        F.floor(F.log2(magnitude) * _SUBOCTAVES).cast("double")
-    ) + F.lit(1100.0 * _SUBOCTAVES)
-    bucket = F.when(F.col("value") == 0, 0.0).otherwise(F.signum("value") * octave)
-    whole = Window.partitionBy("column")
+    octave = F.when(magnitude == float("inf"), 1024 * _SUBOCTAVES).otherwise(
+        F.floor(F.log2(magnitude) * _SUBOCTAVES).cast("int")
+    ) + F.lit(1100 * _SUBOCTAVES)
+    bucket = F.when(F.col("value") == 0, 0).otherwise(F.signum("value").cast("int") * octave)
+    whole = Window.partitionBy("position")
     ordered = whole.orderBy("bucket")
     counted = (
-        long.groupBy("column", bucket.alias("bucket"))
+        long.groupBy("position", bucket.alias("bucket"))
         .agg(*_bucket_sizes())
         .select(
             "*",
@@ -254,8 +274,8 @@ def _first_brackets(long: DataFrame, probabilities: dict[str, float]) -> DataFra
     )
     positions = F.array(
         *[
-            F.struct(F.lit(name).alias("quantile"), ((F.col("total") - 1) * F.lit(p)).alias("at"))
-            for name, p in probabilities.items()
+            F.struct(F.lit(i).alias("quantile"), ((F.col("total") - 1) * F.lit(p)).alias("at"))
+            for i, p in enumerate(probabilities.values())
         ]
     )
     return (
@@ -269,7 +289,7 @@ def _first_brackets(long: DataFrame, probabilities: dict[str, float]) -> DataFra
 def _inside(long: DataFrame, brackets: DataFrame) -> DataFrame:
     """Values that lie in a bracket. There is one bracket per column and quantile, so what is
     broadcast has a fixed size."""
-    return long.join(F.broadcast(brackets.drop("n")), "column").filter(
+    return long.join(F.broadcast(brackets.drop("n")), "position").filter(
         F.col("value").between(F.col("low"), F.col("high"))
     )
 
@@ -317,12 +337,12 @@ def sketched_quantiles(values: DataFrame, probabilities: dict[str, float]) -> Da
     """Approximate quantiles from mergeable sketches, merged in two steps so that no task has to
     take in the sketches of all others."""
     long = _long(values)
-    partial = long.groupBy("column", (F.spark_partition_id() % _SKETCH_GROUPS).alias("g")).agg(
+    partial = long.groupBy("position", (F.spark_partition_id() % _SKETCH_GROUPS).alias("g")).agg(
         F.kll_sketch_agg_double("value", 800).alias("s")
     )
-    merged = partial.groupBy("column").agg(F.kll_merge_agg_double("s").alias("s"))
+    merged = partial.groupBy("position").agg(F.kll_merge_agg_double("s").alias("s"))
     return merged.select(
-        "column",
+        "position",
         *[
             F.kll_sketch_get_quantile_double("s", F.lit(p)).alias(name)
             for name, p in probabilities.items()

@@ -29,8 +29,7 @@ def broadcast_within(df: DataFrame, bound: DataFrame) -> DataFrame:
     For frames that Spark overestimates, such as a join on a unique key, whose size it takes to
     be the product of both sides.
     """
-    threshold = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    limit = int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(threshold))
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     return F.broadcast(df) if planned_bytes(bound) <= limit else df
 
 

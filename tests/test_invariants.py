@@ -1,0 +1,117 @@
+"""Relations between results that hold on any data."""
+
+import random
+from collections import defaultdict
+from decimal import Decimal
+
+import pytest
+
+import starfold as sf
+from starfold.plans import retail
+
+
+def _random_sales(spark, seed):
+    r = random.Random(seed)
+    rows = []
+    for _ in range(r.choice([1, 40, 400])):
+        year = r.choice([2023, 2024, 2025, None])
+        month = r.randint(1, 12)
+        rows.append(
+            (
+                r.choice(["East", "West", "North", None]),
+                r.choice(["Office", "Clothing", None]),
+                year,
+                year and (month + 2) // 3,
+                year and f"{year}-{month:02}",
+                r.choice([None, *[Decimal(r.randint(-10**6, 10**6)) / 100] * 9]),
+            )
+        )
+    return spark.createDataFrame(
+        rows,
+        "Region string, Category string, SalesYear int, SalesQuarter int, YearMonth string, "
+        "SaleAmount decimal(18,2)",
+    )
+
+
+@pytest.fixture(scope="module", params=["given", 1, 2, 3])
+def sales(request, spark):
+    if request.param == "given":
+        df = retail.reporting(spark, "/root/testdata/sf0.001").select(
+            *sf.SALES.grain, "SaleAmount"
+        )
+    else:
+        df = _random_sales(spark, request.param)
+    return df.persist()
+
+
+def _add(rows, key):
+    sums = defaultdict(lambda: None)
+    for row in rows:
+        if row.TotalSales is not None:
+            sums[key(row)] = round((sums[key(row)] or 0) + row.TotalSales, 2)
+        else:
+            sums[key(row)]
+    return dict(sums)
+
+
+def test_levels_add_up(sales):
+    rows = sf.rollup_levels(sales).collect()
+    level = {n: [r for r in rows if r.SummaryLevel == n] for n in ("Month", "Quarter", "Year")}
+    assert _add(level["Month"], lambda r: (r.SalesYear, r.SalesQuarter)) == _add(
+        level["Quarter"], lambda r: (r.SalesYear, r.SalesQuarter)
+    )
+    assert _add(level["Quarter"], lambda r: r.SalesYear) == _add(level["Year"], lambda r: r.SalesYear)
+    total = [r for r in rows if r.SummaryLevel == "All Years"]
+    assert len(total) == 1
+    assert _add(level["Year"], lambda r: 0)[0] == total[0].TotalSales
+    assert total[0].TotalSales == sf.grand_total(sales).first().TotalSales
+
+
+def test_single_levels_are_the_rows_of_the_rollup(sales):
+    rolled = sf.rollup_levels(sales)
+    years = [(r.SalesYear, r.TotalSales) for r in sf.level_rows(rolled, "Year").collect()]
+    assert [tuple(r) for r in sf.rollup_at(sales).collect()] == years
+    for year, total in years:
+        if year is None:
+            continue
+        drilled = sf.drill_levels(sales, year).collect()
+        assert (drilled[0].PeriodLabel, drilled[0].TotalSales) == (str(year), total)
+        months = [(r.YearMonth, r.TotalSales) for r in drilled if r.DetailLevel == "Month"]
+        assert [tuple(r) for r in sf.drill_at(sales, year).collect()] == months
+
+
+def test_slice_is_a_dice_with_every_other_member(sales):
+    categories = [r.Category for r in sales.select("Category").distinct().collect()]
+    for region in ("East", "ASIA"):
+        sliced = sf.slice_by(sales, "Region", region).collect()
+        assert sliced == sf.dice_by(sales, {"Region": [region], "Category": categories}).collect()
+
+
+def test_top_and_bottom_cover_all_groups_when_n_is_large(sales):
+    groups = sf.total_by(sales, ["Region", "Category"]).count()
+    for n in (1, (groups + 1) // 2, groups + 3):
+        rows = sf.top_bottom(sales, n=n).collect()
+        assert len(rows) == 2 * min(n, groups)
+        if 2 * n >= groups:
+            assert len({r.Label for r in rows}) == groups
+
+
+def test_cuboid_gives_the_same_as_detail(sales):
+    cuboid = sf.base_cuboid(sales)
+    for operator in (sf.rollup_levels, sf.cube_by, sf.top_bottom, sf.drill_levels):
+        assert operator(cuboid).collect() == operator(sales).collect()
+
+
+def test_partitioning_does_not_matter(sales):
+    shuffled = sales.repartition(7)
+    for operator in (sf.rollup_levels, sf.cube_by, lambda d: sf.against_average(d, "Region")):
+        assert operator(shuffled).collect() == operator(sales).collect()
+
+
+def test_missing_per_column_adds_up(sales):
+    per_column = sf.missing_values(sales).collect()
+    assert sum(r.missing for r in per_column) == sf.total_missing(sales).first().missing
+    dup = sf.duplicate_rows(sales).first()
+    assert dup.rows == sales.count()
+    assert dup.distinct_rows + dup.duplicate_rows == dup.rows
+    assert dup.distinct_rows == sales.distinct().count()
