@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,6 +102,14 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 # -- numeric summary -----------------------------------------------------------------------------
 
 
+_QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+_STATISTICS = ("count", "mean", "std", "min", "max")
+_SUMMARY = (
+    "column string, count bigint, mean double, std double, min double, p25 double, p50 double, "
+    "p75 double, max double"
+)
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     """Columns of numeric type, booleans excluded."""
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
@@ -115,9 +124,9 @@ def numeric_summary(
     """Count, mean, sample deviation, minimum, quartiles and maximum of each numeric column.
 
     Missing values are skipped. Quartiles interpolate linearly between neighbouring values.
-    ``method="exact"`` finds them by counting (:func:`quantiles`); ``"approx"`` merges one small
-    sketch per task and reads the data once. A frame without numeric columns or without rows
-    gives no rows.
+    ``method="exact"`` finds them by counting (see :func:`quantiles`), usually in two passes over
+    the numeric columns; ``"approx"`` merges small sketches in one pass. A frame without numeric
+    columns or without rows gives no rows.
     """
     if method not in ("exact", "approx"):
         raise ValueError(f"unknown method {method!r}")
@@ -125,63 +134,72 @@ def numeric_summary(
     if not chosen:
         return df.sparkSession.createDataFrame([], _SUMMARY)
     values = df.select(*[_as_double(df, c).alias(c) for c in chosen])
-    moments = _moments(values, chosen)
-    quartiles = (quantiles if method == "exact" else sketched_quantiles)(values, _QUARTILES)
-    # Both sides have one row per column.
-    joined = moments.join(F.broadcast(quartiles), "position", "left")
-    return joined.orderBy("position").select(
-        "column",
+    summary = (_exact_summary if method == "exact" else _sketched_summary)(values)
+    names = F.array(*[F.lit(c) for c in chosen])
+    return summary.orderBy("position").select(
+        names[F.col("position")].alias("column"),
         "count",
         *[F.round(c, scale).alias(c) for c in ("mean", "std", "min", *_QUARTILES, "max")],
     )
 
 
-_QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-_SUMMARY = (
-    "column string, count bigint, mean double, std double, min double, p25 double, p50 double, "
-    "p75 double, max double"
-)
-
-
 def _as_double(df: DataFrame, name: str) -> Column:
     c = col(name).cast("double")
     return F.nanvl(c, F.lit(None)) if isinstance(df.schema[name].dataType, _FLOATS) else c
 
 
-def _moments(values: DataFrame, columns: Sequence[str]) -> DataFrame:
-    aggregates = [F.count(F.lit(1)).alias("rows")]
-    for i, name in enumerate(columns):
-        c = col(name)
-        aggregates += [
-            F.count(c).alias(f"count{i}"), F.avg(c).alias(f"mean{i}"),
-            F.stddev_samp(c).alias(f"std{i}"), F.min(c).alias(f"min{i}"), F.max(c).alias(f"max{i}"),
-        ]
-    per_column = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("position"),
-                F.lit(name).alias("column"),
-                *[F.col(f"{a}{i}").alias(a) for a in ("count", "mean", "std", "min", "max")],
-            )
-            for i, name in enumerate(columns)
-        ]
-    )
-    return (
-        values.agg(*aggregates)
-        .filter(F.col("rows") > 0)
-        .select(F.explode(per_column).alias("c"))
-        .select("c.*")
-    )
-
-
 def _long(values: DataFrame) -> DataFrame:
-    """One row per column position and value, missing values left out."""
+    """One row per column position and value, nulls included."""
     every = F.array(*[col(c) for c in values.columns])
-    return values.select(F.posexplode(every).alias("position", "value")).filter(
-        F.col("value").isNotNull()
+    return values.select(F.posexplode(every).alias("position", "value"))
+
+
+def _sizes() -> list[Column]:
+    return [F.count("value").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")]
+
+
+def _part_moments() -> list[Column]:
+    return [*_sizes(), F.avg("value").alias("part_mean"), F.var_pop("value").alias("part_var")]
+
+
+def _with_whole_mean(parts: DataFrame) -> DataFrame:
+    """Add each column's count and mean to its parts."""
+    whole = Window.partitionBy("position")
+    total = F.sum("n").over(whole)
+    weighted = F.sum(F.col("n") * F.col("part_mean")).over(whole)
+    return parts.select("*", total.alias("total"), F.try_divide(weighted, total).alias("mean"))
+
+
+def _merged_moments() -> list[Column]:
+    """Statistics of a column from those of its parts; squares are taken around the whole mean."""
+    apart = F.col("part_mean") - F.col("mean")
+    squares = F.sum(F.col("n") * (F.col("part_var") + apart * apart))
+    total = F.max("total")
+    return [
+        total.alias("count"),
+        F.max("mean").alias("mean"),
+        F.when(total > 1, F.sqrt(squares / (total - 1))).alias("std"),
+        F.min("low").alias("min"),
+        F.max("high").alias("max"),
+    ]
+
+
+def _exact_summary(values: DataFrame) -> DataFrame:
+    surveyed = _survey(values, _QUARTILES)
+    statistics = _local(
+        values,
+        [{k: row[k] for k in ("position", *_STATISTICS)} for row in surveyed],
+        [("position", pa.int32()), ("count", pa.int64())]
+        + [(k, pa.float64()) for k in _STATISTICS[1:]],
+    )
+    # Both sides have one row per column.
+    return statistics.join(
+        F.broadcast(_settle(values, surveyed, _QUARTILES, _ENOUGH)), "position", "left"
     )
 
 
+# -- quantiles by counting -----------------------------------------------------------------------
+
 # A bracket is cut into this many parts each time it is narrowed, until it holds no more values
 # than one task should sort.
 _FANOUT = 4096
@@ -205,85 +223,82 @@ def quantiles(
 
     The cuts are jobs that run in this call. Of each, one row per column and quantile comes back.
     """
-    long = _long(values)
-    brackets = _first_brackets(long, probabilities).collect()
-    while wide := [b for b in brackets if b.n > enough and b.low < b.high]:
-        narrowed = _narrow(long, _local(values, wide)).collect()
-        brackets = [b for b in brackets if b not in wide] + narrowed
-    found = _pick(long, _local(values, brackets))
-    fraction = F.col("at") - F.col("rank")
-    interpolated = F.when(
-        (fraction > 0) & (F.col("next") > F.col("value")),
-        F.col("value") + (F.col("next") - F.col("value")) * fraction,
-    ).otherwise(F.col("value"))
-    return found.groupBy("position").agg(
-        *[
-            F.max(F.when(F.col("quantile") == i, interpolated)).alias(name)
-            for i, name in enumerate(probabilities)
-        ]
-    )
+    return _settle(values, _survey(values, probabilities), probabilities, enough)
 
 
-# What identifies a bracket: the quantile, where it lies among the sorted values (``at``), and the
-# 0-based rank just below. ``before`` counts the values below the bracket, ``n`` those inside;
-# ``next`` is the smallest value above it.
+# A bracket belongs to one quantile of one column: ``at`` is its place among the sorted values and
+# ``rank`` the whole number below. ``before`` counts the values below the bracket, ``n`` those
+# inside; ``next`` is the smallest value above it.
 _QUANTILE = ("position", "quantile", "at", "rank")
-_BRACKET = (*_QUANTILE, "low", "high", "before", "n", "next")
-_BRACKET_ARROW = pa.schema(
-    [
-        ("position", pa.int32()), ("quantile", pa.int32()), ("at", pa.float64()),
-        ("rank", pa.int64()), ("low", pa.float64()), ("high", pa.float64()),
-        ("before", pa.int64()), ("n", pa.int64()), ("next", pa.float64()),
-    ]
-)
+_SPAN = ("low", "high", "before", "n", "next")
+_BRACKET_TYPES = [
+    ("position", pa.int32()), ("quantile", pa.int32()), ("at", pa.float64()), ("rank", pa.int64()),
+    ("low", pa.float64()), ("high", pa.float64()), ("before", pa.int64()), ("n", pa.int64()),
+    ("next", pa.float64()),
+]
 
 
-def _local(values: DataFrame, brackets: list) -> DataFrame:
+def _local(values: DataFrame, rows: list[dict], types: list) -> DataFrame:
     """From Arrow, rows become part of the plan; from Python objects they would be a Python RDD."""
-    rows = pa.Table.from_pylist([b.asDict() for b in brackets], _BRACKET_ARROW)
-    return values.sparkSession.createDataFrame(rows)
-
-
-def _bucket_sizes() -> list[Column]:
-    return [F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")]
+    return values.sparkSession.createDataFrame(pa.Table.from_pylist(rows, pa.schema(types)))
 
 
-def _holds_rank() -> Column:
-    return (F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("n"))
+def _holds(rank: Column) -> Column:
+    return (F.col("before") <= rank) & (rank < F.col("before") + F.col("n"))
 
 
-def _first_brackets(long: DataFrame, probabilities: dict[str, float]) -> DataFrame:
-    """The bucket of each quantile among at most 70,000 per column."""
+def _survey(values: DataFrame, probabilities: dict[str, float]) -> list[Row]:
+    """First pass: statistics of each column, and the bucket of each quantile among at most 70,000
+    per column. One row per column, no row for an empty frame."""
     magnitude = F.abs("value")
     # Grows with the magnitude; the offset keeps it positive down to the smallest double.
     octave = F.when(magnitude == float("inf"), 1024 * _SUBOCTAVES).otherwise(
         F.floor(F.log2(magnitude) * _SUBOCTAVES).cast("int")
     ) + F.lit(1100 * _SUBOCTAVES)
     bucket = F.when(F.col("value") == 0, 0).otherwise(F.signum("value").cast("int") * octave)
-    whole = Window.partitionBy("position")
-    ordered = whole.orderBy("bucket")
-    counted = (
-        long.groupBy("position", bucket.alias("bucket"))
-        .agg(*_bucket_sizes())
-        .select(
-            "*",
-            (F.sum("n").over(ordered) - F.col("n")).alias("before"),
-            F.lead("low").over(ordered).alias("next"),
-            F.sum("n").over(whole).alias("total"),
-        )
+    ordered = Window.partitionBy("position").orderBy("bucket")
+    parts = _long(values).groupBy("position", bucket.alias("bucket")).agg(*_part_moments())
+    placed = _with_whole_mean(parts).select(
+        "*",
+        (F.sum("n").over(ordered) - F.col("n")).alias("before"),
+        F.lead("low").over(ordered).alias("next"),
     )
-    positions = F.array(
+    spans = [
+        F.max(F.when(_holds(F.floor((F.col("total") - 1) * F.lit(p))), F.struct(*_SPAN))).alias(
+            f"span{i}"
+        )
+        for i, p in enumerate(probabilities.values())
+    ]
+    return placed.groupBy("position").agg(*_merged_moments(), *spans).collect()
+
+
+def _settle(
+    values: DataFrame, surveyed: list[Row], probabilities: dict[str, float], enough: int
+) -> DataFrame:
+    """Narrow the surveyed brackets as far as needed, then read the quantiles from them."""
+    brackets = []
+    for row in surveyed:
+        for i, p in enumerate(probabilities.values()):
+            if row[f"span{i}"] is not None:
+                at = (row["count"] - 1) * p
+                place = {"position": row.position, "quantile": i, "at": at, "rank": math.floor(at)}
+                brackets.append(place | row[f"span{i}"].asDict())
+    long = _long(values)
+    while wide := [b for b in brackets if b["n"] > enough and b["low"] < b["high"]]:
+        narrowed = _narrow(long, _local(values, wide, _BRACKET_TYPES)).collect()
+        brackets = [b for b in brackets if b not in wide] + [b.asDict() for b in narrowed]
+    found = _pick(long, _local(values, brackets, _BRACKET_TYPES))
+    fraction = F.col("at") - F.col("rank")
+    interpolated = F.when(
+        (fraction > 0) & (F.col("next") > F.col("value")),
+        F.col("value") + (F.col("next") - F.col("value")) * fraction,
+    ).otherwise(F.col("value"))
+    return found.groupBy("position").agg(
         *[
-            F.struct(F.lit(i).alias("quantile"), ((F.col("total") - 1) * F.lit(p)).alias("at"))
-            for i, p in enumerate(probabilities.values())
+            F.max(F.when(F.col("quantile") == i, interpolated)).alias(name)
+            for i, name in enumerate(probabilities)
         ]
     )
-    return (
-        counted.select("*", F.inline(positions))
-        .withColumn("rank", F.floor("at"))
-        .filter(_holds_rank())
-        .select(*_BRACKET)
-    )
 
 
 def _inside(long: DataFrame, brackets: DataFrame) -> DataFrame:
@@ -300,7 +315,7 @@ def _narrow(long: DataFrame, brackets: DataFrame) -> DataFrame:
     counted = (
         _inside(long, brackets)
         .groupBy(*_QUANTILE, "before", "next", part.alias("part"))
-        .agg(*_bucket_sizes())
+        .agg(*_sizes())
     )
     ordered = Window.partitionBy(*_QUANTILE).orderBy("part")
     return counted.withColumns(
@@ -308,7 +323,7 @@ def _narrow(long: DataFrame, brackets: DataFrame) -> DataFrame:
             "before": F.col("before") + F.sum("n").over(ordered) - F.col("n"),
             "next": F.coalesce(F.lead("low").over(ordered), F.col("next")),
         }
-    ).filter(_holds_rank()).select(*_BRACKET)
+    ).filter(_holds(F.col("rank"))).select(*_QUANTILE, *_SPAN)
 
 
 def _pick(long: DataFrame, brackets: DataFrame) -> DataFrame:
@@ -325,26 +340,34 @@ def _pick(long: DataFrame, brackets: DataFrame) -> DataFrame:
             "before": F.col("before") + F.sum("n").over(ordered) - F.col("n"),
             "next": F.coalesce(F.lead("value").over(ordered), F.col("next")),
         }
-    ).filter(_holds_rank()).select(
+    ).filter(_holds(F.col("rank"))).select(
         *_QUANTILE, "value", F.when(last_copy, F.col("next")).otherwise(F.col("value")).alias("next")
     )
 
 
+# -- quantiles by sketches -----------------------------------------------------------------------
+
 _SKETCH_GROUPS = 64
+_SKETCH_SIZE = 800
 
 
-def sketched_quantiles(values: DataFrame, probabilities: dict[str, float]) -> DataFrame:
-    """Approximate quantiles from mergeable sketches, merged in two steps so that no task has to
-    take in the sketches of all others."""
-    long = _long(values)
-    partial = long.groupBy("position", (F.spark_partition_id() % _SKETCH_GROUPS).alias("g")).agg(
-        F.kll_sketch_agg_double("value", 800).alias("s")
+def _sketched_summary(values: DataFrame) -> DataFrame:
+    """One pass. Sketches are merged in two steps, so that no task takes in those of all others."""
+    parts = (
+        _long(values)
+        .groupBy("position", (F.spark_partition_id() % _SKETCH_GROUPS).alias("group"))
+        .agg(*_part_moments(), F.kll_sketch_agg_double("value", _SKETCH_SIZE).alias("sketch"))
+    )
+    merged = _with_whole_mean(parts).groupBy("position").agg(
+        *_merged_moments(), F.kll_merge_agg_double("sketch").alias("sketch")
     )
-    merged = partial.groupBy("position").agg(F.kll_merge_agg_double("s").alias("s"))
     return merged.select(
         "position",
+        *_STATISTICS,
         *[
-            F.kll_sketch_get_quantile_double("s", F.lit(p)).alias(name)
-            for name, p in probabilities.items()
+            F.when(
+                F.col("count") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(p))
+            ).alias(name)
+            for name, p in _QUARTILES.items()
         ],
     )

@@ -84,10 +84,20 @@ def test_numeric_summary_like_pandas(spark):
             assert got[name][ours] == pytest.approx(theirs, abs=0.00501), (name, ours)
 
 
-def test_numeric_summary_of_nothing(spark):
-    assert _described(spark.createDataFrame([("a",)], "t string")) == {}
-    assert _described(spark.createDataFrame([], "a double")) == {}
-    row = _described(spark.createDataFrame([(None,), (None,)], "a double"))["a"]
+@pytest.mark.parametrize("method", ["exact", "approx"])
+def test_moments_of_parts_are_merged_without_losing_digits(spark, method):
+    data = 1e9 + np.random.default_rng(3).normal(0, 0.5, 5000)
+    df = spark.createDataFrame(pd.DataFrame({"v": data})).repartition(9)
+    got = _described(df, method=method, scale=9)["v"]
+    assert got["std"] == pytest.approx(np.std(data, ddof=1), rel=1e-6)
+    assert got["mean"] == pytest.approx(np.mean(data), rel=1e-12)
+
+
+@pytest.mark.parametrize("method", ["exact", "approx"])
+def test_numeric_summary_of_nothing(spark, method):
+    assert _described(spark.createDataFrame([("a",)], "t string"), method=method) == {}
+    assert _described(spark.createDataFrame([], "a double"), method=method) == {}
+    row = _described(spark.createDataFrame([(None,), (None,)], "a double"), method=method)["a"]
     assert row["count"] == 0 and row["mean"] is None and row["p50"] is None
     with pytest.raises(ValueError, match="method"):
         sf.numeric_summary(spark.createDataFrame([(1,)], "a int"), method="guess")
