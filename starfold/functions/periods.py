@@ -21,7 +21,6 @@ def year_month(date: Column) -> Column:
     return F.date_format(date, "yyyy-MM")
 
 
-def year_range(date: Column, year: int) -> Column:
-    """``date`` lies in ``year``, in the half-open form that file statistics can answer."""
-    first = dt.date(year, 1, 1)
-    return (date >= F.lit(first)) & (date < F.lit(first.replace(year=year + 1)))
+def year_range(date: Column, first: int, last: int) -> Column:
+    """``date`` lies in these years, in the half-open form that file statistics can answer."""
+    return (date >= F.lit(dt.date(first, 1, 1))) & (date < F.lit(dt.date(last + 1, 1, 1)))

@@ -19,18 +19,20 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starfold.functions import col, level_label, rounded, summed, year_range
 from starfold.spec import SALES, CubeSpec, Level
 
 _SUM = "__sum"
 _GID = "__gid"
+_DATES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 # -- restriction ---------------------------------------------------------------------------------
 
 
-def _member_test(column: str, members: Any) -> Column:
+def member_test(column: str, members: Any) -> Column:
     """Equality with one member or membership in a list; ``None`` is the unknown member."""
     if isinstance(members, str) or not isinstance(members, Iterable):
         return col(column).isNull() if members is None else col(column) == members
@@ -47,17 +49,22 @@ def _member_test(column: str, members: Any) -> Column:
 def restrict(df: DataFrame, members: Mapping[str, Any], spec: CubeSpec = SALES) -> DataFrame:
     """Keep the detail of the given members, e.g. ``{"Region": ["East", "West"], "SalesYear": 2025}``.
 
-    The result is detail again, so any other operator can run on it. A year is also expressed as
+    The result is detail again, so any other operator can run on it. Years are also expressed as
     a range on the date column, which reaches the scan where a function of the date cannot.
     """
-    tests = [_member_test(column, chosen) for column, chosen in members.items()]
-    top = spec.levels[0].column
-    year = members.get(top)
-    if spec.date in df.columns and type(year) is int and 1 <= year < 9999:
-        tests.append(year_range(col(spec.date), year))
+    tests = [member_test(column, chosen) for column, chosen in members.items()]
+    years = _years(members.get(spec.levels[0].column))
+    if years and spec.date in df.columns and isinstance(df.schema[spec.date].dataType, _DATES):
+        tests.append(year_range(col(spec.date), min(years), max(years)))
     return df.filter(reduce(and_, tests)) if tests else df
 
 
+def _years(members: Any) -> list[int] | None:
+    """The members as calendar years, if every one of them is one."""
+    years = list(members) if isinstance(members, (list, tuple, set)) else [members]
+    return years if all(type(y) is int and 1 <= y < 9999 for y in years) else None
+
+
 def latest_member(df: DataFrame, level: str | None = None, spec: CubeSpec = SALES) -> DataFrame:
     """One row with the latest member of a level (the top one by default), null if there is none."""
     column = spec.levels[0].column if level is None else spec.level(level).column

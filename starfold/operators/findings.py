@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from starfold.functions import col, currency, rounded, summed
 from starfold.functions.columns import NULL_TEXT
-from starfold.operators.cube import _member_test, base_cuboid
+from starfold.operators.cube import base_cuboid, member_test
 from starfold.spec import SALES, CubeSpec
 
 
@@ -52,11 +52,11 @@ def headline_findings(
 
     dice_test = F.lit(True)
     for column, members in dice_on.items():
-        dice_test = dice_test & _member_test(column, members)
+        dice_test = dice_test & member_test(column, members)
     no_period = F.lit(None).cast(df.schema[top.column].dataType)
     in_period = col(top.column).isNotNull() if member is None else col(top.column) == member
     questions = [
-        question(1, "slice", by, _member_test(dimension, chosen), no_period),
+        question(1, "slice", by, member_test(dimension, chosen), no_period),
         question(2, "dice", list(dice_on), dice_test, no_period),
         question(3, "rollup_total", [], F.lit(True), no_period),
         question(4, f"rollup_{top.name.lower()}", [top.column], col(top.column).isNotNull(), no_period),

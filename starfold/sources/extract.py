@@ -18,6 +18,7 @@ MISSING_TEXTS: tuple[str, ...] = (
 )
 
 _SOURCE = "__source"
+_TIE = "__tie"
 
 
 def export_csv(
@@ -28,18 +29,19 @@ def export_csv(
 ) -> str:
     """Write a relation as CSV part files with a header, globally sorted.
 
-    Part files hold consecutive ranges: reading them in name order gives the sorted rows. The sort
-    continues over the remaining columns, so it does not depend on where rows came from. The last
-    range key is the number of the task a row came from, so even rows that agree in every column
-    spread over several files; it is the same when a lost task is run again.
+    Part files hold consecutive ranges: reading them in name order gives the sorted rows. Ties are
+    ordered by a hash of the other columns, so the order does not depend on where rows came from.
+    The last range key is the number of the task a row came from: even rows that agree in every
+    column spread over several files, and the number is the same when a lost task is run again.
     """
-    rest = [f.name for f in df.schema if f.name not in order and _is_orderable(f.dataType)]
-    keys = [col(c).asc_nulls_last() for c in (*order, *rest)]
+    rest = [f.name for f in df.schema if f.name not in order]
+    tie = F.xxhash64(*[col(c) for c in rest]) if rest else F.lit(0)
+    keys = [*[col(c).asc_nulls_last() for c in order], F.col(_TIE)]
     (
-        df.withColumn(_SOURCE, F.spark_partition_id())
+        df.withColumns({_TIE: tie, _SOURCE: F.spark_partition_id()})
         .repartitionByRange(*keys, F.col(_SOURCE))
         .sortWithinPartitions(*keys)
-        .drop(_SOURCE)
+        .drop(_TIE, _SOURCE)
         .write.mode(mode)
         .option("header", True)
         .csv(path)
@@ -47,10 +49,6 @@ def export_csv(
     return path
 
 
-def _is_orderable(data_type: T.DataType) -> bool:
-    return not isinstance(data_type, (T.MapType, T.VariantType))
-
-
 def read_reporting_csv(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame:
@@ -58,23 +56,55 @@ def read_reporting_csv(
     return spark.read.schema(schema or reporting_schema()).option("header", True).csv(path)
 
 
+_WHOLE = r"^\s*[+-]?\d{1,18}\s*$"
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
-    schema: T.StructType | str,
+    schema: T.StructType | str | None = None,
     missing_texts: Sequence[str] = MISSING_TEXTS,
 ) -> DataFrame:
     """Any CSV with a header, for profiling: the given texts become null before typing, a value
-    that does not fit its type becomes null."""
+    that does not fit its type becomes null.
+
+    Without a schema one pass over the file types each column: whole numbers, numbers, true and
+    false, or else text. Dates stay text, and so does ``2025-05``.
+    """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    raw = spark.read.schema(text).option("header", True).csv(path)
-    return raw.select(
-        *[
-            F.when(~col(f.name).isin(list(missing_texts)), col(f.name))
-            .try_cast(f.dataType)
-            .alias(f.name)
-            for f in schema
-        ]
+    reader = spark.read.option("header", True)
+    if schema is None:
+        raw = reader.csv(path)
+    else:
+        raw = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in schema.names])).csv(path)
+    present = raw.select(
+        *[F.when(~col(n).isin(list(missing_texts)), col(n)).alias(n) for n in raw.columns]
     )
+    schema = _typed(present) if schema is None else schema
+    return present.select(*[col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
+
+
+def _typed(text: DataFrame) -> T.StructType:
+    """The narrowest type that every present value of a column fits; no value at all is a double,
+    as in a data frame."""
+    candidates = [
+        (T.LongType(), lambda c: c.rlike(_WHOLE)),
+        (T.DoubleType(), lambda c: c.rlike(_NUMBER)),
+        (T.BooleanType(), lambda c: F.lower(c).isin("true", "false")),
+    ]
+    fits = text.agg(
+        *[
+            F.coalesce(F.every(test(col(n))), F.lit(True)).alias(f"{i}_{j}")
+            for i, n in enumerate(text.columns)
+            for j, (_, test) in enumerate(candidates)
+        ],
+        *[F.count(col(n)).alias(f"{i}_n") for i, n in enumerate(text.columns)],
+    ).first()
+    fields = []
+    for i, name in enumerate(text.columns):
+        matching = [t for j, (t, _) in enumerate(candidates) if fits[f"{i}_{j}"]]
+        none = T.DoubleType() if fits[f"{i}_n"] == 0 else None
+        fields.append(T.StructField(name, none or (matching or [T.StringType()])[0]))
+    return T.StructType(fields)

@@ -48,6 +48,11 @@ def test_year_reaches_the_scan_as_a_range(sales):
     plan = planned(sf.drill_levels(sales, 2000))
     assert "GreaterThanOrEqual(o_orderdate,2000-01-01" in plan
     assert "LessThan(o_orderdate,2001-01-01" in plan
+    plan = planned(sf.dice_by(sales, {"SalesYear": [1998, 2000]}))
+    assert "GreaterThanOrEqual(o_orderdate,1998-01-01" in plan
+    assert "LessThan(o_orderdate,2001-01-01" in plan
+    # An unknown year has no date to look for.
+    assert "GreaterThan" not in planned(sf.dice_by(sales, {"SalesYear": [1998, None]}))
 
 
 def test_latest_year_of_a_mart_prunes_partitions(spark, sales, tmp_path):

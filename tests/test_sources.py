@@ -59,6 +59,21 @@ def test_read_csv_missing_texts(spark, tmp_path):
     assert [r.note for r in kept.collect()] == ["NA", "null", "ok", "None"]
 
 
+def test_read_csv_types_columns_itself(spark, tmp_path):
+    (tmp_path / "in.csv").write_text(
+        "id,amount,YearMonth,flag,code,none,day\n"
+        "1,2.5,2025-05,True,007,NA,2025-05-01\n"
+        "2,,2025-06,false,1d,,2025-06-01\n"
+        "NA,1e3,2025-07,,12,,\n"
+    )
+    df = sf.read_csv(spark, str(tmp_path / "in.csv"))
+    assert [f.dataType.simpleString() for f in df.schema] == [
+        "bigint", "double", "string", "boolean", "string", "double", "string",
+    ]
+    assert rows(df)[1] == (2, None, "2025-06", False, "1d", None, "2025-06-01")
+    assert sf.numeric_columns(df) == ["id", "amount", "none"]
+
+
 def test_mart_partitions_and_prunes(spark, sales, tmp_path):
     path = sf.write_mart(sales, str(tmp_path / "mart"))
     assert sorted(p.split("/")[-1] for p in glob.glob(f"{path}/SalesYear=*")) == [
