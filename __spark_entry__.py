@@ -104,6 +104,22 @@ def _view(spark: SparkSession, folder: str) -> DataFrame:
     return retail.reporting(spark, folder)
 
 
+def _csv_structure(spark: SparkSession, folder: str) -> DataFrame:
+    path = sf.export_csv(_view(spark, folder), shared_folder(spark, "sales_reporting_csv"))
+    return sf.structure(sf.read_csv(spark, path))
+
+
+def _unlabelled(spark: SparkSession, folder: str) -> DataFrame:
+    documents = retail.table(spark, folder, "documents").select("doc_id", "lang", "source", "n_chars")
+    return sf.orphan_rows(documents, retail.table(spark, folder, "labels"), "doc_id")
+
+
+def _summary_findings(spark: SparkSession, folder: str) -> DataFrame:
+    return sf.headline_findings(
+        _summary_mart(spark, folder), ("Region", REGION), {"Region": REGIONS, "Category": CATEGORIES}
+    )
+
+
 def _on(query: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, folder: query(_view(spark, folder))
 
@@ -122,7 +138,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             sf.restrict_latest(_mart(spark, folder))
         ),
         "summary_mart_rollup": lambda spark, folder: sf.rollup_levels(_summary_mart(spark, folder)),
+        "summary_mart_findings": _summary_findings,
+        "csv_structure": _csv_structure,
         "orphan_facts": _orphans,
+        "orphan_rows": _unlabelled,
         "duplicate_keys": lambda spark, folder: sf.duplicate_keys(
             retail.fact_sales(spark, folder), "TransactionID"
         ),
@@ -281,17 +300,13 @@ def oracle_sql() -> dict[str, str]:
             ("doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"), start=1
         )
     )
-    structure = " UNION ALL ".join(
-        f"""SELECT {i} AS position, '{c}' AS "column", '{t}' AS "type", COUNT(*) AS rows FROM orders"""
-        for i, (c, t) in enumerate(
-            (
-                ("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
-                ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"),
-                ("o_orderpriority", "string"),
-            ),
-            start=1,
+    def structure(source: str, columns: str) -> str:
+        return " UNION ALL ".join(
+            f"""SELECT {i} AS position, '{c.split()[0]}' AS "column", '{c.split()[1]}' AS "type",
+            COUNT(*) AS rows FROM {source}"""
+            for i, c in enumerate(columns.split(", "), start=1)
         )
-    )
+
     orphans = """
         SELECT '{key}' AS dimension_key, COUNT(DISTINCT f.{fk}) AS orphan_keys,
                COUNT(*) AS orphan_rows
@@ -301,6 +316,26 @@ def oracle_sql() -> dict[str, str]:
                CAST(SUM(n - 1) AS BIGINT) AS duplicate_rows
         FROM (SELECT COUNT(*) AS n FROM {name} GROUP BY {keys})"""
     best = "ORDER BY TotalSales DESC NULLS LAST, {key} LIMIT 1"
+    findings = (
+        _REPORTING
+        + f"""
+        , f AS (
+            (SELECT 1 AS FindingNo, 'slice' AS Finding, Category AS Member, {_TOTAL} FROM r
+             WHERE Region = '{REGION}' GROUP BY Category {best.format(key='Category')})
+            UNION ALL
+            (SELECT 2, 'dice', Region || ' / ' || Category, {_TOTAL} FROM r WHERE {in_dice}
+             GROUP BY Region, Category {best.format(key='Region, Category')})
+            UNION ALL
+            (SELECT 3, 'rollup_total', 'All Years', {_TOTAL} FROM r)
+            UNION ALL
+            (SELECT 4, 'rollup_year', CAST(SalesYear AS VARCHAR), {_TOTAL} FROM r
+             GROUP BY SalesYear {best.format(key='SalesYear')})
+            UNION ALL
+            (SELECT 5, 'drilldown_month', YearMonth, {_TOTAL} FROM r WHERE SalesYear = {_LATEST}
+             GROUP BY YearMonth {best.format(key='YearMonth')})
+        )
+        SELECT *, Member || ' (' || {_money_text('TotalSales')} || ')' AS Text FROM f"""
+    )
     return {
         "reporting_view": _REPORTING + whole,
         "sales_view_sql": _REPORTING + slice_region,
@@ -316,6 +351,17 @@ def oracle_sql() -> dict[str, str]:
         + orphans.format(key="ProductID", fk="ProductID", fact="fact", dim="part", dk="p_partkey")
         + " UNION ALL "
         + orphans.format(key="doc_id", fk="doc_id", fact="documents", dim="labels", dk="doc_id"),
+        "summary_mart_findings": findings,
+        "csv_structure": _REPORTING
+        + structure(
+            "r",
+            "TransactionID string, SaleDate string, SalesYear bigint, SalesQuarter bigint, "
+            "YearMonth string, CustomerID bigint, CustomerName string, Region string, "
+            "ProductID bigint, ProductName string, Category string, StoreID bigint, "
+            "CampaignID string, SaleAmount double",
+        ),
+        "orphan_rows": """SELECT doc_id, lang, source, n_chars FROM documents d
+        WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
         "duplicate_keys": _REPORTING
         + "SELECT TransactionID, COUNT(*) AS rows FROM fact GROUP BY TransactionID HAVING COUNT(*) > 1",
         "slice_region": _REPORTING + slice_region,
@@ -362,24 +408,7 @@ def oracle_sql() -> dict[str, str]:
         {best.format(key='YearMonth')}""",
         "strongest_year": _REPORTING
         + f"""SELECT SalesYear, {_TOTAL} FROM r GROUP BY SalesYear {best.format(key='SalesYear')}""",
-        "headline_findings": _REPORTING
-        + f"""
-        , f AS (
-            (SELECT 1 AS FindingNo, 'slice' AS Finding, Category AS Member, {_TOTAL} FROM r
-             WHERE Region = '{REGION}' GROUP BY Category {best.format(key='Category')})
-            UNION ALL
-            (SELECT 2, 'dice', Region || ' / ' || Category, {_TOTAL} FROM r WHERE {in_dice}
-             GROUP BY Region, Category {best.format(key='Region, Category')})
-            UNION ALL
-            (SELECT 3, 'rollup_total', 'All Years', {_TOTAL} FROM r)
-            UNION ALL
-            (SELECT 4, 'rollup_year', CAST(SalesYear AS VARCHAR), {_TOTAL} FROM r
-             GROUP BY SalesYear {best.format(key='SalesYear')})
-            UNION ALL
-            (SELECT 5, 'drilldown_month', YearMonth, {_TOTAL} FROM r WHERE SalesYear = {_LATEST}
-             GROUP BY YearMonth {best.format(key='YearMonth')})
-        )
-        SELECT *, Member || ' (' || {_money_text('TotalSales')} || ')' AS Text FROM f""",
+        "headline_findings": findings,
         "top_bottom": _REPORTING + _top_bottom("r", "Region, Category", "Region || ' / ' || Category", 5),
         "top_bottom_single_key": _REPORTING + _top_bottom("r", "Category", "Category", 3),
         "top_bottom_customers": _REPORTING
@@ -389,7 +418,11 @@ def oracle_sql() -> dict[str, str]:
             f"(SELECT * FROM r WHERE SalesYear = {YEAR})", "Region, Category",
             "Region || ' / ' || Category", 5,
         ),
-        "profile_structure": structure,
+        "profile_structure": structure(
+            "orders",
+            "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+            "o_orderdate timestamp_ntz, o_orderpriority string",
+        ),
         "profile_missing": f"SELECT * FROM ({missing}) WHERE missing > 0",
         "profile_missing_total": f"SELECT CAST(SUM(missing) AS BIGINT) AS missing FROM ({missing})",
         "profile_duplicates": duplicates.format(name="lineitem", keys="ALL").replace(

@@ -1,11 +1,12 @@
 import glob
+import os
 
 import pytest
 from pyspark.sql import types as T
 
 import starfold as sf
 from sample import reporting as make_reporting
-from plans import planned
+from plans import planned, settings
 from sample import rows, star
 from starfold.schema import reporting_schema, schema_of
 from starfold.sources import shared_folder
@@ -87,6 +88,21 @@ def test_mart_partitions_and_prunes(spark, sales, tmp_path):
     assert sf.read_mart(spark, path).count() == 7
 
 
+def test_mart_splits_a_year_that_holds_most_rows(spark, tmp_path):
+    df = spark.range(0, 300_000, 1, 8).selectExpr(
+        "IF(id % 3 = 0, 2024, 2000 + CAST(id % 20 AS INT)) AS SalesYear", "uuid() AS Region"
+    )
+    limits = {
+        "spark__sql__adaptive__advisoryPartitionSizeInBytes": "256k",
+        "spark__sql__adaptive__coalescePartitions__minPartitionSize": "64k",
+    }
+    with settings(spark, **limits):
+        path = sf.write_mart(df, str(tmp_path / "hot"))
+    sizes = [os.path.getsize(p) for p in glob.glob(f"{path}/SalesYear=2024/part-*")]
+    assert len(sizes) > 5 and max(sizes) < 0.25 * sum(sizes)
+    assert spark.read.parquet(path).count() == 300_000
+
+
 def test_cuboid_mart(spark, sales, tmp_path):
     cuboid = sf.base_cuboid(sales)
     mart = sf.read_mart(
