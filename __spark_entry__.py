@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import starfold as sf
 from starfold.functions import composite_label
 from starfold.plans import retail
+from starfold.plans.session import prepare
 from starfold.schema import schema_of
 from starfold.sources import shared_folder
 
@@ -125,6 +126,15 @@ def _on(query: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """One entry per operator; each callable takes a session and a data folder."""
+
+    def prepared(query):
+        return lambda spark, folder: query(prepare(spark), folder)
+
+    return {name: prepared(query) for name, query in _queries().items()}
+
+
+def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     dice = {"Region": REGIONS, "Category": CATEGORIES}
     return {
         # sources, sinks, checks

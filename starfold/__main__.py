@@ -7,6 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from starfold.plans.report import Questions, run
+from starfold.plans.session import prepare
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -19,7 +20,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--year", type=int, help="year to drill into, the latest by default")
     parser.add_argument("--top", type=int, default=5)
     args = parser.parse_args(argv)
-    spark = SparkSession.builder.appName("starfold").getOrCreate()
+    spark = prepare(SparkSession.builder.appName("starfold").getOrCreate())
     ask = Questions(
         ("Region", args.region),
         {"Region": args.regions, "Category": args.categories},

@@ -8,6 +8,7 @@ import starfold as sf
 from plans import count, planned, ran, settings
 from starfold.operators.star import broadcast_within, planned_bytes
 from starfold.plans import retail
+from starfold.plans.session import SETTINGS
 
 FOLDER = "/root/testdata/sf0.001"
 NO_BROADCAST = {
@@ -129,28 +130,43 @@ def _one_third_on_one_key(spark, rows=600_000):
     )
 
 
-def test_hot_key_is_split_over_tasks(spark):
+SMALL_SPLITS = {
+    "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "64k",
+    "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "2",
+    "spark__sql__adaptive__advisoryPartitionSizeInBytes": "64k",
+}
+HOT = 200_000 + sum(1 for i in range(600_000) if i % 3 and i % 5000 == 7)
+
+
+def _hot_customer_reporting(spark):
     customers = spark.range(5000).selectExpr(
         "id CustomerID", "'n' Name", "IF(id = 7, 'hot', 'other') Region"
     )
     products = spark.range(11).selectExpr("id ProductID", "'p' ProductName", "'c' Category")
-    with settings(
-        spark,
-        **NO_BROADCAST,
-        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="64k",
-        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="64k",
-    ):
-        reporting = sf.build_reporting(_one_third_on_one_key(spark), customers, products)
-        totals = sf.slice_by(reporting, "Category", "c", "Region")
+    return sf.build_reporting(_one_third_on_one_key(spark), customers, F.broadcast(products))
+
+
+def test_hot_key_is_split_over_tasks(spark):
+    with settings(spark, **NO_BROADCAST, **SMALL_SPLITS):
+        totals = sf.slice_by(_hot_customer_reporting(spark), "Category", "c", "Region")
         plan = ran(totals)
         assert count(plan, r"SortMergeJoin\(skew=true\)") >= 1
-        hot = 200_000 + sum(1 for i in range(600_000) if i % 3 and i % 5000 == 7)
         assert [(r.Region, r.TotalSales) for r in totals.collect()] == [
-            ("other", 600_000.0 - hot), ("hot", float(hot)),
+            ("other", float(600_000 - HOT)), ("hot", float(HOT)),
         ]
 
 
+def test_hot_key_is_split_when_it_is_also_what_is_totalled(spark):
+    """Grouping by the join key would otherwise stay in the one task that joins it."""
+    forced = {k.replace(".", "__"): v for k, v in SETTINGS.items()}
+    with settings(spark, **NO_BROADCAST, **SMALL_SPLITS, **forced):
+        top = sf.strongest(_hot_customer_reporting(spark), "CustomerID")
+        plan = ran(top)
+        assert count(plan, r"SortMergeJoin\(skew=true\)") >= 1
+        assert plan.index("Exchange hashpartitioning(CustomerID") > plan.index("HashAggregate(keys=[CustomerID")
+        assert [tuple(r) for r in top.collect()] == [(7, float(HOT))]
+
+
 def test_copies_of_one_row_are_merged_before_the_shuffle(spark):
     df = spark.range(0, 300_000, 1, 12).select(
         F.when(F.col("id") % 3 == 0, "copy").otherwise(F.concat(F.lit("t"), F.col("id"))).alias("t")
