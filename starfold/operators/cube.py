@@ -264,7 +264,11 @@ def _period_totals(
     df: DataFrame, member: Any, level: str | None, spec: CubeSpec
 ) -> tuple[DataFrame, str]:
     column = (spec.levels[-1] if level is None else spec.level(level)).column
-    totals, _ = _totals_under(df, member, spec)
+    if member is not None:
+        path = _path(member, spec)
+        detail = restrict(df, dict(zip(spec.hierarchy, path)), spec)
+        return total_by(detail, [column], spec), column
+    totals, _ = _totals_under(df, None, spec)
     return totals.groupBy(col(column)).agg(F.sum(_SUM).alias(_SUM)).select(
         col(column), _total_column(spec)
     ), column
