@@ -28,6 +28,6 @@ def summed(df: DataFrame, measure: str) -> Column:
     return F.sum(exact(df, measure))
 
 
-def rounded(total: Column, scale: int = 2) -> Column:
-    """Round an exact sum and leave the decimal domain, for output only."""
-    return F.round(total, scale).cast("double")
+def rounded(total: Column, scale: int = 2, as_type: str = "double") -> Column:
+    """Round an exact sum, and leave the decimal domain if ``as_type`` is a double."""
+    return F.round(total, scale).cast(as_type)

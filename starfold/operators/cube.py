@@ -95,8 +95,13 @@ def _totals(df: DataFrame, keys: Sequence[str], spec: CubeSpec) -> DataFrame:
     return df.groupBy(*[col(k) for k in keys]).agg(summed(df, spec.measure).alias(_SUM))
 
 
+def result(total: Column, spec: CubeSpec) -> Column:
+    """An exact sum as it is shown."""
+    return rounded(total, spec.scale, spec.total_type)
+
+
 def _total_column(spec: CubeSpec) -> Column:
-    return rounded(F.col(_SUM), spec.scale).alias(spec.total)
+    return result(F.col(_SUM), spec).alias(spec.total)
 
 
 def total_by(df: DataFrame, keys: Sequence[str], spec: CubeSpec = SALES) -> DataFrame:
@@ -290,10 +295,10 @@ def strongest_period(
     return largest_first(totals, [column], spec).limit(1)
 
 
-def level_rows(result: DataFrame, level: str) -> DataFrame:
+def level_rows(levels: DataFrame, level: str) -> DataFrame:
     """The rows of one level of a roll-up or drill-down result."""
-    column = "SummaryLevel" if "SummaryLevel" in result.columns else "DetailLevel"
-    return result.filter(F.col(column) == level)
+    column = "SummaryLevel" if "SummaryLevel" in levels.columns else "DetailLevel"
+    return levels.filter(F.col(column) == level)
 
 
 def with_period_label(rolled: DataFrame, level: str, spec: CubeSpec = SALES) -> DataFrame:
@@ -342,8 +347,8 @@ def compare_members(
     difference = F.coalesce(col(str(first)), zero) - F.coalesce(col(str(second)), zero)
     return pivoted.select(
         col(by),
-        *[rounded(col(str(m)), spec.scale).alias(str(m)) for m in members],
-        rounded(difference, spec.scale).alias("Difference"),
+        *[result(col(str(m)), spec).alias(str(m)) for m in members],
+        result(difference, spec).alias("Difference"),
     ).orderBy(col(by).asc_nulls_last())
 
 
@@ -366,7 +371,7 @@ def against_average(df: DataFrame, dimension: str, spec: CubeSpec = SALES) -> Da
     compared = totals.withColumn("__average", average).select(
         col(dimension),
         _total_column(spec),
-        rounded(F.col("__average"), spec.scale).alias("AverageSales"),
-        rounded(F.col(_SUM) - F.col("__average"), spec.scale).alias("AboveAverage"),
+        result(F.col("__average"), spec).alias("AverageSales"),
+        result(F.col(_SUM) - F.col("__average"), spec).alias("AboveAverage"),
     )
     return largest_first(compared, [dimension], spec)

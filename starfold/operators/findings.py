@@ -8,9 +8,9 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starfold.functions import col, currency, rounded, summed
+from starfold.functions import col, currency, summed
 from starfold.functions.columns import NULL_TEXT
-from starfold.operators.cube import base_cuboid, member_test
+from starfold.operators.cube import base_cuboid, member_test, result
 from starfold.spec import SALES, CubeSpec
 
 
@@ -90,7 +90,7 @@ def headline_findings(
             F.col("number").alias("FindingNo"),
             F.col("finding").alias("Finding"),
             label.alias("Member"),
-            rounded(F.col("w.total"), spec.scale).alias(spec.total),
+            result(F.col("w.total"), spec).alias(spec.total),
             F.concat(label, F.lit(" ("), currency(F.col("w.total")), F.lit(")")).alias("Text"),
         )
     )

@@ -38,7 +38,8 @@ def top_bottom(
         raise ValueError("n must not be negative")
     by = spec.dimensions if by is None else by
     keys = [by] if isinstance(by, str) else list(by)
-    totals = total_by(df, keys, spec).withColumn(spec.total, F.coalesce(spec.total, F.lit(0.0)))
+    zero = F.lit(0).cast(spec.total_type)
+    totals = total_by(df, keys, spec).withColumn(spec.total, F.coalesce(spec.total, zero))
 
     def side(name: str, best: str) -> DataFrame:
         order = F.desc(spec.total) if best == "largest" else F.asc(spec.total)

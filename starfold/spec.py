@@ -27,6 +27,9 @@ class CubeSpec:
     ``levels`` runs from the coarsest to the finest level. ``date`` names the column the top level
     is the calendar year of; year restrictions then also become a range on it, which a scan can
     use. Set it to ``None`` when the top level is not a year.
+
+    Totals come out as ``total_type``. A double holds cents up to about 90 trillion; past that use
+    a decimal, in which the sums are made anyway.
     """
 
     measure: str
@@ -36,6 +39,7 @@ class CubeSpec:
     all_name: str = "All"
     scale: int = 2
     date: str | None = None
+    total_type: str = "double"
 
     @property
     def hierarchy(self) -> tuple[str, ...]:

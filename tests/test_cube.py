@@ -1,3 +1,6 @@
+import dataclasses
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -262,6 +265,24 @@ def test_float_measure_is_summed_exactly_and_nan_is_missing(spark):
     assert rows(sf.slice_by(df, "Region", "East")) == [("East", "B", 1.01), ("East", "A", 1.0)]
 
 
+def test_totals_beyond_the_digits_of_a_double(spark):
+    spec = dataclasses.replace(sf.SALES, total_type="decimal(38,2)")
+    amounts = [Decimal("9007199254740993.01"), Decimal("9007199254740993.02")]
+    df = spark.createDataFrame(
+        [("East", "A", 2025, 1, "2025-01", a) for a in amounts],
+        "Region string, Category string, SalesYear int, SalesQuarter int, YearMonth string, "
+        "SaleAmount decimal(18,2)",
+    )
+    total = Decimal("18014398509481986.03")
+    assert rows(sf.slice_by(df, "Region", "East", spec=spec)) == [("East", "A", total)]
+    assert {r.TotalSales for r in sf.rollup_levels(df, spec).collect()} == {total}
+    assert {r.TotalSales for r in sf.drill_levels(df, None, spec).collect()} == {total}
+    assert {r.TotalSales for r in sf.top_bottom(df, spec=spec).collect()} == {total}
+    assert sf.compare_members(df, "Region", ("East", "West"), "Category", spec).first().East == total
+    found = sf.headline_findings(df, ("Region", "East"), {"Region": ["East"]}, spec=spec).first()
+    assert (found.TotalSales, found.Text) == (total, "A ($18,014,398,509,481,986.03)")
+
+
 def test_other_cubes(spark):
     spec = sf.CubeSpec(
         measure="qty", total="units", dimensions=("site",), all_name="World",
