@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import lru_cache
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -131,7 +132,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def prepared(query):
         return lambda spark, folder: query(prepare(spark), folder)
 
-    return {name: prepared(query) for name, query in _queries().items()}
+    own = {name: prepared(query) for name, query in _queries().items()}
+    return own | {name: query for part in _parts() for name, query in part.queries().items()}
+
+
+def _parts() -> list:
+    """The training-data operators and their pipeline, where they are installed."""
+    found = []
+    for name in ("starfold.llm.queries", "corpus_pipeline"):
+        try:
+            found.append(import_module(name))
+        except ModuleNotFoundError as missing:
+            if missing.name not in ("starfold.llm", "corpus_pipeline"):
+                raise
+    return found
 
 
 def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -296,6 +310,10 @@ def _money_text(amount: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    return _oracle_sql() | {k: v for part in _parts() for k, v in part.oracle_sql().items()}
+
+
+def _oracle_sql() -> dict[str, str]:
     in_dice = f"Region IN ({_quoted(REGIONS)}) AND Category IN ({_quoted(CATEGORIES)})"
     whole = """SELECT TransactionID, SaleDate, SalesYear, SalesQuarter, YearMonth, CustomerID,
         CustomerName, Region, ProductID, ProductName, Category, StoreID, CampaignID,
