@@ -16,6 +16,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starfold.llm.common import with_text
+
 _NOT_WORD = bytes(
     32 if b < 0x30 or 0x3A <= b <= 0x60 or 0x7B <= b <= 0x7F else b for b in range(256)
 )
@@ -242,12 +244,3 @@ def remove_overlaps(
     )
     cleaned = docs.withColumn("_clean", clean("text")).where(F.col("_clean.coverage") <= max_coverage)
     return with_text(cleaned, F.col("_clean.text")).select(docs.columns)
-
-
-def with_text(docs: DataFrame, text: Column) -> DataFrame:
-    """``docs`` with another text; n_chars is counted anew where the text has changed."""
-    if "n_chars" in docs.columns:
-        changed = ~F.col("text").eqNullSafe(text)
-        n_chars = F.when(changed, F.length(text)).otherwise(F.col("n_chars"))
-        docs = docs.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType))
-    return docs.withColumn("text", text)

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starfold.llm import bpe, decontaminate, simhash
+from starfold.llm import bpe, decontaminate, pii, secret_scan, sharding, simhash
 from starfold.llm.common import table
 
 BPE = {
@@ -21,11 +22,27 @@ def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), **BPE)
 
 
+def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.scan(table(spark, folder, "documents"))
+
+
+def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.shard_documents(table(spark, folder, "documents"), shards=16)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"), 4, 4)
     return found.selectExpr("doc_id", "lpad(lower(hex(fp)), 16, '0') AS fingerprint", "component_id")
 
 
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.scan(table(spark, folder, "documents"))
+
+
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(
         table(spark, folder, "documents"), table(spark, folder, "benchmark"), window=10
@@ -35,7 +52,10 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_bpe": op4_bpe,
+        "op5_secret_scan": op5_secret_scan,
+        "op7_sharding": op7_sharding,
         "op8_simhash": op8_simhash,
+        "op9_pii": op9_pii,
         "op10_decontaminate": op10_decontaminate,
     }
 
