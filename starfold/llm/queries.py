@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfold.llm import bpe, decontaminate, pii, secret_scan, sharding, simhash
+from starfold.llm import bpe, decontaminate, pii, quality, secret_scan, sharding, simhash, toxicity
 from starfold.llm.common import table
 
 BPE = {
@@ -18,6 +18,18 @@ BPE = {
 }
 
 
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.score_documents(
+        table(spark, folder, "documents"), table(spark, folder, "labels"), folds=5, fold=0, threshold=0.3
+    )
+
+
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_documents(
+        table(spark, folder, "documents"), table(spark, folder, "labels"), folds=3, fold=1, threshold=0.7
+    )
+
+
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), **BPE)
 
@@ -51,6 +63,8 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality": op1_quality,
+        "op2_toxicity": op2_toxicity,
         "op4_bpe": op4_bpe,
         "op5_secret_scan": op5_secret_scan,
         "op7_sharding": op7_sharding,
