@@ -8,8 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfold.llm import bpe, decontaminate, pii, quality, secret_scan, sharding, simhash, toxicity
+from starfold.llm import (
+    ann, bpe, decontaminate, pii, quality, secret_scan, sharding, simhash, token_counts, toxicity,
+)
 from starfold.llm.common import table
+from starfold.sources import shared_folder
 
 BPE = {
     "model": public_tokenizers.path("byte_bpe_50k.json"),
@@ -30,6 +33,10 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_ann(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), **BPE)
 
@@ -38,6 +45,11 @@ def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.scan(table(spark, folder, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return token_counts.build(documents, shared_folder(spark, "token_counts")).totals()
+
+
 def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.shard_documents(table(spark, folder, "documents"), shards=16)
     return placed.select(
@@ -65,8 +77,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
         "op2_toxicity": op2_toxicity,
+        "op3_ann": op3_ann,
         "op4_bpe": op4_bpe,
         "op5_secret_scan": op5_secret_scan,
+        "op6_token_counts": op6_token_counts,
         "op7_sharding": op7_sharding,
         "op8_simhash": op8_simhash,
         "op9_pii": op9_pii,
@@ -74,5 +88,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+_TOKEN_COUNTS = r"""
+WITH counted AS (
+    SELECT doc_id, source, lang,
+           LEN(REGEXP_EXTRACT_ALL(COALESCE(text, ''),
+               '[0-9]+|[A-Za-z\x{80}-\x{10FFFF}]+|[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]')) AS n,
+           MIN(doc_id) OVER (PARTITION BY COALESCE(text, '')) AS first_id
+    FROM documents
+)
+SELECT source, lang, 'pieces-2' AS tokenizer, COUNT(*) AS documents, CAST(SUM(n) AS BIGINT) AS tokens
+FROM counted WHERE NOT COALESCE(doc_id > first_id, FALSE) GROUP BY source, lang
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_token_counts": _TOKEN_COUNTS}
