@@ -34,16 +34,23 @@ def held_out(doc_id: Column | str, folds: int, fold: int) -> Column:
     return F.coalesce(remainder == fold, F.lit(False))
 
 
+def sampled(df: DataFrame, by: Column, rows: int, total: int) -> DataFrame:
+    """About ``rows`` of the ``total`` rows of ``df``, for fitting a model: those whose hash ``by`` is
+    in the lowest part of its range. All rows, if there are no more. Every task decides for its own
+    rows, so nothing is sorted or gathered."""
+    if total <= rows:
+        return df
+    return df.where(F.shiftrightunsigned(by, 33) < int(rows / total * (1 << 31)))
+
+
 def labelled(labels: DataFrame, label: str, folds: int, fold: int, rows: int) -> DataFrame:
-    """``doc_id, y``: at most ``rows`` labels (a bound of the model, not of the corpus) that may be
-    learned from, chosen by a hash of doc_id. Null ids, null labels and held-out ids are left out;
+    """``doc_id, y``: about ``rows`` labels at most (a bound of the model, not of the corpus) that may
+    be learned from, chosen by a hash of doc_id. Null ids, null labels and held-out ids are left out;
     of repeated rows one stays."""
     y = F.col(label).cast("int")
     usable = labels.where(F.col("doc_id").isNotNull() & y.isin(0, 1) & ~held_out("doc_id", folds, fold))
-    return (
-        usable.select("doc_id", y.alias("y")).distinct()
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(rows)
-    )
+    usable = usable.select("doc_id", y.alias("y")).distinct()
+    return sampled(usable, F.xxhash64("doc_id"), rows, usable.count())
 
 
 def with_text(docs: DataFrame, text: Column) -> DataFrame:
