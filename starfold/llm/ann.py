@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from starfold.llm.common import written
+from starfold.llm.common import sampled, written
 
 #: Bits of a substring.
 _BITS = 8
@@ -140,7 +140,7 @@ def search(
     that ``is_query`` holds for, the ``k`` nearest other rows found, nearest first, ties to the
     smaller vec_id.
 
-    The codes and the radius are fitted on at most ``sample`` rows, chosen by a hash of vec_id; all
+    The codes and the radius are fitted on about ``sample`` rows at most, chosen by a hash of vec_id; all
     rows are indexed. Vectors that are null, zero or not finite take no part, nor do rows without
     vec_id, nor vectors of another length than most. Rows with the query's vec_id are its own row.
     A repeated candidate row counts once for each row, a repeated query once. Fewer than k other
@@ -164,13 +164,12 @@ def search(
         return spark.createDataFrame([], schema)
     norm = float(np.sqrt(most["square"]))
     own = own.where(F.size("v") == most["length"])
-    fitted = own.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("v").toPandas()
-    base = _rows(fitted["v"])
+    total = own.count()
+    base = _rows(sampled(own, F.xxhash64("vec_id"), sample, total).select("v").toPandas()["v"])
     codes = Codes(filled(base, norm), bits)
     radius = calibrate(codes, base, norm, k, share, 400)
     model = spark.sparkContext.broadcast(codes)
 
-    total = own.count()
     shards = -(-total // shard_rows)
     queries = own.where("asks").select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
     queries = queries.dropDuplicates(["query_id"])
