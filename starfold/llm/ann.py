@@ -152,16 +152,15 @@ def search(
         raise TypeError("embedding must be an array")
     vector = F.col("embedding").cast("array<double>")
     own = vectors.select(
-        "vec_id", vector.alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks")
+        F.col("vec_id").cast("long").alias("vec_id"), vector.alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks")
     ).where(F.col("vec_id").isNotNull() & usable(F.col("v")))
     lengths = own.groupBy(F.size("v").alias("length")).agg(
         F.count("*").alias("rows"),
         F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("square"),
     )
     most = lengths.orderBy(F.desc("rows"), "length").first()
-    schema = f"query_id {own.schema['vec_id'].dataType.simpleString()}, rank int, vec_id long, score double"
     if most is None:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     norm = float(np.sqrt(most["square"]))
     own = own.where(F.size("v") == most["length"])
     total = own.count()
@@ -182,7 +181,7 @@ def search(
 
     def find(rows: pd.DataFrame, probes: pd.DataFrame) -> pd.DataFrame:
         if not len(rows) or not len(probes):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": int, "vec_id": int})
+            return pd.DataFrame({"query_id": np.empty(0, int), "vec_id": np.empty(0, int), "score": np.empty(0)})
         rows = rows.sort_values("vec_id", kind="stable")
         ids, x, q = rows["vec_id"].to_numpy(), _rows(rows["v"]), _rows(probes["q"])
         index = Index(model.value.encode(filled(x, norm)))
@@ -194,8 +193,8 @@ def search(
             near = near[ids[near] != query_id]
             score = products(x[near], query)
             best = np.lexsort((ids[near], -score))[:k]
-            out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[near][best], "score": score[best]}))
-        return pd.concat(out)
+            out.append((np.full(len(best), query_id), ids[near][best], score[best]))
+        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
 
     found = (
         indexed.groupBy("shard", "block")
