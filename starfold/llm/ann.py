@@ -75,19 +75,17 @@ class Index:
     def __init__(self, codes: np.ndarray):
         self.codes = codes
         self.words = np.ascontiguousarray(codes).view(np.uint64)
-        self.order = np.argsort(codes, axis=0, kind="stable")
-        self.starts = np.stack(
-            [np.searchsorted(codes[self.order[:, i], i], np.arange(257)) for i in range(codes.shape[1])]
-        )
+        self.order = [np.argsort(part, kind="stable") for part in codes.T]
+        self.sizes = [np.bincount(part, minlength=256) for part in codes.T]
 
     def within(self, code: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-        """Rows whose codes differ from ``code`` in at most ``radius`` bits, and the distances."""
-        reach = radius // len(code)
+        """Rows whose codes differ from ``code`` in at most ``radius`` bits, and the distances: the
+        buckets near enough of each substring, then a look at the whole codes."""
+        reach, more = divmod(radius, len(code))
         seen = np.zeros(len(self.codes), bool)
         for i, value in enumerate(code):
-            starts = self.starts[i]
-            for near in np.flatnonzero(_NEAR[value] <= reach):
-                seen[self.order[starts[near] : starts[near + 1], i]] = True
+            probed = _NEAR[value] <= (reach if i <= more else reach - 1)
+            seen[self.order[i][np.repeat(probed, self.sizes[i])]] = True
         rows = np.flatnonzero(seen)
         apart = np.bitwise_count(self.words[rows] ^ code.view(np.uint64)).sum(axis=1)
         near = apart <= radius
