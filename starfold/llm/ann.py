@@ -3,10 +3,10 @@
 Vectors become binary codes: a rotation learned on a bounded sample brings them near the corners of
 a cube, the signs are the code (several rotations make a longer code). A coordinate that fills all
 vectors up to the same norm makes the order of angles that of inner products. Each code is cut into
-substrings and each substring has an index. If two codes differ in no more than R bits, one of m
-substrings differs in no more than R // m; so probing all substrings that near finds every code
-within R, and these are ranked by the exact product. R is the radius within which the sample's true
-neighbours lie.
+m substrings and each substring has an index. With R = m r + a, two codes that differ in no more
+than R bits differ in no more than r on one of the first a + 1 substrings, or in less than r on one
+of the others; so probing all buckets that near finds every code within R, and these are ranked by
+the exact product. R is the radius within which the sample's true neighbours lie.
 
 All rows are indexed, in shards of a fixed number of rows, and queries come in blocks of a fixed
 number: a task searches one shard for one block, and the best of all shards are ranked at the end.
