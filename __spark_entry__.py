@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
+from dataclasses import replace
 from importlib import import_module
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import starfold as sf
 from starfold.functions import composite_label
-from starfold.plans import retail
+from starfold.plans import report, retail
 from starfold.plans.session import prepare
 from starfold.schema import schema_of
 from starfold.sources import shared_folder
@@ -35,18 +36,68 @@ def _shown(reporting: DataFrame) -> DataFrame:
     return reporting.withColumn("SaleAmount", F.col("SaleAmount").cast("double"))
 
 
-def _exported(spark: SparkSession, folder: str) -> DataFrame:
-    reporting = _view(spark, folder)
-    path = sf.export_csv(reporting, shared_folder(spark, "sales_reporting_csv"))
-    return sf.read_reporting_csv(spark, path, schema_of(reporting))
-
-
 def _mart(spark: SparkSession, folder: str) -> DataFrame:
     reporting = _view(spark, folder)
     path = sf.write_mart(reporting, shared_folder(spark, "sales_mart"))
     return sf.read_mart(spark, path, schema_of(reporting))
 
 
+def _csv(spark: SparkSession, folder: str) -> str:
+    """The extract of the mart, so that the sort reads files and the star join runs once."""
+    return sf.export_csv(_mart(spark, folder), shared_folder(spark, "sales_reporting_csv"))
+
+
+def _exported(spark: SparkSession, folder: str) -> DataFrame:
+    schema = schema_of(_view(spark, folder))
+    return sf.read_reporting_csv(spark, _csv(spark, folder), schema)
+
+
+def _texts(name: str, order: list[str]):
+    """A table with quotes and line breaks, written as CSV and read again."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        table = retail.table(spark, folder, name)
+        path = sf.export_csv(table, shared_folder(spark, f"{name}_csv"), order, rows_per_file=100_000)
+        return sf.read_reporting_csv(spark, path, table.schema)
+
+    return run
+
+
+def _warehouse(spark: SparkSession, folder: str) -> str:
+    """The given tables as a warehouse of three."""
+    path = shared_folder(spark, "warehouse")
+    for name, frame in {
+        "fact_sales": retail.fact_sales(spark, folder),
+        "dim_customers": retail.dim_customers(spark, folder),
+        "dim_products": retail.dim_products(spark, folder),
+    }.items():
+        frame.write.parquet(f"{path}/{name}")
+    return path
+
+
+def _from_warehouse(spark: SparkSession, folder: str) -> DataFrame:
+    tables = sf.open_warehouse(spark, _warehouse(spark, folder))
+    reporting = sf.build_reporting(*(tables[n] for n in ("fact_sales", "dim_customers", "dim_products")))
+    sf.require_rows(sf.restrict(reporting, {"Region": REGION}), f"no sales in {REGION}")
+    return sf.slice_by(reporting, "Region", REGION)
+
+
+def _report(answer: str):
+    """One answer of a whole report: warehouse, mart, extract, cuboid, answers."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ask = report.Questions(("Region", REGION), {"Region": REGIONS, "Category": CATEGORIES})
+        results, _ = report.run(spark, _warehouse(spark, folder), shared_folder(spark, "report"), ask)
+        return results[answer]
+
+    return run
+
+
+def _float_total(spark: SparkSession, folder: str) -> DataFrame:
+    spec = replace(sf.SALES, measure="l_tax", total="TotalTax", scale=6)
+    return sf.total_by(retail.table(spark, folder, "lineitem"), ["l_returnflag", "l_linestatus"], spec)
+
+
 def _summary_mart(spark: SparkSession, folder: str) -> DataFrame:
     cuboid = sf.base_cuboid(_view(spark, folder))
     path = sf.write_mart(cuboid, shared_folder(spark, "sales_summary"))
@@ -54,11 +105,12 @@ def _summary_mart(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _sql_view(spark: SparkSession, folder: str) -> DataFrame:
-    sf.register_view(_view(spark, folder), "sales_reporting")
+    view = f"sales_reporting_{uuid4().hex}"
+    sf.register_view(_view(spark, folder), view)
     return spark.sql(
-        """
+        f"""
         SELECT Region, Category, CAST(ROUND(SUM(SaleAmount), 2) AS DOUBLE) AS TotalSales
-        FROM sales_reporting WHERE Region = :region
+        FROM {view} WHERE Region = :region
         GROUP BY Region, Category ORDER BY TotalSales DESC, Category
         """,
         args={"region": REGION},
@@ -71,21 +123,14 @@ def _documents_with_labels(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _duplicates(spark: SparkSession, folder: str) -> DataFrame:
-    sources = {
-        "lineitem": retail.table(spark, folder, "lineitem"),
-        "documents": retail.table(spark, folder, "documents").select("text", "lang"),
-    }
-    found = [sf.duplicate_rows(df).withColumn("source", F.lit(n)) for n, df in sources.items()]
+    sources = {"lineitem": None, "documents": ["text", "lang"]}
+    found = [
+        sf.duplicate_rows(retail.table(spark, folder, n), subset).withColumn("source", F.lit(n))
+        for n, subset in sources.items()
+    ]
     return found[0].unionByName(found[1])
 
 
-def _numeric(method: str):
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        return sf.numeric_summary(retail.table(spark, folder, "lineitem"), method=method)
-
-    return run
-
-
 def _orphans(spark: SparkSession, folder: str) -> DataFrame:
     fact = sf.orphan_facts(
         retail.fact_sales(spark, folder),
@@ -100,15 +145,13 @@ def _orphans(spark: SparkSession, folder: str) -> DataFrame:
     return fact.unionByName(documents)
 
 
-@lru_cache(maxsize=8)
 def _view(spark: SparkSession, folder: str) -> DataFrame:
-    """The reporting view of a folder: the definition is kept, no data."""
+    """The reporting view of a folder."""
     return retail.reporting(spark, folder)
 
 
 def _csv_structure(spark: SparkSession, folder: str) -> DataFrame:
-    path = sf.export_csv(_view(spark, folder), shared_folder(spark, "sales_reporting_csv"))
-    return sf.structure(sf.read_csv(spark, path))
+    return sf.structure(sf.read_csv(spark, _csv(spark, folder)))
 
 
 def _unlabelled(spark: SparkSession, folder: str) -> DataFrame:
@@ -164,6 +207,12 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "summary_mart_rollup": lambda spark, folder: sf.rollup_levels(_summary_mart(spark, folder)),
         "summary_mart_findings": _summary_findings,
         "csv_structure": _csv_structure,
+        "csv_conversations": _texts("conversations", ["conv_id", "turn"]),
+        "csv_pages": _texts("pages", ["page_id"]),
+        "warehouse_slice": _from_warehouse,
+        "report_findings": _report("findings"),
+        "report_rollup": _report("rollup"),
+        "float_total": _float_total,
         "orphan_facts": _orphans,
         "orphan_rows": _unlabelled,
         "duplicate_keys": lambda spark, folder: sf.duplicate_keys(
@@ -209,6 +258,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "profile_structure": lambda spark, folder: sf.structure(
             retail.table(spark, folder, "orders")
         ),
+        "profile_preview": _on(lambda df: sf.row_count(sf.preview(df, 7))),
         "profile_missing": lambda spark, folder: sf.missing_values(
             _documents_with_labels(spark, folder)
         ),
@@ -216,8 +266,12 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             _documents_with_labels(spark, folder)
         ),
         "profile_duplicates": _duplicates,
-        "profile_numeric": _numeric("exact"),
-        "profile_numeric_sketch": _numeric("approx"),
+        "profile_numeric": lambda spark, folder: sf.numeric_summary(
+            retail.table(spark, folder, "lineitem")
+        ),
+        "profile_numeric_sketch": lambda spark, folder: sf.sketch_check(
+            retail.table(spark, folder, "lineitem")
+        ),
         # reports described in words only
         "compare_regions": _on(
             lambda df: sf.compare_members(df, "Region", ("ASIA", "EUROPE"), "Category")
@@ -238,9 +292,8 @@ WITH fact AS (
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 ), r AS (
     SELECT TransactionID, SaleDate,
-           CAST(EXTRACT(YEAR FROM SaleDate) AS INTEGER) AS SalesYear,
-           CAST(EXTRACT(QUARTER FROM SaleDate) AS INTEGER) AS SalesQuarter,
-           STRFTIME(SaleDate, '%Y-%m') AS YearMonth,
+           YEAR(SaleDate)::INTEGER AS SalesYear, QUARTER(SaleDate)::INTEGER AS SalesQuarter,
+           LEFT(SaleDate::DATE::VARCHAR, 7) AS YearMonth,
            CustomerID, c_name AS CustomerName, r_name AS Region,
            ProductID, p_name AS ProductName, p_type AS Category,
            StoreID, CampaignID, SaleAmount
@@ -262,16 +315,20 @@ SELECT CASE GROUPING_ID(SalesYear, SalesQuarter, YearMonth)
 FROM {{source}} GROUP BY ROLLUP (SalesYear, SalesQuarter, YearMonth)
 """
 
+#: Levels of a drill-down by GROUPING_ID of year, quarter and month: number, name, label.
 _DRILL = f"""
-SELECT 1 AS SortLevel, 'Year' AS DetailLevel, CAST(SalesYear AS VARCHAR) AS PeriodLabel,
-       CAST(NULL AS INTEGER) AS SalesQuarter, CAST(NULL AS VARCHAR) AS YearMonth, {_TOTAL}
-FROM r WHERE SalesYear = {{year}} GROUP BY SalesYear
-UNION ALL
-SELECT 2, 'Quarter', SalesYear || '-Q' || SalesQuarter, SalesQuarter, NULL, {_TOTAL}
-FROM r WHERE SalesYear = {{year}} GROUP BY SalesYear, SalesQuarter
-UNION ALL
-SELECT 3, 'Month', YearMonth, SalesQuarter, YearMonth, {_TOTAL}
-FROM r WHERE SalesYear = {{year}} GROUP BY SalesQuarter, YearMonth
+, g AS (
+    SELECT GROUPING_ID(SalesYear, SalesQuarter, YearMonth) AS gid, SalesYear, SalesQuarter,
+           YearMonth, {_TOTAL}
+    FROM r WHERE SalesYear = {{year}}
+    GROUP BY GROUPING SETS (
+        (SalesYear, SalesQuarter, YearMonth), (SalesYear, SalesQuarter), (SalesYear)
+    )
+)
+, level(gid, SortLevel, DetailLevel) AS (VALUES (0, 3, 'Month'), (1, 2, 'Quarter'), (3, 1, 'Year'))
+SELECT SortLevel, DetailLevel, SalesQuarter, YearMonth, TotalSales,
+       COALESCE(YearMonth, CONCAT_WS('-Q', SalesYear, SalesQuarter)) AS PeriodLabel
+FROM g JOIN level USING (gid)
 """
 
 _LATEST = "(SELECT MAX(SalesYear) FROM r)"
@@ -290,6 +347,12 @@ SELECT Side, CAST(Rank AS INTEGER) AS Rank, Label, TotalSales FROM s WHERE Rank
 """
 
 
+_NUMBERS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax",
+)
+
+
 def _quoted(values) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
@@ -373,6 +436,13 @@ def _oracle_sql() -> dict[str, str]:
         "mart_drilldown": _REPORTING + _DRILL.format(year=YEAR),
         "mart_latest": _REPORTING + _DRILL.format(year=_LATEST),
         "summary_mart_rollup": _REPORTING + _ROLLUP.format(source="r"),
+        "csv_conversations": "SELECT * FROM conversations",
+        "csv_pages": "SELECT * FROM pages",
+        "warehouse_slice": _REPORTING + slice_region,
+        "report_findings": findings,
+        "report_rollup": _REPORTING + _ROLLUP.format(source="r"),
+        "float_total": """SELECT l_returnflag, l_linestatus, ROUND(SUM(l_tax), 6) AS TotalTax
+        FROM lineitem GROUP BY l_returnflag, l_linestatus""",
         "orphan_facts": _REPORTING
         + orphans.format(key="CustomerID", fk="CustomerID", fact="fact", dim="customer", dk="c_custkey")
         + " UNION ALL "
@@ -419,13 +489,10 @@ def _oracle_sql() -> dict[str, str]:
         "drilldown_latest": _REPORTING + _DRILL.format(year=_LATEST),
         "drilldown_quarter": _REPORTING
         + f"""
-        SELECT 1 AS SortLevel, 'Quarter' AS DetailLevel,
-               SalesYear || '-Q' || SalesQuarter AS PeriodLabel, CAST(NULL AS VARCHAR) AS YearMonth,
-               {_TOTAL}
-        FROM r WHERE SalesYear = {YEAR} AND SalesQuarter = 3 GROUP BY SalesYear, SalesQuarter
-        UNION ALL
-        SELECT 2, 'Month', YearMonth, YearMonth, {_TOTAL}
-        FROM r WHERE SalesYear = {YEAR} AND SalesQuarter = 3 GROUP BY YearMonth""",
+        SELECT IF(GROUPING(YearMonth) = 1, 1, 2) AS SortLevel,
+               IF(GROUPING(YearMonth) = 1, 'Quarter', 'Month') AS DetailLevel, YearMonth,
+               COALESCE(YearMonth, '{YEAR}-Q3') AS PeriodLabel, {_TOTAL}
+        FROM r WHERE SalesYear = {YEAR} AND SalesQuarter = 3 GROUP BY ROLLUP (YearMonth)""",
         "drilldown_monthly": _REPORTING
         + f"SELECT YearMonth, {_TOTAL} FROM r WHERE SalesYear = {YEAR} GROUP BY YearMonth",
         "monthly_trend": _REPORTING
@@ -451,6 +518,11 @@ def _oracle_sql() -> dict[str, str]:
             "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
             "o_orderdate timestamp_ntz, o_orderpriority string",
         ),
+        "profile_preview": _REPORTING + "SELECT LEAST(COUNT(*), 7) AS rows FROM r",
+        "profile_numeric_sketch": " UNION ALL ".join(
+            f"""SELECT '{c}' AS "column", '{q}' AS quantile, TRUE AS enclosed"""
+            for c in _NUMBERS for q in ("p25", "p50", "p75")
+        ),
         "profile_missing": f"SELECT * FROM ({missing}) WHERE missing > 0",
         "profile_missing_total": f"SELECT CAST(SUM(missing) AS BIGINT) AS missing FROM ({missing})",
         "profile_duplicates": duplicates.format(name="lineitem", keys="ALL").replace(
@@ -459,10 +531,7 @@ def _oracle_sql() -> dict[str, str]:
         )
         + " UNION ALL "
         + duplicates.format(name="documents", keys="text, lang"),
-        "profile_numeric": _numeric_sql(
-            ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-             "l_extendedprice", "l_discount", "l_tax")
-        ),
+        "profile_numeric": _numeric_sql(_NUMBERS),
         "compare_regions": _REPORTING
         + """
         SELECT Category, CAST(a AS DOUBLE) AS "ASIA", CAST(e AS DOUBLE) AS "EUROPE",

@@ -11,13 +11,14 @@ from starfold.operators.cube import (
 )
 from starfold.operators.findings import headline_findings
 from starfold.operators.profile import (
-    duplicate_rows, missing_values, numeric_columns, numeric_summary, preview, structure,
-    total_missing,
+    duplicate_rows, missing_values, numeric_columns, numeric_summary, preview, sketch_check,
+    structure, total_missing,
 )
 from starfold.operators.rank import strongest, top_bottom
 from starfold.operators.star import attach_dimension, build_reporting, register_view
 from starfold.sources import (
-    export_csv, open_warehouse, read_csv, read_mart, read_reporting_csv, require_tables, write_mart,
+    export_csv, failed_values, open_warehouse, read_csv, read_mart, read_reporting_csv,
+    require_tables, write_mart,
 )
 from starfold.spec import SALES, CubeSpec, Level
 

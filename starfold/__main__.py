@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from starfold.plans.report import Questions, run
+from starfold.plans.report import Questions, run, write_answers
 from starfold.plans.session import prepare
 
 
@@ -29,9 +29,8 @@ def main(argv: list[str] | None = None) -> None:
     )
     results, rows = run(spark, args.warehouse, args.output, ask)
     print(f"{rows} reporting rows")
-    for name, frame in results.items():
-        print(name)
-        frame.show(100, truncate=False)
+    for name, path in write_answers(results, args.output).items():
+        print(f"{name}: {path}")
 
 
 if __name__ == "__main__":

@@ -1,7 +1,9 @@
 """The measure: exact sums, rounded at the end.
 
 Amounts are added as decimals. A decimal sum does not depend on the order of the rows, so partial
-sums over any partitioning, and sums of pre-aggregated sums, give the same total to the cent.
+sums over any partitioning, and sums of pre-aggregated sums, give the same total to the cent. A
+floating point measure is added as it is, so that values of any size count, or as a decimal that the
+caller names.
 """
 
 from __future__ import annotations
@@ -12,22 +14,25 @@ from pyspark.sql import types as T
 
 from starfold.functions.columns import col
 
-# Width that a binary floating point measure is brought to before it is added up.
-FLOAT_AS = T.DecimalType(28, 8)
 
-
-def exact(df: DataFrame, measure: str) -> Column:
-    """The measure as a type whose sum is exact; NaN counts as missing."""
+def exact(df: DataFrame, measure: str, float_as: str = "double") -> Column:
+    """The measure as it is added up; NaN counts as missing. ``float_as`` is the type of a floating
+    point measure. A value that it cannot hold is an error, whatever the session's ANSI setting."""
     c = col(measure)
-    if isinstance(df.schema[measure].dataType, (T.FloatType, T.DoubleType)):
-        return F.nanvl(c, F.lit(None).cast("double")).cast(FLOAT_AS)
-    return c
+    if not isinstance(df.schema[measure].dataType, (T.FloatType, T.DoubleType)):
+        return c
+    present = F.nanvl(c.cast("double"), F.lit(None).cast("double"))
+    if float_as == "double":
+        return present
+    fitted = present.try_cast(float_as)
+    refusal = F.raise_error(F.concat(F.lit(f"{measure} does not fit {float_as}: "), present.cast("string")))
+    return F.when(present.isNotNull() & fitted.isNull(), refusal.cast(float_as)).otherwise(fitted)
 
 
-def summed(df: DataFrame, measure: str) -> Column:
-    return F.sum(exact(df, measure))
+def summed(df: DataFrame, measure: str, float_as: str = "double") -> Column:
+    return F.sum(exact(df, measure, float_as))
 
 
 def rounded(total: Column, scale: int = 2, as_type: str = "double") -> Column:
-    """Round an exact sum, and leave the decimal domain if ``as_type`` is a double."""
+    """Round a sum, and leave the decimal domain if ``as_type`` is a double."""
     return F.round(total, scale).cast(as_type)

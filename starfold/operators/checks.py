@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starfold.functions import col
 
@@ -36,30 +38,51 @@ def observed_rows(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observa
 
 
 def orphan_rows(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
-    """Fact rows that the inner join leaves out: key unknown to the dimension, or null."""
-    return fact.join(dimension.select(key), key, "left_anti")
+    """Fact rows that the inner join leaves out: key unknown to the dimension, or null. Rows with a
+    null key go round the join, as it would gather them all in one partition."""
+    known = fact.filter(col(key).isNotNull()).join(dimension.select(key), key, "left_anti")
+    return known.unionByName(fact.filter(col(key).isNull()).select(known.columns))
 
 
 def orphan_facts(fact: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
     """Per dimension key: how many keys, and how many fact rows, have no dimension row.
 
-    The fact is reduced to one row per key before the join, so a key that holds much of the fact
-    is counted where it lies and crosses the network once per task.
+    One pass over the facts counts the rows of every key of every dimension; only these counts meet
+    the dimensions, in one join, so a key that holds much of the fact crosses the network once per
+    task. A null key is an orphan like any unknown one, and is one row by then.
     """
-    checks = []
-    for key, dimension in dimensions.items():
-        per_key = fact.groupBy(col(key)).agg(F.count(F.lit(1)).alias("__rows"))
-        checks.append(
-            orphan_rows(per_key, dimension, key).agg(
-                F.lit(key).alias("dimension_key"),
-                F.count(F.lit(1)).alias("orphan_keys"),
-                F.coalesce(F.sum("__rows"), F.lit(0)).alias("orphan_rows"),
-            )
-        )
-    result = checks[0]
-    for check in checks[1:]:
-        result = result.unionByName(check)
-    return result
+
+    def text_of(frame: DataFrame, key: str, kind: T.DataType) -> Column:
+        own = col(key).cast("string")
+        if frame.schema[key].dataType == kind:
+            return own
+        return F.coalesce(col(key).try_cast(kind).cast("string"), own)
+
+    kinds = {key: dimension.schema[key].dataType for key, dimension in dimensions.items()}
+    keys = F.array(
+        *[
+            F.struct(F.lit(key).alias("dimension_key"), text_of(fact, key, kind).alias("key"))
+            for key, kind in kinds.items()
+        ]
+    )
+    counts = (
+        fact.select(F.explode(keys).alias("k")).groupBy("k.dimension_key", "k.key")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    known = [
+        dimension.select(F.lit(key).alias("dimension_key"), text_of(dimension, key, kinds[key]).alias("key"))
+        for key, dimension in dimensions.items()
+    ]
+    orphans = counts.join(reduce(DataFrame.unionByName, known), ["dimension_key", "key"], "left_anti")
+    names = F.posexplode(F.array(*[F.lit(key) for key in dimensions]))
+    every = fact.sparkSession.range(1).select(names.alias("position", "dimension_key"))
+    found = orphans.groupBy("dimension_key").agg(
+        F.count(F.lit(1)).alias("orphan_keys"), F.sum("rows").alias("orphan_rows")
+    )
+    return every.join(found, "dimension_key", "left").orderBy("position").select(
+        "dimension_key",
+        *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("orphan_keys", "orphan_rows")],
+    )
 
 
 def duplicate_keys(dimension: DataFrame, key: str) -> DataFrame:

@@ -92,7 +92,7 @@ def restrict_latest(df: DataFrame, spec: CubeSpec = SALES) -> DataFrame:
 
 
 def _totals(df: DataFrame, keys: Sequence[str], spec: CubeSpec) -> DataFrame:
-    return df.groupBy(*[col(k) for k in keys]).agg(summed(df, spec.measure).alias(_SUM))
+    return df.groupBy(*[col(k) for k in keys]).agg(summed(df, spec.measure, spec.float_as).alias(_SUM))
 
 
 def result(total: Column, spec: CubeSpec) -> Column:
@@ -119,7 +119,7 @@ def base_cuboid(
     one pass over the facts.
     """
     keys = spec.grain if keys is None else tuple(keys)
-    return df.groupBy(*[col(k) for k in keys]).agg(summed(df, spec.measure).alias(spec.measure))
+    return df.groupBy(*[col(k) for k in keys]).agg(summed(df, spec.measure, spec.float_as).alias(spec.measure))
 
 
 def largest_first(df: DataFrame, keys: Sequence[str], spec: CubeSpec = SALES) -> DataFrame:
@@ -138,10 +138,8 @@ def slice_by(
     by: str | Sequence[str] | None = None,
     spec: CubeSpec = SALES,
 ) -> DataFrame:
-    """Fix one dimension to one member and compare the others inside it, largest first.
-
-    ``by`` defaults to the spec's remaining dimensions. No row if the member does not occur.
-    """
+    """Totals of one member, by the spec's other dimensions or by ``by``, in descending order. An
+    unknown member gives an empty frame."""
     if by is None:
         by = [d for d in spec.dimensions if d != dimension]
     keys = [dimension, *([by] if isinstance(by, str) else by)]
@@ -191,7 +189,7 @@ def rollup_levels(df: DataFrame, spec: CubeSpec = SALES) -> DataFrame:
 
 def grand_total(df: DataFrame, spec: CubeSpec = SALES) -> DataFrame:
     """Exactly one row; a null total if there is nothing to add."""
-    return df.agg(summed(df, spec.measure).alias(_SUM)).select(
+    return df.agg(summed(df, spec.measure, spec.float_as).alias(_SUM)).select(
         F.lit(spec.all_name).alias("SummaryLevel"), _total_column(spec)
     )
 

@@ -36,45 +36,74 @@ def headline_findings(
         df, dict.fromkeys((*spec.dimensions, dimension, *dice_on, *spec.hierarchy)), spec
     )
 
-    def question(number: int, name: str, keys: Sequence[str], test: Column, period: Column):
-        member_key = F.array(*[col(k).cast("string") for k in keys]) if keys else F.array(
-            F.lit(spec.all_name)
-        )
+    dice_test = F.lit(True)
+    for column, members in dice_on.items():
+        dice_test = dice_test & member_test(column, members)
+    no_period = F.lit(None).cast(df.schema[top.column].dataType)
+    in_period = col(top.column).isNotNull() if member is None else col(top.column) == member
+    total_name = "rollup_total"
+    asked_for = [
+        ("slice", by, member_test(dimension, chosen), no_period),
+        ("dice", list(dice_on), dice_test, no_period),
+        (total_name, [], F.lit(True), no_period),
+        (f"rollup_{top.name.lower()}", [top.column], col(top.column).isNotNull(), no_period),
+        (f"drilldown_{finest.name.lower()}", [finest.column], in_period, col(top.column)),
+    ]
+
+    def in_order(number: int) -> Column:
+        """The keys of each question with their own types, nulls last; those of others are null."""
+        fields = []
+        for i, (_, keys, _, _) in enumerate(asked_for, start=1):
+            own = [f for k in keys for f in (col(k).isNull(), col(k))] or [F.lit(0)]
+            own = F.struct(*[f.alias(f"f{j}") for j, f in enumerate(own)])
+            fields.append(F.when(F.lit(i == number), own).alias(f"q{i}"))
+        return F.struct(*fields)
+
+    def question(number: int, name: str, keys: Sequence[str], test: Column, period: Column) -> Column:
+        texts = [col(k).cast("string") for k in keys] or [F.lit(spec.all_name)]
         return F.when(
             test,
             F.struct(
                 F.lit(number).alias("number"),
                 F.lit(name).alias("finding"),
                 period.alias("period"),
-                member_key.alias("member"),
+                F.array(*texts).alias("member"),
+                in_order(number).alias("keys"),
             ),
         )
 
-    dice_test = F.lit(True)
-    for column, members in dice_on.items():
-        dice_test = dice_test & member_test(column, members)
-    no_period = F.lit(None).cast(df.schema[top.column].dataType)
-    in_period = col(top.column).isNotNull() if member is None else col(top.column) == member
-    questions = [
-        question(1, "slice", by, member_test(dimension, chosen), no_period),
-        question(2, "dice", list(dice_on), dice_test, no_period),
-        question(3, "rollup_total", [], F.lit(True), no_period),
-        question(4, f"rollup_{top.name.lower()}", [top.column], col(top.column).isNotNull(), no_period),
-        question(
-            5, f"drilldown_{finest.name.lower()}", [finest.column], in_period, col(top.column)
-        ),
-    ]
+    questions = [question(i, *q) for i, q in enumerate(asked_for, start=1)]
     asked = cuboid.select(
         F.explode(F.array_compact(F.array(*questions))).alias("q"), col(spec.measure)
     ).select("q.*", col(spec.measure))
-    totals = asked.groupBy("number", "finding", "period", "member").agg(
-        summed(asked, spec.measure).alias("total")
+    # The grand total has a row even where nothing else has: one without an amount always counts.
+    empty = {
+        "number": F.lit(3), "finding": F.lit(total_name), "member": F.array(F.lit(spec.all_name)),
+    }
+    kind = asked.schema["keys"].dataType
+    nothing = [
+        F.struct(F.lit(0).alias("f0")).cast(f.dataType) if f.name == "q3" else F.lit(None).cast(f.dataType)
+        for f in kind.fields
+    ]
+    empty["keys"] = F.struct(*[c.alias(f.name) for c, f in zip(nothing, kind.fields, strict=True)])
+    seed = df.sparkSession.range(1).select(
+        *[
+            empty.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in asked.schema.fields
+        ]
+    )
+    asked = asked.unionByName(seed)
+    totals = asked.groupBy("number", "finding", "period", "member", "keys").agg(
+        summed(asked, spec.measure, spec.float_as).alias("total")
     )
-    # Within a period the smallest struct wins: known before unknown, largest total, first key.
+    # Within a period the smallest struct wins, by the order of the operators themselves: known
+    # before unknown, largest total as it is shown, first keys.
+    shown = result(F.col("total"), spec)
     winner = F.min(
         F.struct(
             F.col("total").isNull().alias("unknown"),
-            (-F.col("total")).alias("order"),
+            (-shown).alias("order"),
+            F.col("keys"),
             F.col("member"),
             F.col("total"),
         )

@@ -70,27 +70,25 @@ def total_missing(df: DataFrame) -> DataFrame:
     return missing_values(df, only_present=False).agg(F.sum("missing").alias("missing"))
 
 
-# Text longer than this is grouped by its digest: 64 hex digits, which no shorter text can equal.
-_DIGEST_LENGTH = 64
-
-
 def _group_key(field: T.StructField) -> Column:
+    """Texts and bytes by their digest, whatever their length. Texts of a collation that takes
+    different bytes for equal are grouped as they are, by Spark's own rule."""
     c = col(field.name)
     if isinstance(field.dataType, T.StringType):
-        return F.when(F.octet_length(c) >= _DIGEST_LENGTH, F.sha2(c, 256)).otherwise(c)
-    if isinstance(field.dataType, T.BinaryType):
-        return F.sha2(c, 256)
-    return c
+        return F.sha2(c, 256) if field.dataType == T.StringType() else c
+    return F.sha2(c, 256) if isinstance(field.dataType, T.BinaryType) else c
 
 
-def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Rows, distinct rows and duplicates (all but the first of each group of equal rows).
+def duplicate_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
+    """Rows, distinct rows and duplicates (all but the first of each group of equal rows), by all
+    columns or by ``subset``.
 
     Nulls equal each other, and so do NaNs. Equal rows are merged where they are read, so a row
     repeated any number of times crosses the network once per task. Whole texts are compared, but
-    long ones travel as a SHA-256 digest.
+    travel as SHA-256 digests.
     """
-    keys = [_group_key(f).alias(f"k{i}") for i, f in enumerate(df.schema)]
+    chosen = df.columns if subset is None else subset
+    keys = [_group_key(df.schema[c]).alias(f"k{i}") for i, c in enumerate(chosen)]
     groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     return groups.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
@@ -231,11 +229,10 @@ def quantiles(
 # inside; ``next`` is the smallest value above it.
 _QUANTILE = ("position", "quantile", "at", "rank")
 _SPAN = ("low", "high", "before", "n", "next")
-_BRACKET_TYPES = [
-    ("position", pa.int32()), ("quantile", pa.int32()), ("at", pa.float64()), ("rank", pa.int64()),
-    ("low", pa.float64()), ("high", pa.float64()), ("before", pa.int64()), ("n", pa.int64()),
-    ("next", pa.float64()),
-]
+_BRACKET_TYPES = {
+    "position": "int", "quantile": "int", "at": "double", "rank": "bigint", "low": "double",
+    "high": "double", "before": "bigint", "next": "double",
+}
 
 
 def _local(values: DataFrame, rows: list[dict], types: list) -> DataFrame:
@@ -283,11 +280,13 @@ def _settle(
                 at = (row["count"] - 1) * p
                 place = {"position": row.position, "quantile": i, "at": at, "rank": math.floor(at)}
                 brackets.append(place | row[f"span{i}"].asDict())
-    long = _long(values)
     while wide := [b for b in brackets if b["n"] > enough and b["low"] < b["high"]]:
-        narrowed = _narrow(long, _local(values, wide, _BRACKET_TYPES)).collect()
+        narrowed = _narrow(values, wide).collect()
         brackets = [b for b in brackets if b not in wide] + [b.asDict() for b in narrowed]
-    found = _pick(long, _local(values, brackets, _BRACKET_TYPES))
+    if not brackets:
+        schema = ", ".join(["position int", *[f"`{name}` double" for name in probabilities]])
+        return values.sparkSession.createDataFrame([], schema)
+    found = _pick(values, brackets)
     fraction = F.col("at") - F.col("rank")
     interpolated = F.when(
         (fraction > 0) & (F.col("next") > F.col("value")),
@@ -301,19 +300,23 @@ def _settle(
     )
 
 
-def _inside(long: DataFrame, brackets: DataFrame) -> DataFrame:
-    """Values that lie in a bracket. There is one bracket per column and quantile, so what is
-    broadcast has a fixed size."""
-    return long.join(F.broadcast(brackets.drop("n")), "position").filter(
-        F.col("value").between(F.col("low"), F.col("high"))
-    )
+def _inside(values: DataFrame, brackets: list[dict]) -> DataFrame:
+    """Values that lie in a bracket, with that bracket. There is one bracket per column and
+    quantile; a row is tested against all of them before any row is made of it."""
+    tests = []
+    for b in brackets:
+        value = col(values.columns[b["position"]])
+        known = [F.lit(b[name]).cast(kind).alias(name) for name, kind in _BRACKET_TYPES.items()]
+        inside = value.between(F.lit(b["low"]), F.lit(b["high"]))
+        tests.append(F.when(inside, F.struct(*known, value.alias("value"))))
+    return values.select(F.explode(F.array_compact(F.array(*tests))).alias("b")).select("b.*")
 
 
-def _narrow(long: DataFrame, brackets: DataFrame) -> DataFrame:
+def _narrow(values: DataFrame, brackets: list[dict]) -> DataFrame:
     width = F.col("high") - F.col("low")
     part = F.when(width > 0, F.floor((F.col("value") - F.col("low")) / width * _FANOUT)).otherwise(0)
     counted = (
-        _inside(long, brackets)
+        _inside(values, brackets)
         .groupBy(*_QUANTILE, "before", "next", part.alias("part"))
         .agg(*_sizes())
     )
@@ -326,10 +329,10 @@ def _narrow(long: DataFrame, brackets: DataFrame) -> DataFrame:
     ).filter(_holds(F.col("rank"))).select(*_QUANTILE, *_SPAN)
 
 
-def _pick(long: DataFrame, brackets: DataFrame) -> DataFrame:
+def _pick(values: DataFrame, brackets: list[dict]) -> DataFrame:
     """The value at each rank, and the one after it."""
     counted = (
-        _inside(long, brackets)
+        _inside(values, brackets)
         .groupBy(*_QUANTILE, "before", "next", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -352,12 +355,26 @@ _SKETCH_SIZE = 800
 
 
 def _sketched_summary(values: DataFrame) -> DataFrame:
-    """One pass. Sketches are merged in two steps, so that no task takes in those of all others."""
-    parts = (
-        _long(values)
-        .groupBy("position", (F.spark_partition_id() % _SKETCH_GROUPS).alias("group"))
-        .agg(*_part_moments(), F.kll_sketch_agg_double("value", _SKETCH_SIZE).alias("sketch"))
+    """One pass over the columns side by side. Sketches are merged in two steps, so that no task
+    takes in those of all others. Quartiles are values whose rank is close, not interpolated."""
+    columns = range(len(values.columns))
+    parts = values.groupBy((F.spark_partition_id() % _SKETCH_GROUPS).alias("group")).agg(
+        *[
+            part
+            for i in columns
+            for c in [col(values.columns[i])]
+            for part in (
+                F.count(c).alias(f"n{i}"), F.min(c).alias(f"low{i}"), F.max(c).alias(f"high{i}"),
+                F.avg(c).alias(f"part_mean{i}"), F.var_pop(c).alias(f"part_var{i}"),
+                F.kll_sketch_agg_double(c, _SKETCH_SIZE).alias(f"sketch{i}"),
+            )
+        ]
     )
+    names = ("n", "low", "high", "part_mean", "part_var", "sketch")
+    each = F.array(
+        *[F.struct(F.lit(i).alias("position"), *[F.col(f"{n}{i}").alias(n) for n in names]) for i in columns]
+    )
+    parts = parts.select(F.explode(each).alias("p")).select("p.*")
     merged = _with_whole_mean(parts).groupBy("position").agg(
         *_merged_moments(), F.kll_merge_agg_double("sketch").alias("sketch")
     )
@@ -371,3 +388,26 @@ def _sketched_summary(values: DataFrame) -> DataFrame:
             for name, p in _QUARTILES.items()
         ],
     )
+
+
+def sketch_check(df: DataFrame, error: float = 0.02) -> DataFrame:
+    """``column, quantile, enclosed``: whether the share of values below an approximate quartile and
+    the share up to it enclose its probability, give or take ``error``. Sketches promise ranks, not
+    values. The quartiles are one row, which every row of ``df`` is counted against."""
+    chosen = numeric_columns(df)
+    values = df.select(*[_as_double(df, c).alias(c) for c in chosen])
+    found = {r["position"]: r for r in _sketched_summary(values).collect()}
+    asked = [(i, q) for i in range(len(chosen)) for q in _QUARTILES if found and found[i][q] is not None]
+    shares = [
+        F.struct(
+            F.lit(chosen[i]).alias("column"), F.lit(q).alias("quantile"),
+            (
+                (F.count_if(col(chosen[i]) < found[i][q]) <= (_QUARTILES[q] + error) * F.count(col(chosen[i])))
+                & (F.count_if(col(chosen[i]) <= found[i][q]) >= (_QUARTILES[q] - error) * F.count(col(chosen[i])))
+            ).alias("enclosed"),
+        )
+        for i, q in asked
+    ]
+    if not shares:
+        return df.sparkSession.createDataFrame([], "column string, quantile string, enclosed boolean")
+    return values.agg(F.array(*shares).alias("s")).select(F.explode("s").alias("s")).select("s.*")

@@ -17,22 +17,6 @@ from starfold.functions import quarter_of, year_month, year_of
 from starfold.schema import REPORTING_COLUMNS
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """Spark's own estimate of the size of a frame, from file sizes; runs no job."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def broadcast_within(df: DataFrame, bound: DataFrame) -> DataFrame:
-    """Mark ``df`` for broadcast if ``bound``, a frame with at least as many rows, is known to
-    stay under Spark's broadcast threshold; otherwise leave the choice of join to Spark.
-
-    For frames that Spark overestimates, such as a join on a unique key, whose size it takes to
-    be the product of both sides.
-    """
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return F.broadcast(df) if planned_bytes(bound) <= limit else df
-
-
 def attach_dimension(
     fact: DataFrame, dimension: DataFrame, key: str | Sequence[str], how: str = "inner"
 ) -> DataFrame:

@@ -64,6 +64,14 @@ def answers(df: DataFrame, ask: Questions, spec: CubeSpec = SALES) -> dict[str,
     }
 
 
+def write_answers(results: Mapping[str, DataFrame], output: str) -> dict[str, str]:
+    """Every row of every result, in its order, as CSV under ``output``/answers; the paths."""
+    paths = {name: f"{output}/answers/{name}" for name in results}
+    for name, frame in results.items():
+        frame.write.mode("overwrite").options(header=True, escape='"').csv(paths[name])
+    return paths
+
+
 def require_answers(df: DataFrame, ask: Questions, spec: CubeSpec = SALES) -> None:
     """Raise if a selection matches nothing."""
     member = latest_value(df, spec=spec) if ask.member is None else ask.member

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from starfold.operators.star import (
     add_periods,
     attach_dimension,
-    broadcast_within,
     customer_columns,
     product_columns,
 )
@@ -30,6 +29,8 @@ TABLE_SCHEMAS: dict[str, str] = {
     "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
     "labels": "doc_id bigint, quality int, toxic int",
+    "pages": "page_id bigint, url string, html string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
 
 
@@ -92,14 +93,12 @@ def reporting(spark: SparkSession, folder: str) -> DataFrame:
 
     Customers and calendar parts belong to the order, so they are attached to the headers, before
     the lines are joined: that shuffle then carries rows already cut to the wanted regions and
-    dates, and a large customer dimension costs a shuffle of the orders only. Spark cannot tell
-    that the joined headers are no larger than the orders, so that is said where it holds.
+    dates, and a large customer dimension costs a shuffle of the orders only. How the headers meet
+    the lines is for adaptive execution to decide, by the size that they turn out to have.
     """
-    orders = sale_headers(spark, folder)
     headers = attach_dimension(
-        add_periods(orders), customer_columns(dim_customers(spark, folder)), "CustomerID"
+        add_periods(sale_headers(spark, folder)), customer_columns(dim_customers(spark, folder)), "CustomerID"
     )
-    headers = broadcast_within(headers, orders)
     lines = attach_dimension(sale_lines(spark, folder), headers, "o_orderkey")
     joined = attach_dimension(lines, product_columns(dim_products(spark, folder)), "ProductID")
     return joined.select(*REPORTING_COLUMNS)

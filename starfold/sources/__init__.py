@@ -1,11 +1,11 @@
 """Reading warehouse tables and CSV; writing the CSV extract and the partitioned mart."""
 
-from starfold.sources.extract import export_csv, read_csv, read_reporting_csv
+from starfold.sources.extract import export_csv, failed_values, read_csv, read_reporting_csv
 from starfold.sources.mart import read_mart, write_mart
 from starfold.sources.shared import shared_folder
 from starfold.sources.warehouse import open_warehouse, require_tables
 
 __all__ = [
-    "export_csv", "open_warehouse", "read_csv", "read_mart", "read_reporting_csv",
-    "require_tables", "shared_folder", "write_mart",
+    "export_csv", "failed_values", "open_warehouse", "read_csv", "read_mart",
+    "read_reporting_csv", "require_tables", "shared_folder", "write_mart",
 ]

@@ -21,11 +21,28 @@ _SOURCE = "__source"
 _TIE = "__tie"
 
 
+# Quotes are doubled inside quotes, edge spaces stay, times keep their microseconds; multi-line
+# values are read as such. Other tools read the same rows.
+_SHAPE = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+# An empty field is null and a quoted one the empty text; for that, the reader's mark of a null must
+# be something that no text is. Fixed value: two noncharacters.
+_NULL_READ = "\uffff\uffff"
+_ROWS_PER_FILE = 1_000_000
+
+
 def export_csv(
     df: DataFrame,
     path: str,
     order: Sequence[str] = ("SaleDate", "TransactionID"),
     mode: str = "overwrite",
+    rows_per_file: int = _ROWS_PER_FILE,
 ) -> str:
     """Write a relation as CSV part files with a header, globally sorted.
 
@@ -33,6 +50,9 @@ def export_csv(
     ordered by a hash of the other columns, so the order does not depend on where rows came from.
     The last range key is the number of the task a row came from: even rows that agree in every
     column spread over several files, and the number is the same when a lost task is run again.
+
+    The range sort samples its input by computing it, so give it a stored relation, such as the
+    mart. A file with values of several lines is read by one task; ``rows_per_file`` bounds it.
     """
     rest = [f.name for f in df.schema if f.name not in order]
     tie = F.xxhash64(*[col(c) for c in rest]) if rest else F.lit(0)
@@ -43,23 +63,55 @@ def export_csv(
         .sortWithinPartitions(*keys)
         .drop(_TIE, _SOURCE)
         .write.mode(mode)
-        .option("header", True)
+        .options(**_SHAPE, maxRecordsPerFile=rows_per_file)
         .csv(path)
     )
     return path
 
 
+def _header(spark: SparkSession, path: str) -> list[str]:
+    return spark.read.options(**_SHAPE).csv(path).columns
+
+
+def _strict(spark: SparkSession, path: str, fields: Sequence[T.StructField]) -> DataFrame:
+    """Columns by the names in the header of each file; one without such a header is an error."""
+    reader = spark.read.options(**_SHAPE, nullValue=_NULL_READ, multiLine=True, enforceSchema=False, mode="FAILFAST")
+    return reader.schema(T.StructType(list(fields))).csv(path)
+
+
+def _named(header: Sequence[str], names: Sequence[str], path: str) -> None:
+    missing = [n for n in names if n not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+
+
 def read_reporting_csv(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """The exported extract with its types; ``YearMonth`` stays text."""
-    return spark.read.schema(schema or reporting_schema()).option("header", True).csv(path)
+    """The exported extract with its types; ``YearMonth`` stays text. Columns are found by name, in
+    any order. A value that does not fit its type is an error."""
+    schema = schema or reporting_schema()
+    header = _header(spark, path)
+    _named(header, schema.names, path)
+    text = T.StringType()
+    fields = [schema[n] if n in schema.names else T.StructField(n, text) for n in header]
+    return _strict(spark, path, fields).select(*[col(n) for n in schema.names])
 
 
-_WHOLE = r"^\s*[+-]?\d{1,18}\s*$"
+_WHOLE = r"^\s*[+-]?\d+\s*$"
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
+def _present(spark: SparkSession, path: str, missing_texts: Sequence[str]) -> DataFrame:
+    header = _header(spark, path)
+    raw = _strict(spark, path, [T.StructField(n, T.StringType()) for n in header])
+    return raw.select(*[F.when(~col(n).isin(list(missing_texts)), col(n)).alias(n) for n in header])
+
+
+def _schema(schema: T.StructType | str) -> T.StructType:
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -67,36 +119,52 @@ def read_csv(
     missing_texts: Sequence[str] = MISSING_TEXTS,
 ) -> DataFrame:
     """Any CSV with a header, for profiling: the given texts become null before typing, a value
-    that does not fit its type becomes null.
+    that does not fit its type becomes null; :func:`failed_values` counts these.
 
-    Without a schema one pass over the file types each column: whole numbers, numbers, true and
-    false, or else text. Dates stay text, and so does ``2025-05``.
+    The columns of a schema are found by name. Without a schema one pass over the file types each
+    column: whole numbers, numbers, true and false, or else text. Whole numbers of any length stay
+    exact: past 64 bits they are decimals, past 38 digits text. Dates stay text, and so does
+    ``2025-05``.
     """
-    if isinstance(schema, str):
-        schema = T.StructType.fromDDL(schema)
-    reader = spark.read.option("header", True)
-    if schema is None:
-        raw = reader.csv(path)
-    else:
-        raw = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in schema.names])).csv(path)
-    present = raw.select(
-        *[F.when(~col(n).isin(list(missing_texts)), col(n)).alias(n) for n in raw.columns]
-    )
-    schema = _typed(present) if schema is None else schema
+    present = _present(spark, path, missing_texts)
+    schema = _typed(present) if schema is None else _schema(schema)
+    _named(present.columns, schema.names, path)
     return present.select(*[col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
 
 
+def failed_values(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str,
+    missing_texts: Sequence[str] = MISSING_TEXTS,
+) -> DataFrame:
+    """``column, failed``: how many present values of each column do not fit its type."""
+    present, schema = _present(spark, path, missing_texts), _schema(schema)
+    _named(present.columns, schema.names, path)
+    failed = [
+        F.struct(
+            F.lit(f.name).alias("column"),
+            F.count_if(col(f.name).isNotNull() & col(f.name).try_cast(f.dataType).isNull()).alias("failed"),
+        )
+        for f in schema
+    ]
+    return present.agg(F.array(*failed).alias("c")).select(F.explode("c").alias("c")).select("c.*")
+
+
 def _typed(text: DataFrame) -> T.StructType:
     """The narrowest type that every present value of a column fits; no value at all is a double,
-    as in a data frame."""
+    as in a data frame. A column of whole numbers is never a double, which would round them."""
+    long, decimal = T.LongType(), T.DecimalType(38, 0)
     candidates = [
-        (T.LongType(), lambda c: c.rlike(_WHOLE)),
+        (long, lambda c: c.rlike(_WHOLE) & c.try_cast(long).isNotNull()),
+        (decimal, lambda c: c.rlike(_WHOLE) & c.try_cast(decimal).isNotNull()),
+        (T.StringType(), lambda c: c.rlike(_WHOLE)),
         (T.DoubleType(), lambda c: c.rlike(_NUMBER)),
         (T.BooleanType(), lambda c: F.lower(c).isin("true", "false")),
     ]
     fits = text.agg(
         *[
-            F.coalesce(F.every(test(col(n))), F.lit(True)).alias(f"{i}_{j}")
+            F.coalesce(F.every(F.when(col(n).isNotNull(), test(col(n)))), F.lit(True)).alias(f"{i}_{j}")
             for i, n in enumerate(text.columns)
             for j, (_, test) in enumerate(candidates)
         ],

@@ -13,7 +13,7 @@ from starfold.schema import WAREHOUSE_TABLES
 
 def _fail(missing: Sequence[str]) -> None:
     if missing:
-        raise RuntimeError(f"the warehouse is missing required tables: {', '.join(sorted(missing))}")
+        raise RuntimeError(f"no such tables in the warehouse: {', '.join(sorted(missing))}")
 
 
 def require_tables(

@@ -29,7 +29,9 @@ class CubeSpec:
     use. Set it to ``None`` when the top level is not a year.
 
     Totals come out as ``total_type``. A double holds cents up to about 90 trillion; past that use
-    a decimal, in which the sums are made anyway.
+    a decimal, in which decimal amounts are summed anyway. A floating point measure is summed as
+    ``float_as``: a double takes values of any size, a decimal gives sums that do not depend on the
+    order of the rows and refuses values that it cannot hold.
     """
 
     measure: str
@@ -40,6 +42,7 @@ class CubeSpec:
     scale: int = 2
     date: str | None = None
     total_type: str = "double"
+    float_as: str = "double"
 
     @property
     def hierarchy(self) -> tuple[str, ...]:

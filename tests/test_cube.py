@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import starfold as sf
 from sample import reporting as make_reporting
+from plans import settings
 from sample import rows, star
 from starfold.functions import composite_label
 from starfold.schema import REPORTING_COLUMNS
@@ -259,6 +260,50 @@ def test_cube_tells_null_member_from_subtotal(either):
     assert got == [("East", 0, 355.50), ("West", 0, 290.75), (None, 0, 9.99), (None, 1, 656.24)]
 
 
+def test_float_measures_of_any_size(spark):
+    small = spark.range(1_000_000).selectExpr("'East' AS Region", "'A' AS Category", "1e-9D AS SaleAmount")
+    six = dataclasses.replace(sf.SALES, scale=6)
+    assert rows(sf.slice_by(small, "Region", "East", spec=six)) == [("East", "A", 0.001)]
+    data = [("East", "A", 1e21), ("East", "A", 1.0)]
+    large = spark.createDataFrame(data, "Region string, Category string, SaleAmount double")
+    assert rows(sf.slice_by(large, "Region", "East")) == [("East", "A", 1e21)]
+    narrow = dataclasses.replace(sf.SALES, float_as="decimal(28,8)")
+    for ansi in ("true", "false"):
+        with settings(spark, spark__sql__ansi__enabled=ansi):
+            with pytest.raises(Exception, match="does not fit"):
+                sf.slice_by(large, "Region", "East", spec=narrow).collect()
+
+
+def _finding(df, number, **kwargs):
+    found = sf.headline_findings(df, ("Region", "East"), {"Region": ["East"], "Category": ["A", "B", "C"]}, **kwargs)
+    return next((r for r in found.collect() if r.FindingNo == number), None)
+
+
+def test_findings_are_the_first_rows_of_the_operators(spark):
+    """Ties after rounding, an unknown member, and whole-number keys that sort by value."""
+    kind = "Region string, Category string, SalesYear int, SalesQuarter int, YearMonth string, SaleAmount decimal(18,3)"
+    data = [
+        ("East", "B", 2025, 1, "2025-01", Decimal("10.004")), ("East", "A", 2025, 1, "2025-02", Decimal("10.001")),
+        ("East", None, 2024, 1, "2024-01", Decimal("10.003")),
+    ]
+    df = spark.createDataFrame(data, kind)
+    assert _finding(df, 1).Member == sf.slice_by(df, "Region", "East").first().Category == "A"
+    assert _finding(df, 2).Member == "East / A"
+    assert _finding(df, 5).Member == sf.strongest_period(df).first().YearMonth == "2025-01"
+    nulls = spark.createDataFrame([(r[0], c, *r[2:5], Decimal(5)) for r, c in zip(data, ("A", None, None))], kind)
+    nulls = nulls.filter("YearMonth <> '2024-01'")
+    assert _finding(nulls, 1).Member == sf.slice_by(nulls, "Region", "East").first().Category == "A"
+    years = spark.createDataFrame([("East", "A", y, 1, "m", Decimal(1)) for y in (10, 9)], kind)
+    assert _finding(years, 4).Member == str(sf.strongest(years, "SalesYear").first().SalesYear) == "9"
+
+
+def test_findings_of_nothing_have_the_total(spark):
+    empty = make_reporting(spark).filter("false")
+    found = sf.headline_findings(empty, ("Region", "East"), {"Region": ["East"]}).collect()
+    assert [(r.FindingNo, r.Member, r.TotalSales) for r in found] == [(3, "All Years", None)]
+    assert rows(sf.grand_total(empty)) == [("All Years", None)]
+
+
 def test_float_measure_is_summed_exactly_and_nan_is_missing(spark):
     data = [("East", "A", 0.1)] * 10 + [("East", "A", float("nan")), ("East", "B", 1.005)]
     df = spark.createDataFrame(data, "Region string, Category string, SaleAmount double")

@@ -60,6 +60,26 @@ def test_duplicates_like_pandas(spark):
     assert rows(sf.duplicate_rows(df))[0][2] == int(frame.duplicated().sum())
 
 
+def test_one_rule_for_short_and_long_texts_of_a_collation(spark):
+    texts = ["ABC", "abc", "A" * 80, "a" * 80, "x"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert rows(sf.duplicate_rows(df)) == [(5, 5, 0)]
+    folded = df.selectExpr("t COLLATE UTF8_LCASE AS t")
+    assert rows(sf.duplicate_rows(folded)) == [(5, folded.distinct().count(), 2)]
+
+
+def test_duplicates_of_some_columns(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "id int, t string")
+    assert rows(sf.duplicate_rows(df, ["t"])) == [(3, 2, 1)]
+    assert rows(sf.duplicate_rows(df)) == [(3, 3, 0)]
+
+
+def test_sketched_quartiles_have_the_right_ranks(spark):
+    df = spark.range(20_000).selectExpr("id", "id % 7 AS few", "CAST(NULL AS DOUBLE) AS none").repartition(7)
+    got = sf.sketch_check(df).collect()
+    assert len(got) == 6 and all(r.enclosed for r in got)
+
+
 def _described(df, **kwargs):
     return {r["column"]: r for r in sf.numeric_summary(df, **kwargs).collect()}
 

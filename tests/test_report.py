@@ -5,7 +5,7 @@ import pytest
 import starfold as sf
 from sample import rows, star
 from starfold.__main__ import main
-from starfold.plans.report import Questions, answers, run
+from starfold.plans.report import Questions, answers, run, write_answers
 
 
 @pytest.fixture(scope="module")
@@ -52,4 +52,12 @@ def test_command_line(spark, warehouse, tmp_path, capsys):
     main([warehouse, str(tmp_path), "--region", "West", "--year", "2025", "--top", "2"])
     shown = capsys.readouterr().out
     assert "7 reporting rows" in shown
-    assert "2025-02 ($501.00)" in shown
+    assert f"findings: {tmp_path}/answers/findings" in shown
+    found = spark.read.option("header", True).csv(f"{tmp_path}/answers/findings")
+    assert "2025-02 ($501.00)" in {r.Text for r in found.collect()}
+
+
+def test_answers_are_written_in_full(spark, tmp_path):
+    long = spark.range(250).orderBy("id")
+    paths = write_answers({"long": long}, str(tmp_path))
+    assert spark.read.option("header", True).csv(paths["long"]).count() == 250

@@ -1,6 +1,13 @@
+import datetime as dt
 import glob
 import os
+import shutil
+import subprocess
+import sys
+from decimal import Decimal
 
+import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import types as T
 
@@ -51,6 +58,86 @@ def test_default_reporting_schema_is_explicit():
     assert schema["SaleAmount"].dataType == T.DecimalType(18, 2)
 
 
+AWKWARD = [
+    (1, '5" pipe, steel', dt.datetime(2025, 5, 1, 10, 0, 0, 123456)),
+    (2, "two\nlines\r\nand a \\ backslash\\", dt.datetime(2025, 5, 2)),
+    (3, " lead trail ", None),
+    (4, "", dt.datetime(2025, 5, 4)),
+    (5, '"', dt.datetime(2025, 5, 5)),
+    (6, None, None),
+]
+
+
+def test_export_is_lossless_and_other_tools_read_the_same(spark, tmp_path):
+    df = spark.createDataFrame(AWKWARD, "id int, name string, at timestamp_ntz")
+    path = sf.export_csv(df.coalesce(1), str(tmp_path / "csv"), ["id"])
+    back = sf.read_reporting_csv(spark, path, df.schema)
+    assert rows(back.orderBy("id")) == AWKWARD
+    files = sorted(glob.glob(f"{path}/part-*.csv"))
+    names = [r[1] or "" for r in AWKWARD]
+    read = [pd.read_csv(f, keep_default_na=False, lineterminator=None) for f in files]
+    assert list(pd.concat(read)["name"]) == names
+    found = duckdb.connect().execute(
+        "SELECT id, name, \"at\" FROM read_csv(?, header = true, quote = '\"', escape = '\"', new_line = '\\n') ORDER BY id",
+        [files],
+    ).fetchall()
+    assert [r[1] or "" for r in found] == names
+    assert [r[2] for r in found] == [r[2] for r in AWKWARD]
+
+
+def test_part_files_are_bounded(spark, tmp_path):
+    path = sf.export_csv(spark.range(100).coalesce(1), str(tmp_path / "csv"), ["id"], rows_per_file=10)
+    assert max(len(open(p).read().splitlines()) - 1 for p in glob.glob(f"{path}/part-*.csv")) == 10
+
+
+def test_columns_are_found_by_name_and_bad_values_raise(spark, tmp_path):
+    schema = T.StructType.fromDDL("TransactionID string, SaleAmount decimal(18,2)")
+    (tmp_path / "a.csv").write_text("SaleAmount,extra,TransactionID\n12.50,x,T1\n")
+    assert rows(sf.read_reporting_csv(spark, str(tmp_path / "a.csv"), schema)) == [("T1", Decimal("12.50"))]
+    (tmp_path / "b.csv").write_text("TransactionID,SaleAmount\nT1,12.5O\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        sf.read_reporting_csv(spark, str(tmp_path / "b.csv"), schema).collect()
+    (tmp_path / "c.csv").write_text("TransactionID\nT1\n")
+    with pytest.raises(ValueError, match="no column SaleAmount"):
+        sf.read_reporting_csv(spark, str(tmp_path / "c.csv"), schema)
+    failed = sf.failed_values(spark, str(tmp_path / "b.csv"), schema)
+    assert rows(failed) == [("TransactionID", 0), ("SaleAmount", 1)]
+
+
+def test_whole_numbers_of_any_length_stay_exact(spark, tmp_path):
+    (tmp_path / "in.csv").write_text(
+        "a,b,c,d\n1234567890123456789,99999999999999999999,1" + "0" * 40 + ",1.5\n"
+        "1234567890123456788,1,1" + "0" * 39 + "1,2\n"
+    )
+    df = sf.read_csv(spark, str(tmp_path / "in.csv"))
+    assert [f.dataType.simpleString() for f in df.schema] == ["bigint", "decimal(38,0)", "string", "double"]
+    assert rows(sf.duplicate_rows(df, ["a"])) == [(2, 2, 0)]
+    assert df.first().a == 1234567890123456789
+
+
+def test_a_file_added_between_two_calls_is_seen(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    for name in ("region", "nation", "customer", "part", "orders", "lineitem"):
+        os.makedirs(tmp_path / f"{name}.parquet")
+        shutil.copy(f"/root/testdata/sf0.001/{name}.parquet", tmp_path / f"{name}.parquet" / "0.parquet")
+    first = entry.queries()["row_count"](spark, str(tmp_path)).first()[0]
+    shutil.copy("/root/testdata/sf0.001/lineitem.parquet", tmp_path / "lineitem.parquet" / "1.parquet")
+    assert entry.queries()["row_count"](spark, str(tmp_path)).first()[0] == 2 * first
+
+
+def test_folders_go_with_the_session(tmp_path):
+    code = (
+        "from pyspark.sql import SparkSession; from starfold.sources import shared_folder; "
+        f"s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false')"
+        f".config('spark.checkpoint.dir', '{tmp_path}').getOrCreate(); "
+        "s.range(1).write.parquet(shared_folder(s, 'x')); s.stop()"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=root, timeout=120, capture_output=True)
+    assert not glob.glob(f"{tmp_path}/starfold-*")
+
+
 def test_read_csv_missing_texts(spark, tmp_path):
     (tmp_path / "in.csv").write_text("id,amount,note\n1,2.5,NA\n2,,null\nx,nan,ok\n4,7,None\n")
     df = sf.read_csv(spark, str(tmp_path / "in.csv"), "id int, amount double, note string")
@@ -119,7 +206,7 @@ def test_warehouse(spark, tmp_path):
         tables["fact_sales"], tables["dim_customers"], tables["dim_products"]
     )
     assert reporting.count() == 7
-    with pytest.raises(RuntimeError, match="missing required tables: a_table, z_table$"):
+    with pytest.raises(RuntimeError, match="warehouse: a_table, z_table$"):
         sf.open_warehouse(spark, str(tmp_path), {"z_table": (), "fact_sales": (), "a_table": ()})
     with pytest.raises(ValueError, match="dim_products is missing columns: Colour"):
         sf.open_warehouse(spark, str(tmp_path), {"dim_products": ("Category", "Colour")})
@@ -127,7 +214,7 @@ def test_warehouse(spark, tmp_path):
 
 def test_required_catalog_tables(spark):
     spark.range(1).createOrReplaceTempView("dim_customers")
-    with pytest.raises(RuntimeError, match="tables: dim_products, fact_sales$"):
+    with pytest.raises(RuntimeError, match="warehouse: dim_products, fact_sales$"):
         sf.require_tables(spark)
     sf.require_tables(spark, ["dim_customers"])
 
