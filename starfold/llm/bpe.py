@@ -40,6 +40,7 @@ class Codec:
         self._encoding = tiktoken.Encoding(
             "byte_bpe", pat_str=pattern, mergeable_ranks=table, special_tokens=special
         )
+        self._special = list(special)
         table |= {content.encode(): i for content, i in special.items()}
         self._bytes = [b""] * (max(table.values()) + 1)
         for token, i in table.items():
@@ -50,11 +51,34 @@ class Codec:
         return self._encoding.encode(text, allowed_special="all")
 
     def encode(self, text: str) -> list[int]:
-        if len(text) <= LEAF:
+        at = self.cut(text, len(text) // 2, LEAF // 4) if len(text) > LEAF else 0
+        if not 0 < at < len(text):
             return self._leaf(text)
-        at = cut(text, len(text) // 2, LEAF // 4)
         return self.join(self.encode(text[:at]), self.encode(text[at:]))
 
+    def cut(self, text: str, at: int, within: int) -> int:
+        """A place to cut near ``at``: never inside a special token; before white space that follows
+        a word, if there is any near, as no token crosses it. Any such place gives the same tokens."""
+        space = text.rfind(" ", max(1, at - within), at)
+        while space > 1 and text[space - 1].isspace():
+            space -= 1
+        at = space if space > max(0, at - within) else at
+        for token in self._special:
+            start = text.find(token, max(0, at - len(token) + 1), at + len(token) - 1)
+            if 0 <= start < at:
+                return start or len(token)
+        return at
+
+    def pieces(self, text: str, size: int) -> list[str]:
+        """``text`` in pieces of about ``size`` characters at most."""
+        out, start = [], 0
+        while len(text) - start > size:
+            end = max(self.cut(text, start + size, size // 4), start)
+            end = end if end > start else start + max(len(t) for t in self._special)
+            out.append(text[start:end])
+            start = end
+        return [*out, text[start:]]
+
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """The tokens of the text of ``left`` followed by the text of ``right``."""
         if not left or not right:
@@ -99,24 +123,6 @@ def codec(model: str, ranks: str, pattern: str) -> Codec:
     return Codec(model, ranks, pattern)
 
 
-def cut(text: str, at: int, within: int) -> int:
-    """A place to cut near ``at``: before white space that follows a word, if there is any, as no
-    token crosses it. Any place gives the same tokens."""
-    space = text.rfind(" ", max(1, at - within), at)
-    while space > 1 and text[space - 1].isspace():
-        space -= 1
-    return space if space > max(0, at - within) else at
-
-
-def pieces(text: str, size: int) -> list[str]:
-    out, start = [], 0
-    while len(text) - start > size:
-        end = start + cut(text[start : start + size], size, size // 4)
-        out.append(text[start:end])
-        start = end
-    return [*out, text[start:]]
-
-
 _OUT = "struct<n_tokens: bigint, ids_sha256: string, decoded_sha256: string, ids: array<int>>"
 
 
@@ -144,7 +150,9 @@ def encode(
     short = short.withColumn("_bpe", whole("text")).select(columns)
 
     long = docs.where(is_long).withColumn("_key", F.sha2("text", 256))
-    divide = F.udf(lambda text: pieces(text, spread), "array<string>", useArrow=False)
+    divide = F.udf(
+        lambda text: codec(model, ranks, pattern).pieces(text, spread), "array<string>", useArrow=False
+    )
     part = F.udf(
         lambda text: array("i", codec(model, ranks, pattern).encode(text)).tobytes(), "binary",
         useArrow=False,
