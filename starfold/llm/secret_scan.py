@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starfold.llm.common import with_text
+from starfold.llm.common import sampled, with_text, written
 from starfold.llm.text_spans import digest, find_all, listed, of_kind, replaced
 
 #: Known shapes, fixed values. Each is leftmost and without overlaps; runs are matched from their
@@ -62,11 +62,11 @@ def _steps(strings: DataFrame) -> DataFrame:
 
 
 def labelled_strings(docs: DataFrame, sample: int = 200) -> DataFrame:
-    """``value, random``: strings of at most ``sample`` documents, chosen by a hash of their text."""
-    chosen = (
-        docs.select(F.coalesce("text", F.lit("")).alias("text"))
-        .select("text", F.xxhash64("text").alias("by")).orderBy("by").limit(sample)
-    )
+    """``value, random``: strings of about ``sample`` documents at most, chosen by a hash of their
+    ids; of equal texts one counts."""
+    chosen = sampled(docs, F.xxhash64("doc_id"), sample, docs.count())
+    chosen = chosen.select(F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("by"))
+    chosen = written(chosen.dropDuplicates(["by"]), "secret_sample")
 
     def of_seed(seed: Column) -> Column:
         sha = F.sha2(F.concat_ws(" ", seed, F.xxhash64("text")), 256)
