@@ -18,7 +18,7 @@ IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9]
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("iban", "ssn")
-_BYTE = r"^0*+(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$"
+_BYTE = r"^(?:0*+(?:[1-9][0-9]?|1[0-9]{2}|2[0-4][0-9]|25[0-5])|0++)$"
 
 #: Score of a confirmed span without any context, and the words that add to it.
 PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.7, "phone": 0.6, "iban": 0.6, "ssn": 0.3}
@@ -125,6 +125,6 @@ def scan(docs: DataFrame) -> DataFrame:
 def masked(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """``docs`` with every span in ``text`` replaced by its kind in brackets."""
     found = find(docs, least)
-    by_start = bound(F.col("_pii"), F.array_sort)
+    by_start = bound(F.col("_pii"), lambda spans: F.array_sort(spans))
     text = replaced(F.col("text"), by_start, lambda s: F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
     return found.withColumn("text", text).select(docs.columns)
