@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starfold.llm.common import ascii_lower, written
+from starfold.llm.common import ascii_lower, sampled, written
 
 #: Hashes whose bits are counted at once; keeps memory flat on very long texts.
 _BLOCK = 1 << 16
@@ -162,14 +162,14 @@ def links(
     """``a, b``: links between the distinct values of ``fp`` (long) that connect exactly what
     distances up to ``max_distance`` connect.
 
-    The top trees are fitted on at most ``sample`` values, every value is dealt out and compared.
+    The top trees are fitted on about ``sample`` values at most, every value is dealt out and compared.
     A shard that outgrows ``shard_rows``, as its values cannot be told apart by any vantage point,
     is cut into pieces; each pair of pieces is a task of its own, so no task grows with the group.
     """
     spark = prints.sparkSession
     radius, masks = max_distance // blocks, _masks(blocks)
     total = prints.count()
-    chosen = prints.orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()
+    chosen = sampled(prints, F.xxhash64("fp"), sample, total).collect()
     values = np.array([r.fp for r in chosen], np.int64).view(np.uint64)
     leaf = max(16, len(values) * shard_rows // max(total, 1))
     trees = spark.sparkContext.broadcast([build_tree(values, m, radius, leaf) for m in masks])
@@ -258,6 +258,8 @@ def near_duplicates(
     named = prints.join(reached, "fp", "left").select(
         "fp", F.coalesce("component", "least").alias("component_id")
     )
+    # both sides of this join are plain files, so that Spark can split the rows of a hot fingerprint
+    named = written(named, "simhash_components")
     return own.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
