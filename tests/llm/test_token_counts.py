@@ -1,0 +1,64 @@
+import os
+
+from pyspark.sql import functions as F
+
+import edges
+import oracle
+from starfold.llm import token_counts
+from starfold.llm.bpe import codec
+from starfold.llm.queries import BPE, op6_token_counts, oracle_sql
+from starfold.sources import shared_folder
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def totals(rollup):
+    return {(r.source, r.lang, r.tokenizer): (r.documents, r.tokens) for r in rollup.totals().collect()}
+
+
+def test_same_rows_as_sql(spark):
+    expected = oracle.sql_rows(oracle.connect(FOLDER), oracle_sql()["op6_token_counts"])
+    assert oracle.spark_rows(op6_token_counts(spark, FOLDER)) == expected
+
+
+def test_signed_changes_in_batches_that_count_once(spark):
+    docs = edges.documents(spark)
+    words = ("words-1", token_counts.words(F.col("text")))
+    rollup = token_counts.Rollup(spark, shared_folder(spark, "rollup"))
+    assert totals(rollup) == {}
+    assert rollup.commit("a", token_counts.inserted(docs, *words))
+    first = totals(rollup)
+    assert sum(n for n, _ in first.values()) == docs.count()
+    assert sum(n for _, n in first.values()) == sum(len((t or "").replace("\x1f", "x").split()) for _, t in edges.TEXTS)
+    assert (None, "en", "words-1") in first  # null and empty texts came without a source
+    assert not rollup.commit("a", token_counts.inserted(docs, *words))
+    assert totals(rollup) == first
+    rollup.commit("b", token_counts.deleted(docs.where("doc_id = 6"), *words))
+    assert totals(rollup)["s", "en", "words-1"][0] == first["s", "en", "words-1"][0] - 1
+    bpe = ("bpe", token_counts.bpe(**BPE)(F.col("text")))
+    rollup.commit("c", token_counts.revised(docs.where("doc_id = 1"), words, bpe))
+    assert totals(rollup)["s", "en", "bpe"] == (1, len(codec(**BPE).encode(edges.TEXTS[0][1])))
+    rollup.commit("d", token_counts.deleted(docs.where("doc_id = 1"), *bpe))
+    assert ("s", "en", "bpe") not in totals(rollup)
+    assert rollup.batches() == ["a", "b", "c", "d"]
+
+
+def test_a_failed_batch_does_not_count_and_is_done_again(spark):
+    docs = edges.documents(spark)
+    path = shared_folder(spark, "rollup")
+    rollup = token_counts.Rollup(spark, path)
+    changes = token_counts.inserted(docs, "w", token_counts.words(F.col("text")))
+    rollup.commit("a", changes)
+    before = totals(rollup)
+    changes.select(*token_counts.KEYS, *token_counts.SUMS).write.parquet(f"{path}/batch=b")
+    os.remove(f"{path}/batch=b/_SUCCESS")
+    assert totals(rollup) == before
+    assert rollup.commit("b", changes)
+    assert totals(rollup) == {k: (2 * n, 2 * t) for k, (n, t) in before.items()}
+
+
+def test_no_documents(spark):
+    docs = edges.documents(spark).limit(0)
+    assert token_counts.build(docs, shared_folder(spark, "rollup")).totals().count() == 0
+    edge = token_counts.build(edges.documents(spark), shared_folder(spark, "rollup")).totals()
+    assert edge.agg(F.sum("documents")).first()[0] == 6 + 2  # copies of texts 1, 6 and of the empty text are gone
