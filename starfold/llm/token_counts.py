@@ -117,7 +117,9 @@ def build(docs: DataFrame, path: str) -> Rollup:
         F.sha2(text, 256).alias("digest"),
     )
     counted = written(counted, "token_counts_of_documents")
-    first = counted.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    # texts of one document take no part; written, so that Spark can split the rows of a hot text
+    first = counted.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows"))
+    first = written(first.where("rows > 1").select("digest", "first"), "token_counts_of_copies")
     copies = counted.join(first, "digest").where("doc_id > first")
     old, new = ("words-1", F.col("old")), ("pieces-2", F.col("new"))
     rollup = Rollup(docs.sparkSession, path)
