@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from starfold.llm.common import sampled, written
+from starfold.llm.common import row_hash, sampled, written
 
 #: Bits of a substring.
 _BITS = 8
@@ -138,8 +138,8 @@ def search(
     that ``is_query`` holds for, the ``k`` nearest other rows found, nearest first, ties to the
     smaller vec_id.
 
-    The codes and the radius are fitted on about ``sample`` rows at most, chosen by a hash of vec_id; all
-    rows are indexed. Vectors that are null, zero or not finite take no part, nor do rows without
+    The codes and the radius are fitted on about ``sample`` rows at most, chosen by a hash; all rows are
+    indexed. Vectors that are null, zero or not finite take no part, nor do rows without
     vec_id, nor vectors of another length than most. Rows with the query's vec_id are its own row.
     A repeated candidate row counts once for each row, a repeated query once. Fewer than k other
     rows: all of them.
@@ -162,7 +162,7 @@ def search(
     norm = float(np.sqrt(most["square"]))
     own = own.where(F.size("v") == most["length"])
     total = own.count()
-    base = _rows(sampled(own, F.xxhash64("vec_id"), sample, total).select("v").toPandas()["v"])
+    base = _rows(sampled(own, row_hash("vec_id"), sample, total).select("v").toPandas()["v"])
     codes = Codes(filled(base, norm), bits)
     radius = calibrate(codes, base, norm, k, share, 400)
     model = spark.sparkContext.broadcast(codes)
@@ -171,10 +171,10 @@ def search(
     queries = own.where("asks").select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
     queries = queries.dropDuplicates(["query_id"])
     blocks = -(-max(queries.count(), 1) // block_rows)
-    shard = F.pmod(F.xxhash64("vec_id", F.lit("shard")), F.lit(shards)).cast("int")
+    shard = F.pmod(row_hash("vec_id"), F.lit(shards)).cast("int")
     block = F.pmod(F.xxhash64("query_id", F.lit("block")), F.lit(blocks)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    indexed = own.select("vec_id", "v", shard.alias("shard"), every(blocks).alias("block"))
+    indexed = own.select("vec_id", "v", shard.alias("shard")).select("*", every(blocks).alias("block"))
     probing = queries.select("query_id", "q", block.alias("block"), every(shards).alias("shard"))
 
     def find(rows: pd.DataFrame, probes: pd.DataFrame) -> pd.DataFrame:

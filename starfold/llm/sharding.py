@@ -15,7 +15,7 @@ import heapq
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starfold.llm.common import written
+from starfold.llm.common import row_hash, written
 
 
 def schedule(items: list[tuple], shards: int) -> list[tuple]:
@@ -67,12 +67,12 @@ def assign(sized: DataFrame, shards: int = 16, grain: int = 1024) -> DataFrame:
     return placed.select(*sized.columns, F.coalesce("own_shard", "bundle_shard").alias("shard"))
 
 
-def numbered(placed: DataFrame, order: list[str], rows: int = 100_000) -> DataFrame:
-    """``placed`` with ``slot``, gapless from 0 in each shard. Rows are numbered within buckets of
-    about ``rows`` rows, dealt by a hash of ``order``, and the buckets are lined up by their counts;
-    no task numbers a whole shard."""
-    buckets = placed.count() // rows + 1
-    bucketed = placed.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
+def numbered(placed: DataFrame, order: list[str], total: int, rows: int = 100_000) -> DataFrame:
+    """``placed``, of ``total`` rows, with ``slot``, gapless from 0 in each shard. Rows are numbered
+    within buckets of about ``rows`` rows, dealt by a hash that also parts repeated rows, and the
+    buckets are lined up by their counts; no task numbers a whole shard."""
+    bucket = F.pmod(row_hash(*order), F.lit(total // rows + 1))
+    bucketed = written(placed.withColumn("_bucket", bucket), "shards")
     counts = bucketed.groupBy("shard", "_bucket").agg(F.count("*").alias("_rows"))
     upto = Window.partitionBy("shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(
@@ -96,6 +96,6 @@ def shard_documents(docs: DataFrame, shards: int = 16, grain: int = 1024) -> Dat
         "doc_id", (F.octet_length(raw) + 1).cast("long").alias("size"),
         F.crc32(raw).alias("text_crc32"), F.sha2(raw, 256).alias("group"),
     )
-    placed = assign(written(sized, "shard_sizes"), shards, grain)
-    placed = written(placed.drop("group"), "shards")
-    return numbered(placed, ["doc_id", "size", "text_crc32"])
+    sized = written(sized, "shard_sizes")
+    placed = assign(sized, shards, grain).drop("group")
+    return numbered(placed, ["doc_id", "size", "text_crc32"], sized.count())

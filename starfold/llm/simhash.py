@@ -211,7 +211,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Large-star and small-star steps in turn: each round hangs the neighbours of a node on the
     smallest of them, until every edge leads to a root. Each round is written, so its lineage is
-    short; only counts reach the driver.
+    short; so are the smallest neighbours, so that Spark can split the edges of a hot node when both
+    are joined. Only counts reach the driver.
     """
     down = F.when(F.col("a") < F.col("b"), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))
     down = down.otherwise(F.struct(F.col("a").alias("u"), F.col("b").alias("v")))
@@ -219,10 +220,10 @@ def components(edges: DataFrame) -> DataFrame:
     mark = _mark(edges)
     while mark[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low"))
+        low = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low")), "lowest")
         stars = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
-        stars = stars.where("u <> v").distinct()
-        low = stars.groupBy("u").agg(F.min("v").alias("low"))
+        stars = written(stars.where("u <> v").distinct(), "stars")
+        low = written(stars.groupBy("u").agg(F.min("v").alias("low")), "lowest")
         hung = stars.join(low, "u").where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
         hung = hung.unionByName(low.select("u", F.col("low").alias("v")))
         edges = written(hung.distinct(), "edges")
@@ -267,9 +268,11 @@ def keep_one(docs: DataFrame, words_per_shingle: int = 4, max_distance: int = 4)
     """``docs`` with one document of each group of near-duplicates, that with the smallest doc_id.
     Of rows that repeat a doc_id one stays, the one with the smallest text. Rows with a null doc_id
     cannot be named in a group and stay as they are."""
-    found = near_duplicates(docs.where("doc_id is not null"), words_per_shingle, max_distance)
+    named = docs.where("doc_id is not null")
+    found = near_duplicates(named, words_per_shingle, max_distance)
     stay = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(stay, "doc_id", "left_semi")
-    first = Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    kept = kept.withColumn("_row_of_id", F.row_number().over(first)).where("_row_of_id = 1")
-    return kept.drop("_row_of_id").unionByName(docs.where("doc_id is null"))
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", *rest))
+    # each task leaves one row of an id before any are shuffled
+    first = named.withColumn("_row_of_id", place).where("_row_of_id = 1").drop("_row_of_id")
+    return first.join(stay, "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))

@@ -65,7 +65,7 @@ def test_a_text_that_a_third_of_the_rows_have(spark):
 
 def test_slots_over_many_buckets(spark):
     frame = spark.range(5000).selectExpr("id AS doc_id", "CAST(id % 3 AS INT) AS shard", "1 AS extra")
-    got = sharding.numbered(frame, ["doc_id"], rows=100).collect()
+    got = sharding.numbered(frame, ["doc_id"], 5000, rows=100).collect()
     for shard in range(3):
         slots = sorted(r.slot for r in got if r.shard == shard)
         assert slots == list(range(len(slots)))
