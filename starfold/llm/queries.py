@@ -101,5 +101,40 @@ FROM counted WHERE NOT COALESCE(doc_id > first_id, FALSE) GROUP BY source, lang
 """
 
 
+_WORDS = r"""REGEXP_EXTRACT_ALL(
+    TRANSLATE(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+_CONTAMINATION = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents)
+, i AS (
+    SELECT CAST(item_id AS VARCHAR) AS item, w, LEAST(10, LEN(w)) AS k
+    FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE LEN(w) > 0
+)
+, item_window AS (
+    SELECT DISTINCT item, k, ARRAY_TO_STRING(w[s : s + k - 1], ' ') AS gram
+    FROM (SELECT *, UNNEST(RANGE(1, LEN(w) - k + 2)) AS s FROM i)
+)
+, doc_window AS (
+    SELECT doc_id, s, k, ARRAY_TO_STRING(w[s : s + k - 1], ' ') AS gram
+    FROM (SELECT doc_id, w, k, UNNEST(RANGE(1, LEN(w) - k + 2)) AS s
+          FROM d, (SELECT DISTINCT k FROM item_window) WHERE LEN(w) >= k)
+)
+, hit AS (SELECT doc_id, s, k, item FROM doc_window JOIN item_window USING (k, gram))
+, place AS (
+    SELECT doc_id, COUNT(DISTINCT p) AS n_hit
+    FROM (SELECT doc_id, UNNEST(RANGE(s, s + k)) AS p FROM hit) GROUP BY doc_id
+)
+, found AS (
+    SELECT doc_id, COUNT(*) AS n_items, STRING_AGG(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, CAST(LEN(w) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit,
+       COALESCE(n_items, 0) AS n_items, SHA256(COALESCE(items, '')) AS items_sha256,
+       n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN place USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_token_counts": _TOKEN_COUNTS}
+    return {"op6_token_counts": _TOKEN_COUNTS, "op10_decontaminate": _CONTAMINATION}
