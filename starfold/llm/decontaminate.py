@@ -10,13 +10,14 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from itertools import repeat
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starfold.llm.common import with_text
+from starfold.llm.common import with_text, written
 
 _NOT_WORD = bytes(
     32 if b < 0x30 or 0x3A <= b <= 0x60 or 0x7B <= b <= 0x7F else b for b in range(256)
@@ -159,49 +160,54 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def automata(items: DataFrame, window: int = 10, batch_words: int = 200_000) -> list:
-    """Broadcast automata of all items, each of at most ``batch_words`` words (and one item), so
-    that what is sent at once is bounded; more items make more automata. Null ids and texts without
-    words have no windows; an id is named by its text form."""
-    spark = items.sparkSession
+def automata(items: DataFrame, window: int = 10, batch_words: int = 200_000) -> Iterator[Automaton]:
+    """Automata of all items, each of at most ``batch_words`` words (and one item): more items make
+    more automata, of which the driver and the tasks hold one at a time. Items with a null id are
+    left out, texts without words have no windows; an id is named by its text form."""
     chosen = items.where("item_id is not null").select(F.col("item_id").cast("string"), "text")
-    out, batch, size = [], [], 0
+    batch, size, none = [], 0, True
     for row in chosen.orderBy("item_id", "text").toLocalIterator():
         batch.append((row.item_id, row.text))
         size += len(words_of(row.text))
         if size >= batch_words:
-            out.append(spark.sparkContext.broadcast(Automaton(batch, window)))
-            batch, size = [], 0
-    if batch or not out:
-        out.append(spark.sparkContext.broadcast(Automaton(batch, window)))
-    return out
+            yield Automaton(batch, window)
+            batch, size, none = [], 0, False
+    if batch or none:
+        yield Automaton(batch, window)
+
+
+def _passes(frame: DataFrame, models: Iterable[Automaton], step) -> DataFrame:
+    """``step(frame, broadcast)`` for each automaton in turn; what a pass gives is written before the
+    next one, so that no task holds two automata."""
+    before = None
+    for model in models:
+        if before is not None:
+            frame = written(frame, "decontamination_pass")
+            before.unpersist()
+        before = frame.sparkSession.sparkContext.broadcast(model)
+        frame = step(frame, before)
+    return frame
 
 
-def overlaps(text: Column, models: list) -> Column:
-    """Struct ``n_words, spans, items``: spans are maximal runs of hit words, counted from 0."""
+def contamination(
+    docs: DataFrame, items: DataFrame, window: int = 10, batch_words: int = 200_000
+) -> DataFrame:
+    """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` for every row of ``docs``.
+    A null or empty text has no words; repeated rows stay repeated; other columns are not read."""
 
-    def scan(model):
+    def step(frame: DataFrame, model) -> DataFrame:
         def run(text, before):
             words = words_of(text)
-            spans, items = model.value.scan(words)
+            spans, found = model.value.scan(words)
             if before is not None:
                 spans = _merged(spans + [tuple(s) for s in before.spans])
-                items = items.union(before.items)
-            return len(words), spans, sorted(items)
+                found = found.union(before.items)
+            return len(words), spans, sorted(found)
 
-        return F.udf(run, _HITS, useArrow=False)
+        return frame.withColumn("hit", F.udf(run, _HITS, useArrow=False)("text", "hit"))
 
-    found = F.lit(None).cast(_HITS)
-    for model in models:
-        found = scan(model)(text, found)
-    return found
-
-
-def contamination(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
-    """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` for every row of ``docs``.
-    A null or empty text has no words; repeated rows stay repeated; other columns are not read."""
-    models = automata(items, window)
-    found = docs.select("doc_id", overlaps(F.col("text"), models).alias("hit"))
+    own = docs.select("doc_id", "text", F.lit(None).cast(_HITS).alias("hit"))
+    found = _passes(own, automata(items, window, batch_words), step)
     hits = F.aggregate("hit.spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
     named = F.sha2(F.array_join("hit.items", ",").cast("binary"), 256)
     return found.select(
@@ -211,36 +217,56 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFr
     )
 
 
-def without_overlaps(text: str | None, models: list) -> tuple[str | None, float]:
-    """The text without the characters from the first to the last word of each hit span, and the
-    share of its words that were hit. Taking a span out can bring the ends of another passage
-    together, so it goes on until there is none."""
-    if text is None:
-        return None, 0.0
-    total = len(words_of(text))
-    hit = 0
-    while True:
+def without_overlaps(text: str | None, model: Automaton) -> tuple[str | None, int, int]:
+    """The text without the characters from the first to the last word of each hit span, the number
+    of words taken out and the number there were. Taking a span out can bring the ends of another
+    passage together, so it goes on until there is none."""
+    taken, total = 0, None
+    while text is not None:
         words = words_of(text)
-        spans = _merged([s for m in models for s in m.scan(words)[0]])
+        total = len(words) if total is None else total
+        spans, _ = model.scan(words)
         if not spans:
-            return text, hit / total if total else 0.0
+            break
         places = [m.span() for m in _WORD.finditer(text)]
         for first, last in reversed(spans):
-            hit += last - first + 1
+            taken += last - first + 1
             text = text[: places[first][0]] + text[places[last][1] :]
+    return text, taken, total or 0
 
 
 def remove_overlaps(
-    docs: DataFrame, items: DataFrame, window: int = 10, max_coverage: float = 0.5
+    docs: DataFrame, items: DataFrame, window: int = 10, max_coverage: float = 0.5,
+    batch_words: int = 200_000,
 ) -> DataFrame:
     """``docs`` without benchmark passages: spans of ``window`` words and more that an item has are
-    taken out of the text, and documents of which more than ``max_coverage`` of the words were hit
+    taken out of the text, and documents of which more than ``max_coverage`` of the words were taken
     go altogether. ``n_chars``, if there is one, follows the text. Other documents, null and empty
-    texts stay as they are."""
-    models = automata(items, window)
-    clean = F.udf(
-        lambda text: without_overlaps(text, [m.value for m in models]),
-        "text string, coverage double", useArrow=False,
-    )
-    cleaned = docs.withColumn("_clean", clean("text")).where(F.col("_clean.coverage") <= max_coverage)
-    return with_text(cleaned, F.col("_clean.text")).select(docs.columns)
+    texts stay as they are. With several automata the passes are repeated until one round of them
+    takes nothing."""
+
+    def step(frame: DataFrame, model) -> DataFrame:
+        clean = F.udf(
+            lambda text: without_overlaps(text, model.value),
+            "struct<text: string, taken: bigint, words: bigint>", useArrow=False,
+        )
+        done = frame.withColumn("_done", clean("_state.text"))
+        taken = F.col("_state.taken") + F.col("_done.taken")
+        words = F.coalesce("_state.words", "_done.words")
+        new = F.struct(F.col("_done.text").alias("text"), taken.alias("taken"), words.alias("words"))
+        return done.withColumn("_state", new).drop("_done")
+
+    several = items.where("item_id is not null").agg(
+        F.sum(F.octet_length(F.coalesce("text", F.lit(""))))
+    ).first()[0]
+    none_yet = [F.lit(v).cast("bigint").alias(n) for n, v in (("taken", 0), ("words", None))]
+    state = docs.withColumn("_state", F.struct("text", *none_yet))
+    state = _passes(state, automata(items, window, batch_words), step)
+    while (several or 0) > batch_words:  # fewer bytes than that are one automaton
+        before = written(state, "decontamination_round")
+        state = written(_passes(before, automata(items, window, batch_words), step), "decontamination_round")
+        sums = [f.agg(F.sum("_state.taken")).first()[0] for f in (before, state)]
+        if sums[0] == sums[1]:
+            break
+    cleaned = state.where(F.col("_state.taken") <= F.col("_state.words") * max_coverage)
+    return with_text(cleaned, F.col("_state.text")).select(docs.columns)

@@ -47,7 +47,7 @@ def test_automaton_against_brute_force(seed):
 PASSAGE = "Which of these Rivers is longest when measured from source to mouth today"
 
 
-def test_contamination_in_one_or_many_automata(spark, monkeypatch):
+def test_contamination_in_one_or_many_automata(spark):
     rows = [*edges.TEXTS, (20, f"intro words {PASSAGE.upper()}! outro"), (21, "brief item"), (22, PASSAGE[:30])]
     items = [(1, PASSAGE), (2, PASSAGE + " again"), (3, "Brief item"), (4, None), (5, ""), (6, edges.TEXTS[0][1]), (6, "Brief, ITEM")]
     docs = edges.documents(spark, rows)
@@ -55,25 +55,26 @@ def test_contamination_in_one_or_many_automata(spark, monkeypatch):
     got = decontaminate.contamination(docs, bench, 10).collect()
     expected = sorted((i or 0, *brute(t, items, 10)) for i, t in rows)
     assert sorted((r.doc_id or 0, *tuple(r)[1:]) for r in got) == expected
-    built = decontaminate.automata
-    many = built(bench, 10, batch_words=12)
-    assert len(many) > 2
-    monkeypatch.setattr(decontaminate, "automata", lambda items, window: many)
-    again = decontaminate.contamination(docs, bench, 10).collect()
+    assert len(list(decontaminate.automata(bench, 10, batch_words=12))) > 2
+    again = decontaminate.contamination(docs, bench, 10, batch_words=12).collect()
     assert sorted((r.doc_id or 0, *tuple(r)[1:]) for r in again) == expected
 
 
-def test_spans_are_removed_until_none_is_left(spark):
+@pytest.mark.parametrize("batch_words", [3, 200_000])
+def test_spans_are_removed_until_none_is_left(spark, batch_words):
     rows = [
         (1, "Clean text that nobody copied from anywhere else at all."),
         (2, f"before before before before before before before before before before before before before {PASSAGE}. after"),
         (3, PASSAGE), (4, None), (5, ""),
+        (7, "w " * 40 + "Which of these Rivers is longest zz yy xx ww vv uu tt ss rr qq when measured from source to mouth today"),
         (6, "w " * 30 + "Which of these Rivers is " + PASSAGE + " longest when measured from source to mouth today"),
     ]
     docs = edges.documents(spark, rows)
-    bench = spark.createDataFrame([(1, PASSAGE, None, None)], ITEMS)
-    kept = {r.doc_id: r for r in decontaminate.remove_overlaps(docs, bench, 10).collect()}
-    assert set(kept) == {1, 2, 4, 5, 6}
+    items = [(1, PASSAGE, None, None), (2, "zz yy xx ww vv uu tt ss rr qq", None, None)]
+    bench = spark.createDataFrame(items, ITEMS)
+    found = decontaminate.remove_overlaps(docs, bench, 10, batch_words=batch_words).collect()
+    kept = {r.doc_id: r for r in found}
+    assert set(kept) == {1, 2, 4, 5, 6, 7} and "Rivers" not in kept[7].text
     assert kept[1].text == rows[0][1] and kept[1].n_chars == len(rows[0][1])
     assert kept[2].text.endswith("before . after") and kept[2].n_chars == len(kept[2].text)
     assert kept[4].text is None and kept[5].text == ""
