@@ -192,7 +192,8 @@ def search(
             score = products(x[near], query)
             best = np.lexsort((ids[near], -score))[:k]
             out.append((np.full(len(best), query_id), ids[near][best], score[best]))
-        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
+        query_ids, vec_ids, scores = map(np.concatenate, zip(*out, strict=True))
+        return pd.DataFrame({"query_id": query_ids, "vec_id": vec_ids, "score": scores})
 
     found = (
         indexed.groupBy("shard", "block")

@@ -1,7 +1,5 @@
 """Documents with the awkward cases that every operator must stand."""
 
-import datetime as dt
-
 CLASHING = (
     "score double, fp bigint, shard int, spans string, ids string, n_tokens string, held_out string, "
     "stats string, component_id bigint, size bigint, predicted int, `key` string, y int"
