@@ -150,7 +150,8 @@ def search(
         raise TypeError("embedding must be an array")
     vector = F.col("embedding").cast("array<double>")
     own = vectors.select(
-        F.col("vec_id").cast("long").alias("vec_id"), vector.alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks")
+        F.col("vec_id").cast("long").alias("vec_id"), vector.alias("v"),
+        F.coalesce(is_query, F.lit(False)).alias("asks"),
     ).where(F.col("vec_id").isNotNull() & usable(F.col("v")))
     lengths = own.groupBy(F.size("v").alias("length")).agg(
         F.count("*").alias("rows"),

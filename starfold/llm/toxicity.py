@@ -29,9 +29,10 @@ _PASSAGE = "array<struct<first: bigint, last: bigint, score: double>>"
 def word_scores(
     counts: DataFrame, prior: float = 0.1, shrink: float = 1.64, vocabulary: int = 20_000
 ) -> dict[str, float]:
-    """Scores of words from ``word, toxic, other`` counts: log-odds with a prior of ``prior``
-    times as many words as there are, nearer to zero by ``shrink`` standard deviations. The ``vocabulary`` words of the largest positive
-    scores, in units of deviation, are the model; the rest of the words count as ordinary."""
+    """Scores of words from ``word, toxic, other`` counts: log-odds with a prior of ``prior`` times as
+    many words as there are, nearer to zero by ``shrink`` standard deviations. The ``vocabulary``
+    words of the largest positive scores, in units of deviation, are the model; all others count as
+    ordinary."""
     totals = counts.agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).first()
     toxic, other = float(totals.toxic or 0), float(totals.other or 0)
     if not toxic or not other:
