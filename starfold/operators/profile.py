@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, Window
@@ -230,8 +232,8 @@ def quantiles(
 _QUANTILE = ("position", "quantile", "at", "rank")
 _SPAN = ("low", "high", "before", "n", "next")
 _BRACKET_TYPES = {
-    "position": "int", "quantile": "int", "at": "double", "rank": "bigint", "low": "double",
-    "high": "double", "before": "bigint", "next": "double",
+    "position": pa.int32(), "quantile": pa.int32(), "at": pa.float64(), "rank": pa.int64(),
+    "low": pa.float64(), "high": pa.float64(), "before": pa.int64(), "next": pa.float64(),
 }
 
 
@@ -302,14 +304,20 @@ def _settle(
 
 def _inside(values: DataFrame, brackets: list[dict]) -> DataFrame:
     """Values that lie in a bracket, with that bracket. There is one bracket per column and
-    quantile; a row is tested against all of them before any row is made of it."""
-    tests = []
-    for b in brackets:
-        value = col(values.columns[b["position"]])
-        known = [F.lit(b[name]).cast(kind).alias(name) for name, kind in _BRACKET_TYPES.items()]
-        inside = value.between(F.lit(b["low"]), F.lit(b["high"]))
-        tests.append(F.when(inside, F.struct(*known, value.alias("value"))))
-    return values.select(F.explode(F.array_compact(F.array(*tests))).alias("b")).select("b.*")
+    quantile, so what is broadcast has a fixed size. A plain filter first leaves the values that are
+    in any of them, so the join multiplies only these."""
+    in_any = reduce(
+        or_,
+        [
+            (F.col("position") == b["position"]) & F.col("value").between(F.lit(b["low"]), F.lit(b["high"]))
+            for b in brackets
+        ],
+    )
+    known = [{n: b[n] for n in _BRACKET_TYPES} for b in brackets]
+    known = _local(values, known, list(_BRACKET_TYPES.items()))
+    return _long(values).filter(in_any).join(F.broadcast(known), "position").filter(
+        F.col("value").between(F.col("low"), F.col("high"))
+    )
 
 
 def _narrow(values: DataFrame, brackets: list[dict]) -> DataFrame:
