@@ -14,7 +14,9 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}"
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}+(?![\x20-]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])"
+#: An account number is proposed by its first four characters; what may belong to it reaches to the
+#: last end of a word within 34 characters.
+IBAN, IBAN_REST = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}", r"(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("iban", "ssn")
@@ -32,6 +34,19 @@ CONTEXT = {
 }
 _GAIN = 0.3
 
+#: Characters of an account number by country, as registered.
+IBAN_LENGTH = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+        21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+        27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+
 
 def luhn(digits: Column) -> Column:
     """True if the digits pass the Luhn check."""
@@ -62,6 +77,29 @@ def _only(value: Column, chars: str) -> Column:
     return F.regexp_replace(value, f"[^{chars}]", "")
 
 
+def _accounts(text: Column) -> Column:
+    """Account numbers. Every proposed start is tried, also within what follows another, with every
+    end of a word after it, the last one first, as capitals and digits of the next words may look
+    like more of the number: of a registered country only its own length is right, of other codes
+    15 to 34 characters are; mod-97 decides."""
+    lengths = F.create_map(*[F.lit(x) for pair in IBAN_LENGTH.items() for x in pair])
+
+    def best(span: Column) -> Column:
+        value = span["value"]
+
+        def right(n: Column) -> Column:
+            account = _only(F.substring(value, 1, n), "A-Z0-9")
+            of_country = F.coalesce(lengths[F.substring(value, 1, 2)] == F.length(account), F.length(account) >= 15)
+            return (F.substring(value, n + 1, 1).isin("", " ")) & (F.substring(value, n, 1) != " ") & of_country & mod97(account)
+
+        size = F.get(F.filter(F.sequence(F.length(value), F.lit(15), F.lit(-1)), right), 0)
+        return bound(size, lambda n: F.struct(
+            span["start"].alias("start"), (span["start"] + n).alias("end"), F.substring(value, 1, n).alias("value")
+        ))
+
+    return F.filter(F.transform(find_all(text, IBAN, ahead=IBAN_REST), best), lambda s: s["end"].isNotNull())
+
+
 def _confirmed(text: Column, kind: str) -> Column:
     """Proposed spans of a kind that its validator confirms."""
     if kind == "email":
@@ -75,7 +113,7 @@ def _confirmed(text: Column, kind: str) -> Column:
         found = find_all(text, PHONE, F.contains(text, F.lit("+")))
         return F.filter(found, lambda s: F.length(_only(s["value"], "0-9")).between(8, 15))
     if kind == "iban":
-        return F.filter(find_all(text, IBAN), lambda s: mod97(_only(s["value"], "A-Z0-9")))
+        return _accounts(text)
     return find_all(text, SSN)
 
 

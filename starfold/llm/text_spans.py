@@ -18,17 +18,29 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def find_all(text: Column, pattern: str, only_if: Column | None = None) -> Column:
+def find_all(
+    text: Column, pattern: str, only_if: Column | None = None, ahead: str | None = None
+) -> Column:
     """Leftmost matches that do not overlap: array of ``start, end, value``, in code points, end
     exclusive. Each match is taken with the gap before it, and the lengths are added up. ``\\G`` in
     ``pattern`` is the end of the match before. ``only_if``: a cheaper condition that every match
-    implies. A null text has none."""
-    gapped = F.lit(rf"(?s)\G(.*?)({pattern})")
+    implies. ``ahead``: what has to follow a match is part of its value, yet not of the match, so
+    that the next one may begin in it; ``pattern`` has no groups then. A null text has none."""
+    if ahead is not None:
+        seen = rf"(?=({ahead}))"
+        gapped, there = F.lit(rf"(?s)\G(.*?)({pattern}){seen}"), F.regexp_like(text, F.lit(pattern + seen))
+    else:
+        gapped, there = F.lit(rf"(?s)\G(.*?)({pattern})"), F.regexp_like(text, F.lit(pattern))
     none = F.array().cast(SPANS)
     pairs = F.zip_with(
         F.regexp_extract_all(text, gapped, F.lit(1)), F.regexp_extract_all(text, gapped, F.lit(2)),
         lambda gap, value: F.struct(F.length(gap).alias("gap"), value.alias("value")),
     )
+    if ahead is not None:
+        pairs = F.zip_with(
+            pairs, F.regexp_extract_all(text, gapped, F.lit(3)),
+            lambda pair, rest: pair.withField("rest", rest),
+        )
 
     def state(at: Column, spans: Column) -> Column:
         return F.struct(at.cast("bigint").alias("at"), spans.alias("spans")).cast(_STATE)
@@ -36,7 +48,8 @@ def find_all(text: Column, pattern: str, only_if: Column | None = None) -> Colum
     def place(so_far: Column, pair: Column) -> Column:
         start = so_far["at"] + pair["gap"]
         end = start + F.length(pair["value"])
-        span = F.struct(start.alias("start"), end.alias("end"), pair["value"].alias("value"))
+        value = pair["value"] if ahead is None else F.concat(pair["value"], pair["rest"])
+        span = F.struct(start.alias("start"), end.alias("end"), value.alias("value"))
         return state(end, F.concat(so_far["spans"], F.array(span)))
 
     def placed(pairs: Column) -> Column:
@@ -48,7 +61,6 @@ def find_all(text: Column, pattern: str, only_if: Column | None = None) -> Colum
         blocks = F.aggregate(firsts, F.array(state(F.lit(0), none)), block)
         return F.flatten(F.transform(blocks, lambda b: b["spans"]))
 
-    there = F.regexp_like(text, F.lit(pattern))
     there = there if only_if is None else only_if & there
     return F.when(there, bound(pairs, placed)).otherwise(none)
 

@@ -126,6 +126,26 @@ def test_checksums_context_and_masks(spark):
     assert masked[6] == "card [CARD], mail [EMAIL]" and masked[1] == "pay to iban [IBAN] now" and masked[7] is None
 
 
+def test_account_numbers_before_and_after_capitals_and_digits(spark):
+    german, british, unlisted = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "ZZ33 1234 5678 9012 345"
+    texts = {
+        "DE89370400440532013000 Please pay": ["DE89370400440532013000"],
+        f"{german} Bank of X": [german], f"{british} A b": [british], f"bank {british} 4711": [british],
+        f"PAY {german} TO THE BANK OF EXAMPLE CITY LTD AND NO OTHER ONE": [german],
+        f"{german} {british} X": [german, british], f"AT12 {german} X9": [german], f"{unlisted} Y 7 z": [unlisted],
+        f"é😀 {german}, {british}.": [german, british], "NO93 8601 1117 947 OK": ["NO93 8601 1117 947"],
+        # another length than the country's, a wrong check digit, the middle of a word
+        "DE89 3704 0044 0532 0130 01 Bank": [], "DE89370400440532013000PLEASE": [], "xDE89370400440532013000 A": [],
+        "DE03 1234 5678 9012 345": [], "AB12 " * 20_000: [],
+    }
+    docs = edges.documents(spark, list(enumerate(texts)))
+    got = {r.doc_id: r for r in pii.scan(docs).collect()}
+    for i, (text, expected) in enumerate(texts.items()):
+        spans = [s.split(":") for s in got[i].spans.split(",") if s.startswith("iban")]
+        assert [text[int(a) : int(b)] for _, a, b in spans] == expected, text[:80]
+        assert got[i].n_iban == len(expected)
+
+
 def test_places_of_very_many_matches(spark):
     text = "xé1" * 5000
     spans = spark.createDataFrame([(text,)], "t string").select(text_spans.find_all(F.col("t"), "[0-9]").alias("s")).first().s
