@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starfold.llm.common import ascii_lower, sampled, written
@@ -265,14 +265,20 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, words_per_shingle: int = 4, max_distance: int = 4) -> DataFrame:
-    """``docs`` with one document of each group of near-duplicates, that with the smallest doc_id.
-    Of rows that repeat a doc_id one stays, the one with the smallest text. Rows with a null doc_id
-    cannot be named in a group and stay as they are."""
-    named = docs.where("doc_id is not null")
-    found = near_duplicates(named, words_per_shingle, max_distance)
-    stay = found.where("doc_id = component_id").select("doc_id").distinct()
-    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", *rest))
-    # each task leaves one row of an id before any are shuffled
-    first = named.withColumn("_row_of_id", place).where("_row_of_id = 1").drop("_row_of_id")
-    return first.join(stay, "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
+    """``docs`` with one row of each group of near-duplicates, that with the smallest doc_id, nulls
+    last; of several such rows that with the smallest hash of all columns, of equal ones any. Rows
+    that share a doc_id but are no near-duplicates all stay. Rows with neither doc_id nor text have
+    nothing to be compared or named by and stay as they are."""
+    hashed = F.udf(lambda text: fingerprint(text, words_per_shingle), "long", useArrow=False)
+    empty = F.col("doc_id").isNull() & F.col("text").isNull()
+    # written, so that a row's number is the same in all that follows
+    numbered = docs.where(~empty).withColumns({"_fp": hashed("text"), "_row": F.monotonically_increasing_id()})
+    rows = written(numbered, "simhash_rows")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*docs.columns), "_row")
+    first = rows.groupBy(F.col("_fp").alias("fp")).agg(F.min(order).alias("first"))
+    first = written(first, "simhash_distinct")
+    roots = components(links(first.select("fp"), max_distance))
+    group = F.coalesce("root", "fp")
+    stay = first.join(roots, roots.node == first.fp, "left").groupBy(group).agg(F.min("first").alias("first"))
+    stay = stay.select(F.col("first._row").alias("_row"))
+    return rows.join(stay, "_row", "left_semi").select(docs.columns).unionByName(docs.where(empty))

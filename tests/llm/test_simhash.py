@@ -133,3 +133,15 @@ def test_one_document_of_each_group_stays(spark):
     assert kept.columns == docs.columns
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 1, 3, 6, 8, 9]
     assert simhash.keep_one(docs.limit(0)).count() == 0
+
+
+def test_the_row_that_stays_is_chosen_by_group_and_not_by_id(spark):
+    text = lambda seed: " ".join(str(x) for x in np.random.default_rng(seed).integers(0, 10**6, 60))
+    rows = [
+        (1, text(1)), (1, text(2)), (1, text(2)), (5, text(3)), (5, text(4)), (3, text(3)),
+        (None, text(1)), (None, text(5)), (None, text(5)), (None, text(6)), (None, None),
+    ]
+    kept = simhash.keep_one(edges.documents(spark, rows)).collect()
+    expected = [(1, 1), (1, 2), (5, 4), (3, 3), (None, 5), (None, 6)]
+    expected = [*((i, text(seed)) for i, seed in expected), (None, None)]
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept) == sorted((i or 0, t or "") for i, t in expected)
