@@ -122,23 +122,28 @@ def log_ratio(value: Column, model: str) -> Column:
     return F.aggregate(F.split(value, ""), first, step, lambda end: end["sum"])
 
 
-def random_spans(text: Column, model: str, min_length: int = 20, min_ratio: float = 12.0) -> Column:
+def random_spans(
+    text: Column, model: str, min_length: int = 16, min_ratio: float = 12.0, letterless: int = 20
+) -> Column:
     """Runs of at least ``min_length`` characters of identifiers whose log-likelihood ratio is at
-    least ``min_ratio``, that is e to that power times likelier if they are random."""
+    least ``min_ratio``, that is e to that power times likelier if they are random. Without a letter
+    they count from ``letterless`` characters on: shorter ones are card and other numbers."""
     runs = find_all(text, rf"(?:\G|(?<![{_CHARS}]))[{_CHARS}]{{{min_length},}}+")
-    return F.filter(runs, lambda s: log_ratio(s["value"], model) >= min_ratio)
+    long = lambda s: (F.length(s["value"]) >= letterless) | F.regexp_like(s["value"], F.lit("[A-Za-z]"))
+    return F.filter(runs, lambda s: long(s) & (log_ratio(s["value"], model) >= min_ratio))
 
 
 def with_spans(docs: DataFrame, sample: int = 200) -> DataFrame:
-    """``docs`` with ``_base``, the spans of known shape, and ``_more``, the random strings that
-    overlap none of these (kind ``markov``); both by start, then kind."""
+    """``docs`` with ``_base``, the spans of known shape, and ``_more``, the random strings that are not
+    part of one of these (kind ``markov``); both by start, then kind. A random string that reaches
+    beyond a known shape stays whole beside it."""
     model = train(labelled_strings(docs, sample))
     found = docs.withColumns({"_base": base_spans(F.col("text")), "_more": random_spans(F.col("text"), model)})
-    apart = F.filter(
+    beyond = F.filter(
         of_kind(F.col("_more"), "markov", 3),
-        lambda s: ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
+        lambda s: ~F.exists("_base", lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])),
     )
-    return found.withColumn("_more", apart)
+    return found.withColumn("_more", beyond)
 
 
 def scan(docs: DataFrame, sample: int = 200) -> DataFrame:

@@ -94,6 +94,22 @@ def test_random_strings_are_told_from_names(spark):
     assert kinds == [("markov", random_ones[0]), ("assign", f"token={random_ones[1]}")]
 
 
+def test_random_strings_beyond_known_shapes_and_short_ones(spark, monkeypatch):
+    plain = [(i, f"the configuration of service number {i} is loaded before the start") for i in range(50)]
+    around = "9fX2kLq7VbT0zRw3YhNc" + "7c72db563d7f6e50cec00950" + "Zq5mAeXw2LkR"
+    access = "xW7qPz3vKd9-AKIA" + "Q7ZX4KV9PLM2WT8R" + "_kLq7VbT0zRw3Yh"
+    rows = [(1000, f"use {around} now"), (1001, f"use {access} now"), (1002, "use 9f3Xk27Lq81Vb4T0 now"), (1003, "use token=9fX2kLq7VbT0zRw3YhNc now")]
+    docs = edges.documents(spark, [*plain, *rows])
+    strings = secret_scan.labelled_strings  # these rows are not learned from
+    monkeypatch.setattr(secret_scan, "labelled_strings", lambda docs, n: strings(docs.where("doc_id < 1000"), n))
+    got = {r.doc_id: r for r in secret_scan.scan(docs).where("doc_id >= 1000").collect()}
+    assert [(got[i].n_assign, got[i].n_access, got[i].n_hex, got[i].n_markov) for i, _ in rows] == [(0, 0, 1, 1), (0, 1, 0, 1), (0, 0, 0, 1), (1, 0, 0, 0)]
+    redacted = {r.doc_id: r.text for r in secret_scan.redacted(docs).where("doc_id >= 1000").collect()}
+    assert set(redacted.values()) == {"use [SECRET] now"}
+    number = edges.documents(spark, [*plain, (1000, "pay 4952935900253052 now")])
+    assert secret_scan.scan(number).where("doc_id = 1000").first().n_markov == 0
+
+
 def test_redaction(spark):
     rows = [(1, "é token=abcdefgh, deadbeefdeadbeefdeadbeef end"), (2, "plain"), (3, None), (4, ""), (5, "token=" + "deadbeef" * 4)]
     kept = {r.doc_id: r for r in secret_scan.redacted(edges.documents(spark, rows)).collect()}
