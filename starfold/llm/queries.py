@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starfold.llm import (
-    ann, bpe, decontaminate, pii, quality, secret_scan, sharding, simhash, token_counts, toxicity,
+    alignment, ann, bpe, decontaminate, lexical, packing, pii, quality, secret_scan, sharding, simhash,
+    token_counts, toxicity,
 )
 from starfold.llm.common import table
 from starfold.sources import shared_folder
@@ -19,6 +20,11 @@ BPE = {
     "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"),
     "pattern": public_tokenizers.PATTERN,
 }
+WORDS = {"model": public_tokenizers.path("word_bpe_49k.json"), "end_id": 2}
+ALIGNED = {
+    "ranks": BPE["ranks"], "pattern": BPE["pattern"],
+    "pieces": public_tokenizers.path("piece_bpe_32k.model"),
+}
 
 
 def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
@@ -73,6 +79,21 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_lexical(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=20)
+
+
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    tokens = packing.tokenized(table(spark, folder, "documents"), **WORDS, window=4096)
+    return packing.digests(packing.pack(tokens, window=4096), tokens).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(table(spark, folder, "documents"), **ALIGNED)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
@@ -85,6 +106,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_simhash": op8_simhash,
         "op9_pii": op9_pii,
         "op10_decontaminate": op10_decontaminate,
+        "op11_lexical": op11_lexical,
+        "op12_packing": op12_packing,
+        "op13_alignment": op13_alignment,
     }
 
 
@@ -136,5 +160,30 @@ FROM d LEFT JOIN place USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
 
+_LEXICAL = f"""
+WITH d AS (SELECT doc_id, UNNEST({_WORDS}) AS term FROM documents)
+, tf AS (SELECT doc_id, term, COUNT(*) AS tf FROM d GROUP BY doc_id, term)
+, own AS (SELECT doc_id, COUNT(*) AS n FROM d GROUP BY doc_id)
+, whole AS (SELECT COUNT(*) AS documents, CAST(SUM(n) AS BIGINT) AS length FROM own)
+, m AS (SELECT doc_id, 100 - 25 + (25 * n * documents) // length AS m FROM own, whole)
+, w AS (
+    SELECT term, CAST(FLOOR(1000 * LN(
+        CAST(2 * (SELECT documents FROM whole) + 2 AS DOUBLE) / (2 * COUNT(*) + 1))) AS BIGINT) AS w
+    FROM tf GROUP BY term
+)
+, q AS (SELECT item_id, UNNEST({_WORDS}) AS term FROM benchmark)
+, found AS (
+    SELECT item_id, doc_id,
+           CAST(SUM(w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+    FROM q JOIN w USING (term) JOIN tf USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id
+)
+SELECT item_id, doc_id, score,
+       CAST(ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+FROM found WHERE score > 0 QUALIFY rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_token_counts": _TOKEN_COUNTS, "op10_decontaminate": _CONTAMINATION}
+    return {
+        "op6_token_counts": _TOKEN_COUNTS, "op10_decontaminate": _CONTAMINATION, "op11_lexical": _LEXICAL,
+    }

@@ -1,0 +1,126 @@
+import hashlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+import edges
+from starfold.llm import alignment
+from starfold.llm.common import table
+from starfold.llm.queries import ALIGNED
+
+A = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+A.encode_special_tokens = True
+B = sentencepiece.SentencePieceProcessor(model_file=ALIGNED["pieces"])
+VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+HIDDEN = [b for b in range(256) if b not in VISIBLE]
+BYTE = {chr(b): b for b in VISIBLE} | {chr(256 + i): b for i, b in enumerate(HIDDEN)}
+
+
+def tokens(text):
+    """(id, start, end) of both sides, from the libraries' own names of their tokens."""
+    if not text:
+        return [], []
+    found = A.encode(" " + text, add_special_tokens=False)
+    a = [(i, bytes(BYTE[c] for c in t)) for i, t in zip(found.ids, found.tokens, strict=True)]
+    b = []
+    for i in B.encode(text):
+        piece = B.id_to_piece(i)
+        b.append((i, bytes([int(piece[3:5], 16)]) if B.is_byte(i) else piece.replace("▁", " ").encode()))
+    sides = []
+    for side in (a, b):
+        if b"".join(raw for _, raw in side) != b" " + text.encode():
+            return [], []
+        ends = np.cumsum([len(raw) for _, raw in side]).tolist()
+        sides.append([(i, e - len(raw), e) for (i, raw), e in zip(side, ends, strict=True)])
+    return sides
+
+
+def brute_force(texts):
+    documents, counts = [], Counter()
+    for text in texts:
+        a, b = tokens(text)
+        linked = [(x[0], y[0]) for x in a for y in b if x[1] < y[2] and y[1] < x[2]] if len(a) < 3000 else _linked(a, b)
+        groups, i, j = [], 0, 0
+        for end in sorted({x[2] for x in a} & {y[2] for y in b}):
+            left, right = [], []
+            while i < len(a) and a[i][2] <= end:
+                left.append(str(a[i][0]))
+                i += 1
+            while j < len(b) and b[j][2] <= end:
+                right.append(str(b[j][0]))
+                j += 1
+            groups.append(",".join(left) + "|" + ",".join(right))
+        counts.update(linked)
+        listed = hashlib.sha256(";".join(groups).encode()).hexdigest() if a else ""
+        documents.append((len(a), len(b), len(groups), linked, listed))
+    most = {}
+    for (_, y), n in counts.items():
+        most[y] = max(most.get(y, 0), n)
+    return [
+        (na, nb, ng, len(own), sum(counts[p] == most[p[1]] for p in own), sum(counts[p] for p in own), listed)
+        for na, nb, ng, own, listed in documents
+    ]
+
+
+def _linked(a, b):
+    out, j = [], 0
+    for i, start, end in a:
+        while b[j][2] <= start:
+            j += 1
+        k = j
+        while k < len(b) and b[k][1] < end:
+            out.append((i, b[k][0]))
+            k += 1
+    return out
+
+
+MORE = [
+    (100, " "), (101, "a <|endoftext|> </s> <s> <unk> b"), (102, "x ▁ y"), (103, "\x00\x01 <0x41> é"),
+    (104, "tab\t\n\r\n end  "), (105, "é ﬁ 한국 😀" * 3), (106, "▁"),
+]
+
+
+@pytest.mark.parametrize("part_pairs", [7, 2_000_000])
+def test_awkward_documents(spark, part_pairs, monkeypatch):
+    monkeypatch.setattr(alignment, "_CODES", 50)
+    texts = [*edges.TEXTS, *MORE]
+    docs = edges.documents(spark, texts)
+    got = alignment.align(docs if part_pairs > 7 else docs.where("doc_id < 6"), **ALIGNED, part_pairs=part_pairs if part_pairs > 7 else 25).collect()
+    own = texts if part_pairs > 7 else [t for t in texts if t[0] and t[0] < 6]
+    want = [(i or 0, *row) for (i, _), row in zip(own, brute_force([t for _, t in own]), strict=True)]
+    assert sorted((r[0] or 0, *tuple(r)[1:]) for r in got) == sorted(want)
+    assert alignment.align(docs.limit(0), **ALIGNED).count() == 0
+
+
+def test_given_documents(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    rows = docs.select("doc_id", "text").collect()
+    want = {r.doc_id: row for r, row in zip(rows, brute_force([r.text for r in rows]), strict=True)}
+    got = {r.doc_id: tuple(r)[1:] for r in alignment.align(docs, **ALIGNED).collect()}
+    assert got == want and len(got) == len(rows)
+    best = alignment.token_map(docs, **ALIGNED)
+    assert best.groupBy("b").count().count() == len({y for r in rows for y in B.encode(r.text or "")})
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(1, 9), min_size=1, max_size=30), st.lists(st.integers(1, 9), min_size=1, max_size=30))
+def test_groups_and_links(a, b):
+    short, long = sorted((a, b), key=sum)
+    short = [*short, sum(long) - sum(short)] if sum(long) > sum(short) else short
+    ends = [np.cumsum(short), np.cumsum(long)]
+    groups = alignment.coalesce(*ends)
+    both = sorted(set(ends[0].tolist()) & set(ends[1].tolist()))
+    for side, group in zip(ends, groups, strict=True):
+        assert group.tolist() == [sum(c < e for c in both) for e in side.tolist()]
+    starts = [e - np.diff(e, prepend=0) for e in ends]
+    want = [
+        (i, j) for i in range(len(ends[0])) for j in range(len(ends[1]))
+        if starts[0][i] < ends[1][j] and starts[1][j] < ends[0][i]
+    ]
+    assert list(zip(*map(np.ndarray.tolist, alignment.links(*ends)), strict=True)) == want

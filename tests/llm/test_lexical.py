@@ -1,0 +1,112 @@
+import math
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+import edges
+from starfold.llm import lexical
+from starfold.llm.common import table
+from starfold.llm.decontaminate import words_of
+
+
+def brute_force(docs, items, k):
+    """Rows (place of the item, rank, doc_id, score) by looking at every document."""
+    counts = [(i, Counter(words_of(t))) for i, t in docs]
+    counts = [(i, c) for i, c in counts if c]
+    number, length = len(counts), sum(sum(c.values()) for _, c in counts)
+    holders = Counter(t for _, c in counts for t in c)
+    out = []
+    for place, (_, text) in enumerate(items):
+        scores = []
+        for doc_id, c in counts:
+            m = 100 - 25 + 25 * sum(c.values()) * number // length
+            score = sum(
+                math.floor(1000 * math.log((2 * number + 2) / (2 * holders[t] + 1)))
+                * (1_000_000_000 * c[t] // (1000 * c[t] + 12 * m))
+                for t in words_of(text) if t in c
+            )
+            if score > 0:
+                scores.append((-score, doc_id is None, doc_id or 0, doc_id))
+        ranked = sorted(scores, key=lambda s: s[:3])[:k]
+        out += [(place, rank, s[3], -s[0]) for rank, s in enumerate(ranked, 1)]
+    return out
+
+
+def found(spark, docs, items, k, **parameters):
+    d = spark.createDataFrame(docs, "doc_id long, text string, score string, `query` string, id string") if docs and len(docs[0]) == 5 else spark.createDataFrame(docs, "doc_id long, text string")
+    i = spark.createDataFrame(items, "item_id long, text string")
+    return lexical.search(d, i, k, **parameters).collect()
+
+
+@pytest.mark.parametrize("parameters", [{}, {"postings": 50}, {"block_bytes": 4000}])
+def test_equals_brute_force(spark, parameters):
+    docs = [(r.doc_id, r.text) for r in table(spark, "/root/testdata/sf0.001", "documents").collect()]
+    items = [(r.item_id, r.text) for r in table(spark, "/root/testdata/sf0.001", "benchmark").collect()]
+    docs += docs[:30] + [(900, items[0][1])] * 25
+    want = [(items[p][0], *rest) for p, *rest in brute_force(docs, items, 20)]
+    assert sorted(tuple(r) for r in found(spark, docs, items, 20, **parameters)) == sorted(want)
+
+
+def test_awkward_documents_and_items(spark):
+    items = [(1, "the lazy dog, the DOG"), (1, "the lazy dog, the DOG"), (None, "no id"), (3, ""), (4, None), (5, "word tale"), (6, "nowhere")]
+    docs = edges.documents(spark)
+    got = lexical.search(docs, spark.createDataFrame(items, "item_id long, text string"), 3).collect()
+    want = [(items[p][0], *rest) for p, *rest in brute_force(edges.TEXTS, items, 3)]
+    key = lambda r: tuple((v is None, v or 0) for v in r)
+    assert sorted((tuple(r) for r in got), key=key) == sorted(want, key=key)
+    empty = spark.createDataFrame([], "item_id long, text string")
+    assert lexical.search(docs, empty, 3).count() == 0
+    assert lexical.search(docs.limit(0), spark.createDataFrame(items, "item_id long, text string"), 3).count() == 0
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.integers(0, 10_000), st.integers(1, 400), st.integers(2, 40))
+def test_bounds_hold_and_nothing_is_lost(seed, rows, words):
+    rng = np.random.default_rng(seed)
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.3, rng.integers(1, 30)) % words) for _ in range(rows)]
+    queries = lexical.Queries([" ".join(f"w{int(x)}" for x in rng.integers(0, words, 6)) for _ in range(4)])
+    vectors = [queries.vector(t) for t in texts]
+    queries.weigh(rows, sum(v[0] for v in vectors), Counter(t for v in vectors for t in v[1]))
+    starts = np.concatenate([[0], np.cumsum([len(v[1]) for v in vectors])])
+    flat = lambda i: np.array([x for v in vectors for x in v[i]], np.int64)
+    segment = lexical.Segment(queries, np.arange(rows), np.array([v[0] for v in vectors]), starts, flat(1), flat(2))
+    none = (np.empty(0, np.int64), np.empty(0, np.int64))
+    for q in range(4):
+        gains = np.zeros(len(queries.vocabulary), np.int64)
+        gains[queries.terms[q]] = queries.weights[queries.terms[q]] * queries.repeats[q]
+        every = defaultdict(int)
+        for doc in range(rows):
+            for at in range(starts[doc], starts[doc + 1]):
+                every[doc] += int(gains[segment.terms[at]] * segment.impacts[at])
+        blocks, bounds = segment._bounds(q, gains)
+        for block, bound in zip(blocks, bounds, strict=True):
+            docs = segment.block_docs[segment.block_starts[block] : segment.block_starts[block + 1]]
+            assert max(every[int(d)] for d in docs) <= bound
+        want = sorted((-s, d) for d, s in every.items() if s > 0)[:5]
+        ids, scores = segment.search(q, 5, none)
+        assert list(zip((-scores).tolist(), ids.tolist(), strict=True)) == want
+
+
+def test_blocks_are_skipped():
+    """Documents of other topics share common words with the query, yet their blocks stay shut."""
+    rng = np.random.default_rng(3)
+    texts = [
+        " ".join([f"t{n % 50}x{x}" for x in rng.integers(0, 8, 12)] + [f"w{x}" for x in rng.integers(0, 6, 6)])
+        for n in range(2000)
+    ]
+    texts += [" ".join([f"w{x}" for x in range(6)] + [f"t0x{x}" for x in range(8)])] * 40
+    queries = lexical.Queries([texts[-1]])
+    vectors = [queries.vector(t) for t in texts]
+    queries.weigh(len(texts), sum(v[0] for v in vectors), Counter(t for v in vectors for t in v[1]))
+    starts = np.concatenate([[0], np.cumsum([len(v[1]) for v in vectors])])
+    flat = lambda i: np.array([x for v in vectors for x in v[i]], np.int64)
+    segment = lexical.Segment(queries, np.arange(len(texts)), np.array([v[0] for v in vectors]), starts, flat(1), flat(2))
+    scored = []
+    inner = segment._scores
+    segment._scores = lambda docs, gains: (scored.append(len(docs)), inner(docs, gains))[1]
+    ids, _ = segment.search(0, 20, (np.empty(0, np.int64), np.empty(0, np.int64)))
+    assert len(ids) == 20 and all(i % 50 == 0 or i >= 2000 for i in ids.tolist())
+    assert sum(scored) < 0.5 * len(texts)
