@@ -111,7 +111,8 @@ def tokenized(docs: DataFrame, model: str, end_id: int, window: int = 4096) -> D
     cut = F.udf(windows, "array<binary>", useArrow=False)
     whole = docs.select("doc_id", cut("text").alias("ids"))
     tokens = F.aggregate("ids", F.lit(0).cast("long"), lambda n, ids: n + F.shiftright(F.octet_length(ids), 2))
-    rows = whole.select("doc_id", tokens.alias("doc_tokens"), F.posexplode("ids").alias("at", "ids"))
+    # no array is empty; the plain generator would have the texts encoded once more to find that out
+    rows = whole.select("doc_id", tokens.alias("doc_tokens"), F.posexplode_outer("ids").alias("at", "ids"))
     return written(
         rows.select(
             F.monotonically_increasing_id().alias("key"), "doc_id", "doc_tokens",

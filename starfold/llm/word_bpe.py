@@ -16,19 +16,21 @@ from unicodedata import category, normalize
 import regex
 from tokenizers import Tokenizer
 
-#: Longest stretch that is remembered, and how many are.
-_LONGEST, _REMEMBERED = 48, 400_000
+#: Longest stretch that is remembered, and how many stretches and words are.
+_LONGEST, _STRETCHES, _WORDS = 48, 200_000, 500_000
+#: Marks that end most stretches and are words of their own.
+_MARKS = frozenset(".,;:!?")
 
 
 class _Known(dict):
     """Ids of stretches without spaces, as machine words of 4 bytes."""
 
-    def __init__(self, encode):
-        self._encode = encode
+    def __init__(self, encode, most: int):
+        self._encode, self._most = encode, most
 
     def __missing__(self, stretch: str) -> bytes:
         ids = self._encode(stretch)
-        if len(stretch) <= _LONGEST and len(self) < _REMEMBERED:
+        if len(stretch) <= _LONGEST and len(self) < self._most:
             self[stretch] = ids
         return ids
 
@@ -53,8 +55,8 @@ class WordCodec:
         # a byte is spelled as the character of its number if that is visible, else by one beyond 255
         visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
         self._spelling = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in visible)}
-        self._known = _Known(self._stretch)
-        self._words = _Known(self._spelled)
+        self._known = _Known(self._stretch, _STRETCHES)
+        self._words = _Known(self._spelled, _WORDS)
 
     def _spelled(self, word: str) -> bytes:
         if not (word.isascii() and word.isprintable()):
@@ -62,14 +64,16 @@ class WordCodec:
         return array("I", [token.id for token in self._model.tokenize(word)]).tobytes()
 
     def _stretch(self, text: str) -> bytes:
-        if text.isascii():
-            text = text.lower()
-        elif any(category(c) == "Cn" for c in text):  # newer than the tables here: the library knows
+        # lower case without regard to neighbours: a sigma that ends a word is like any other
+        lower = text.lower() if text.isascii() else normalize("NFC", text).replace("Σ", "σ").lower()
+        if lower.isalpha():
+            return self._words[lower]
+        if lower[-1:] in _MARKS and lower[:-1].isalpha():
+            return self._words[lower[:-1]] + self._words[lower[-1]]
+        if not text.isascii() and any(category(c) == "Cn" for c in text):
+            # newer than the tables here: the library knows
             return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        else:
-            # lower case without regard to neighbours: a sigma that ends a word is like any other
-            text = normalize("NFC", text).replace("Σ", "σ").lower()
-        return b"".join(map(self._words.__getitem__, self._word.findall(text)))
+        return b"".join(map(self._words.__getitem__, self._word.findall(lower)))
 
     def encode(self, text: str | None) -> bytes:
         """Ids as unsigned numbers of 4 bytes in the order of the machine; null has none."""
