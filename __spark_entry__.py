@@ -98,6 +98,14 @@ def _float_total(spark: SparkSession, folder: str) -> DataFrame:
     return sf.total_by(retail.table(spark, folder, "lineitem"), ["l_returnflag", "l_linestatus"], spec)
 
 
+def _float_cube(spark: SparkSession, folder: str) -> DataFrame:
+    """Subtotals of a cuboid of a floating point measure, with no level given."""
+    spec = replace(sf.SALES, measure="l_extendedprice", total="TotalPrice", date=None)
+    lines = retail.table(spark, folder, "lineitem")
+    keys = ["l_returnflag", "l_linestatus"]
+    return sf.cube_by(sf.base_cuboid(lines, [*keys, "l_suppkey"], spec), keys, spec)
+
+
 def _summary_mart(spark: SparkSession, folder: str) -> DataFrame:
     cuboid = sf.base_cuboid(_view(spark, folder))
     path = sf.write_mart(cuboid, shared_folder(spark, "sales_summary"))
@@ -213,6 +221,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "report_findings": _report("findings"),
         "report_rollup": _report("rollup"),
         "float_total": _float_total,
+        "float_cube": _float_cube,
         "orphan_facts": _orphans,
         "orphan_rows": _unlabelled,
         "duplicate_keys": lambda spark, folder: sf.duplicate_keys(
@@ -443,6 +452,10 @@ def _oracle_sql() -> dict[str, str]:
         "report_rollup": _REPORTING + _ROLLUP.format(source="r"),
         "float_total": """SELECT l_returnflag, l_linestatus, ROUND(SUM(l_tax), 6) AS TotalTax
         FROM lineitem GROUP BY l_returnflag, l_linestatus""",
+        "float_cube": """SELECT l_returnflag, l_linestatus,
+            CAST(GROUPING_ID(l_returnflag, l_linestatus) AS INTEGER) AS GroupingId,
+            CAST(SUM(CAST(l_extendedprice AS DECIMAL(18, 2))) AS DOUBLE) AS TotalPrice
+        FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus)""",
         "orphan_facts": _REPORTING
         + orphans.format(key="CustomerID", fk="CustomerID", fact="fact", dim="customer", dk="c_custkey")
         + " UNION ALL "

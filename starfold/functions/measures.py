@@ -2,8 +2,8 @@
 
 Amounts are added as decimals. A decimal sum does not depend on the order of the rows, so partial
 sums over any partitioning, and sums of pre-aggregated sums, give the same total to the cent. A
-floating point measure is added as it is, so that values of any size count, or as a decimal that the
-caller names.
+floating point measure is added up exactly in bins (see ``exact_floats``), so that values of any size
+count, or as a decimal that the caller names.
 """
 
 from __future__ import annotations

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from starfold.functions import col
 
@@ -45,41 +45,42 @@ def orphan_rows(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
 
 
 def orphan_facts(fact: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
-    """Per dimension key: how many keys, and how many fact rows, have no dimension row.
+    """Per dimension key: how many keys, and how many fact rows, have no dimension row: those that
+    :func:`orphan_rows` lists, as keys keep their types and are compared in the same way.
 
     One pass over the facts counts the rows of every key of every dimension; only these counts meet
     the dimensions, in one join, so a key that holds much of the fact crosses the network once per
     task. A null key is an orphan like any unknown one, and is one row by then.
     """
 
-    def text_of(frame: DataFrame, key: str, kind: T.DataType) -> Column:
-        own = col(key).cast("string")
-        if frame.schema[key].dataType == kind:
-            return own
-        return F.coalesce(col(key).try_cast(kind).cast("string"), own)
-
-    kinds = {key: dimension.schema[key].dataType for key, dimension in dimensions.items()}
-    keys = F.array(
-        *[
-            F.struct(F.lit(key).alias("dimension_key"), text_of(fact, key, kind).alias("key"))
-            for key, kind in kinds.items()
-        ]
-    )
+    def keyed(frame: DataFrame, own: str) -> list[Column]:
+        """The position of a key, and a column for each key, null for all but ``own``."""
+        columns = []
+        for i, (key, dimension) in enumerate(dimensions.items()):
+            kind = (dimension if frame is not fact else fact).schema[key].dataType
+            columns.append((col(key) if key == own else F.lit(None).cast(kind)).alias(f"key{i}"))
+        return [F.lit(list(dimensions).index(own)).alias("position"), *columns]
+
+    keys = F.array(*[F.struct(*keyed(fact, key)) for key in dimensions])
     counts = (
-        fact.select(F.explode(keys).alias("k")).groupBy("k.dimension_key", "k.key")
-        .agg(F.count(F.lit(1)).alias("rows"))
+        fact.select(F.explode(keys).alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("rows"))
+        .select("k.*", "rows")
     )
     known = [
-        dimension.select(F.lit(key).alias("dimension_key"), text_of(dimension, key, kinds[key]).alias("key"))
+        dimension.where(col(key).isNotNull()).select(*keyed(dimension, key))
         for key, dimension in dimensions.items()
     ]
-    orphans = counts.join(reduce(DataFrame.unionByName, known), ["dimension_key", "key"], "left_anti")
+    known = reduce(DataFrame.unionByName, known)
+    # the columns of the other keys are null on both sides, so that all of them can be join keys
+    same = [counts["position"] == known["position"]]
+    same += [counts[f"key{i}"].eqNullSafe(known[f"key{i}"]) for i in range(len(dimensions))]
+    orphans = counts.join(known, reduce(and_, same), "left_anti")
     names = F.posexplode(F.array(*[F.lit(key) for key in dimensions]))
     every = fact.sparkSession.range(1).select(names.alias("position", "dimension_key"))
-    found = orphans.groupBy("dimension_key").agg(
+    found = orphans.groupBy("position").agg(
         F.count(F.lit(1)).alias("orphan_keys"), F.sum("rows").alias("orphan_rows")
     )
-    return every.join(found, "dimension_key", "left").orderBy("position").select(
+    return every.join(found, "position", "left").orderBy("position").select(
         "dimension_key",
         *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("orphan_keys", "orphan_rows")],
     )

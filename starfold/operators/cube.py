@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
+from itertools import combinations
 from operator import and_
 from typing import Any
 
@@ -21,11 +22,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starfold.functions import col, level_label, rounded, summed, year_range
+from starfold.functions import col, exact, level_label, rounded, summed, year_range
+from starfold.functions.exact_floats import as_doubles, bin_of, rounded_sum, units_of
 from starfold.spec import SALES, CubeSpec, Level
 
 _SUM = "__sum"
 _GID = "__gid"
+#: Of a floating point measure: the bin whose units ``_SUM`` counts.
+_BIN = "__bin"
 _DATES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
@@ -91,8 +95,53 @@ def restrict_latest(df: DataFrame, spec: CubeSpec = SALES) -> DataFrame:
 # -- totals --------------------------------------------------------------------------------------
 
 
+def _is_floating(df: DataFrame, spec: CubeSpec) -> bool:
+    return spec.float_as == "double" and isinstance(df.schema[spec.measure].dataType, (T.FloatType, T.DoubleType))
+
+
 def _totals(df: DataFrame, keys: Sequence[str], spec: CubeSpec) -> DataFrame:
-    return df.groupBy(*[col(k) for k in keys]).agg(summed(df, spec.measure, spec.float_as).alias(_SUM))
+    """Sums that can be added up further, and are shown after :func:`_closed`. Those of a floating
+    point measure have a row for each bin of a group."""
+    grouped = [col(k) for k in keys]
+    if not _is_floating(df, spec):
+        return df.groupBy(*grouped).agg(summed(df, spec.measure, spec.float_as).alias(_SUM))
+    value = df.select(*grouped, exact(df, spec.measure).alias("__value"))
+    binned = value.select(*grouped, "__value", bin_of(F.col("__value")).alias(_BIN))
+    units = units_of(F.col("__value"), F.col(_BIN))
+    return binned.groupBy(*grouped, _BIN).agg(F.sum(units).alias(_SUM))
+
+
+def _bins(totals: DataFrame) -> list[str]:
+    return [_BIN] if _BIN in totals.columns else []
+
+
+def _closed(totals: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row for each group; the bins of a group, at most 263, are rounded to one double."""
+    if not _bins(totals):
+        return totals
+    bins = F.collect_list(F.struct(F.col(_BIN).alias("bin"), F.col(_SUM).alias("units")))
+    return totals.groupBy(*[col(k) for k in keys]).agg(rounded_sum(bins).alias(_SUM))
+
+
+def _added(totals: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Totals added up by fewer keys."""
+    coarse = totals.groupBy(*[col(k) for k in [*keys, *_bins(totals)]]).agg(F.sum(_SUM).alias(_SUM))
+    return _closed(coarse, keys)
+
+
+def _expanded(totals: DataFrame, sets: Sequence[Sequence[str]], columns: Sequence[str]) -> DataFrame:
+    """Totals added up by each set of keys, with ``_GID``, the ``grouping_id`` over ``columns``."""
+    bins = _bins(totals)
+    every = [col(c) for c in [*columns, *bins]]
+    grouped = totals.groupingSets([[col(c) for c in [*own, *bins]] for own in sets], *every)
+    gid = F.shiftright(F.grouping_id(), len(bins)) if bins else F.grouping_id()
+    added = grouped.agg(F.sum(_SUM).alias(_SUM), gid.alias(_GID))
+    return _closed(added, [*columns, _GID])
+
+
+def grouped_sum(df: DataFrame, keys: Sequence[str], spec: CubeSpec) -> DataFrame:
+    """``keys`` and ``total``, exact or, of a floating point measure, rounded once."""
+    return _closed(_totals(df, keys, spec), keys).withColumnRenamed(_SUM, "total")
 
 
 def result(total: Column, spec: CubeSpec) -> Column:
@@ -106,7 +155,7 @@ def _total_column(spec: CubeSpec) -> Column:
 
 def total_by(df: DataFrame, keys: Sequence[str], spec: CubeSpec = SALES) -> DataFrame:
     """Total per combination of any keys, unordered."""
-    return _totals(df, keys, spec).select(*[col(k) for k in keys], _total_column(spec))
+    return _closed(_totals(df, keys, spec), keys).select(*[col(k) for k in keys], _total_column(spec))
 
 
 def base_cuboid(
@@ -116,9 +165,13 @@ def base_cuboid(
 
     Every operator gives the same result on this as on the detail, as long as it only uses
     ``keys``. Write it once with :func:`starfold.sources.mart.write_mart` and a whole report costs
-    one pass over the facts.
+    one pass over the facts. Of a floating point measure a group has some rows, two for each of its
+    bins at most, whose doubles add up to the exact sum.
     """
     keys = spec.grain if keys is None else tuple(keys)
+    if _is_floating(df, spec):
+        parts = F.explode(as_doubles(F.col(_BIN), F.col(_SUM))).alias(spec.measure)
+        return _totals(df, keys, spec).select(*[col(k) for k in keys], parts)
     return df.groupBy(*[col(k) for k in keys]).agg(summed(df, spec.measure, spec.float_as).alias(spec.measure))
 
 
@@ -173,11 +226,13 @@ def rollup_levels(df: DataFrame, spec: CubeSpec = SALES) -> DataFrame:
     row at all, not even a grand total; use :func:`grand_total` where one row is needed.
     """
     columns = spec.hierarchy
-    rolled = (
-        _totals(df, columns, spec)
-        .rollup(*[col(c) for c in columns])
-        .agg(F.sum(_SUM).alias(_SUM), F.grouping_id().alias(_GID))
-    )
+    totals = _totals(df, columns, spec)
+    if _bins(totals):
+        rolled = _expanded(totals, [columns[:n] for n in range(len(columns), -1, -1)], columns)
+    else:
+        rolled = totals.rollup(*[col(c) for c in columns]).agg(
+            F.sum(_SUM).alias(_SUM), F.grouping_id().alias(_GID)
+        )
     ids = _by_prefix(len(columns))
     name = F.when(F.col(_GID) == ids[0], spec.all_name)
     for depth, level in enumerate(spec.levels, start=1):
@@ -189,7 +244,7 @@ def rollup_levels(df: DataFrame, spec: CubeSpec = SALES) -> DataFrame:
 
 def grand_total(df: DataFrame, spec: CubeSpec = SALES) -> DataFrame:
     """Exactly one row; a null total if there is nothing to add."""
-    return df.agg(summed(df, spec.measure, spec.float_as).alias(_SUM)).select(
+    return _closed(_totals(df, [], spec), []).select(
         F.lit(spec.all_name).alias("SummaryLevel"), _total_column(spec)
     )
 
@@ -240,10 +295,7 @@ def drill_levels(df: DataFrame, member: Any = None, spec: CubeSpec = SALES) -> D
     totals, fixed = _totals_under(df, member, spec)
     columns = spec.hierarchy
     prefixes = range(fixed, len(columns) + 1)
-    expanded = (
-        totals.groupingSets([[col(c) for c in columns[:n]] for n in prefixes], *[col(c) for c in columns])
-        .agg(F.sum(_SUM).alias(_SUM), F.grouping_id().alias(_GID))
-    )
+    expanded = _expanded(totals, [columns[:n] for n in prefixes], columns)
     ids = _by_prefix(len(columns))
 
     def per_level(value) -> Column:
@@ -272,9 +324,7 @@ def _period_totals(
         detail = restrict(df, dict(zip(spec.hierarchy, path)), spec)
         return total_by(detail, [column], spec), column
     totals, _ = _totals_under(df, None, spec)
-    return totals.groupBy(col(column)).agg(F.sum(_SUM).alias(_SUM)).select(
-        col(column), _total_column(spec)
-    ), column
+    return _added(totals, [column]).select(col(column), _total_column(spec)), column
 
 
 def drill_at(
@@ -317,12 +367,10 @@ def cube_by(
     from the right, is summed over.
     """
     keys = spec.dimensions if dimensions is None else tuple(dimensions)
-    cubed = (
-        _totals(df, keys, spec)
-        .cube(*[col(k) for k in keys])
-        .agg(F.sum(_SUM).alias(_SUM), F.grouping_id().cast("int").alias("GroupingId"))
-    )
-    return cubed.select(*[col(k) for k in keys], "GroupingId", _total_column(spec)).orderBy(
+    subsets = [own for n in range(len(keys), -1, -1) for own in combinations(keys, n)]
+    cubed = _expanded(_totals(df, keys, spec), subsets, keys)
+    number = F.col(_GID).cast("int").alias("GroupingId")
+    return cubed.select(*[col(k) for k in keys], number, _total_column(spec)).orderBy(
         "GroupingId", *[col(k).asc_nulls_last() for k in keys]
     )
 
@@ -335,8 +383,9 @@ def compare_members(
     The members are named, so no job is needed to find the columns of the pivot.
     """
     first, second = members
+    totals = _totals(restrict(df, {dimension: list(members)}, spec), [by, dimension], spec)
     pivoted = (
-        _totals(restrict(df, {dimension: list(members)}, spec), [by, dimension], spec)
+        _closed(totals, [by, dimension])
         .groupBy(col(by))
         .pivot(dimension, [first, second])
         .agg(F.sum(_SUM))
@@ -364,8 +413,12 @@ def against_average(df: DataFrame, dimension: str, spec: CubeSpec = SALES) -> Da
 
     The average is a scalar subquery over the same totals, so it needs no single-task window.
     """
-    totals = _totals(df, [dimension], spec)
-    average = totals.agg(F.avg(_SUM)).scalar()
+    parts = _totals(df, [dimension], spec)
+    totals = _closed(parts, [dimension])
+    if _bins(parts):  # the members' totals are those of the whole; each was rounded already
+        average = _added(parts, []).select(_SUM).scalar() / totals.agg(F.count(_SUM)).scalar()
+    else:
+        average = totals.agg(F.avg(_SUM)).scalar()
     compared = totals.withColumn("__average", average).select(
         col(dimension),
         _total_column(spec),

@@ -8,9 +8,9 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starfold.functions import col, currency, summed
+from starfold.functions import col, currency
 from starfold.functions.columns import NULL_TEXT
-from starfold.operators.cube import base_cuboid, member_test, result
+from starfold.operators.cube import base_cuboid, grouped_sum, member_test, result
 from starfold.spec import SALES, CubeSpec
 
 
@@ -93,9 +93,7 @@ def headline_findings(
         ]
     )
     asked = asked.unionByName(seed)
-    totals = asked.groupBy("number", "finding", "period", "member", "keys").agg(
-        summed(asked, spec.measure, spec.float_as).alias("total")
-    )
+    totals = grouped_sum(asked, ["number", "finding", "period", "member", "keys"], spec)
     # Within a period the smallest struct wins, by the order of the operators themselves: known
     # before unknown, largest total as it is shown, first keys.
     shown = result(F.col("total"), spec)

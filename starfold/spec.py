@@ -30,8 +30,8 @@ class CubeSpec:
 
     Totals come out as ``total_type``. A double holds cents up to about 90 trillion; past that use
     a decimal, in which decimal amounts are summed anyway. A floating point measure is summed as
-    ``float_as``: a double takes values of any size, a decimal gives sums that do not depend on the
-    order of the rows and refuses values that it cannot hold.
+    ``float_as``: a double takes values of any size, its sums are exact and rounded once; a decimal
+    is one column instead of bins, and refuses values that it cannot hold.
     """
 
     measure: str

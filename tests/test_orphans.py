@@ -1,0 +1,44 @@
+"""Counts of orphans are the counts of the rows that the join leaves out, for keys of any types."""
+
+import decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+import starfold as sf
+from plans import settings
+
+D = decimal.Decimal
+PAIRS = [
+    ("double", [1.5, 1.0, 2.0, -0.0, float("nan"), None], "bigint", [1, 2, 0]),
+    ("bigint", [1, 2, 3, None, 3], "string", ["01", "2", None]),
+    ("string", ["1", "01", "x", None], "bigint", [1]),
+    ("double", [-0.0, 0.0, float("nan")], "double", [0.0, float("nan")]),
+    ("string collate utf8_lcase", ["ABC", "abc", "x"], "string collate utf8_lcase", ["abc"]),
+    ("decimal(10,2)", [D("1.00"), D("1.50")], "decimal(20,4)", [D("1.0000")]),
+    ("int", [1, 2, 2, None], "bigint", [1]),
+    ("date", [], "date", []),
+]
+
+
+@pytest.mark.parametrize("fact_type, fact, dimension_type, dimension", PAIRS)
+def test_counts_are_those_of_the_rows(spark, fact_type, fact, dimension_type, dimension):
+    with settings(spark, spark__sql__ansi__enabled="false"):
+        f = spark.createDataFrame([(v, 1) for v in fact], "k " + fact_type.split(" ")[0] + ", other int")
+        d = spark.createDataFrame([(v,) for v in dimension], "k " + dimension_type.split(" ")[0])
+        if "collate" in fact_type:
+            f, d = (x.withColumn("k", F.collate("k", "UTF8_LCASE")) for x in (f, d))
+        got = {r.dimension_key: r for r in sf.orphan_facts(f, {"k": d, "other": spark.range(2).select(F.col("id").alias("other"))}).collect()}
+        left = sf.orphan_rows(f, d, "k")
+        assert got["k"].orphan_rows == left.count()
+        assert got["k"].orphan_keys == left.select("k").distinct().count()
+        assert (got["other"].orphan_keys, got["other"].orphan_rows) == (0, 0)
+
+
+def test_facts_are_read_once(spark, tmp_path):
+    spark.range(100).selectExpr("id AS a", "id AS b", "id AS c").write.parquet(f"{tmp_path}/fact")
+    fact = spark.read.parquet(f"{tmp_path}/fact")
+    dims = {k: spark.range(50).select(F.col("id").alias(k)) for k in "abc"}
+    found = sf.orphan_facts(fact, dims)
+    assert [tuple(r) for r in found.collect()] == [(k, 50, 50) for k in "abc"]
+    assert str(found._jdf.queryExecution().optimizedPlan()).count("Relation") == 1
