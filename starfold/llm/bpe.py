@@ -23,6 +23,8 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starfold.llm.common import free
+
 #: Characters that are encoded at once, and that one task encodes of a text.
 LEAF = 8_192
 SPREAD = 65_536
@@ -133,9 +135,11 @@ def encode(
     """The rows of ``docs`` without ``text``, with ``n_tokens``, ``ids_sha256`` (of the decimal ids
     joined by commas), ``decoded_sha256`` (of the decoded text) and, with ``keep_ids``, ``ids``.
 
-    Null is encoded as the empty text, with no tokens. Repeated rows stay repeated. Columns of
-    ``docs`` that have one of these names give way to the new ones.
+    Null is encoded as the empty text, with no tokens. Repeated rows stay repeated, an empty table
+    gives none. Columns of ``docs`` that have one of these names, in any case, give way to the new
+    ones; all others keep their values, whatever their names.
     """
+    out, key = free(docs, "_bpe", "_key")
 
     def results(ids: list[int]) -> tuple:
         return *codec(model, ranks, pattern).digests(ids), ids if keep_ids else None
@@ -144,12 +148,12 @@ def encode(
     is_long = F.length("text") > spread
     new = ["n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * keep_ids]
     kept = [c for c in docs.columns if c.lower() not in ("text", *new)]
-    columns = [*kept, *[F.col(f"_bpe.{c}").alias(c) for c in new]]
+    columns = [*kept, *[F.col(f"{out}.{c}").alias(c) for c in new]]
 
     short = docs.where(~F.coalesce(is_long, F.lit(False)))
-    short = short.withColumn("_bpe", whole("text")).select(columns)
+    short = short.withColumn(out, whole("text")).select(columns)
 
-    long = docs.where(is_long).withColumn("_key", F.sha2("text", 256))
+    long = docs.where(is_long).withColumn(key, F.sha2("text", 256))
     divide = F.udf(
         lambda text: codec(model, ranks, pattern).pieces(text, spread), "array<string>", useArrow=False
     )
@@ -158,7 +162,7 @@ def encode(
         useArrow=False,
     )
     parts = (
-        long.select("_key", F.posexplode(divide("text")).alias("place", "piece"))
+        long.select(F.col(key).alias("_key"), F.posexplode(divide("text")).alias("place", "piece"))
         .dropDuplicates(["_key", "place"])  # equal texts are encoded once
         .select("_key", "place", part("piece").alias("tokens"))
     )
@@ -175,8 +179,8 @@ def encode(
         join_pieces,
         "_key string, n_tokens long, ids_sha256 string, decoded_sha256 string, ids array<int>",
     )
-    joined = joined.select("_key", F.struct(*joined.columns[1:]).alias("_bpe"))
-    return short.unionByName(long.drop("text").join(joined, "_key").select(columns))
+    joined = joined.select(F.col("_key").alias(key), F.struct(*joined.columns[1:]).alias(out))
+    return short.unionByName(long.drop("text").join(joined, key).select(columns))
 
 
 def decode(tokens: DataFrame, model: str, ranks: str, pattern: str) -> DataFrame:

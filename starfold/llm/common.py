@@ -22,6 +22,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each lengthened until no column of ``df`` has it in any case: what an operator puts
+    beside a user's columns must not meet one of them."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def ascii_lower(text: str | None) -> bytes:
     """UTF-8 bytes with A-Z in lower case; null is empty."""
     return (text or "").encode("utf-8", "surrogatepass").translate(_TO_LOWER)

@@ -8,16 +8,19 @@ to the root, so only runs of known words of at least the shortest window need to
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfold.llm.common import with_text, written
+from starfold.llm.common import free, with_text, written
 
 _NOT_WORD = bytes(
     32 if b < 0x30 or 0x3A <= b <= 0x60 or 0x7B <= b <= 0x7F else b for b in range(256)
@@ -160,32 +163,64 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def automata(items: DataFrame, window: int = 10, batch_words: int = 200_000) -> Iterator[Automaton]:
-    """Automata of all items, each of at most ``batch_words`` words (and one item): more items make
-    more automata, of which the driver and the tasks hold one at a time. Items with a null id are
-    left out, texts without words have no windows; an id is named by its text form."""
-    chosen = items.where("item_id is not null").select(F.col("item_id").cast("string"), "text")
-    batch, size, none = [], 0, True
-    for row in chosen.orderBy("item_id", "text").toLocalIterator():
-        batch.append((row.item_id, row.text))
-        size += len(words_of(row.text))
-        if size >= batch_words:
-            yield Automaton(batch, window)
-            batch, size, none = [], 0, False
-    if batch or none:
-        yield Automaton(batch, window)
-
-
-def _passes(frame: DataFrame, models: Iterable[Automaton], step) -> DataFrame:
-    """``step(frame, broadcast)`` for each automaton in turn; what a pass gives is written before the
+class Shipped:
+    """An automaton on its way to the tasks, as the bytes that a task built."""
+
+    def __init__(self, spark: SparkSession, raw: bytes):
+        self._raw = spark.sparkContext.broadcast(raw)
+
+    @property
+    def automaton(self) -> Automaton:
+        return _unpacked(self._raw)
+
+    def release(self) -> None:
+        self._raw.unpersist()
+
+
+@lru_cache(maxsize=1)
+def _unpacked(raw) -> Automaton:
+    return pickle.loads(raw.value)
+
+
+def automata(items: DataFrame, window: int = 10, batch_words: int = 200_000) -> DataFrame:
+    """``batch, automaton``: automata of all items, each of about ``batch_words`` words (and one item),
+    dealt by a hash of the item and built in a task of its own; written. Items with a null id are left
+    out, texts without words have no windows; an id is named by its text form."""
+    chosen = items.where("item_id is not null").select(F.col("item_id").cast("string").alias("item_id"), "text")
+    count = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"))
+    batches = max(-(-(chosen.agg(F.sum(count)).first()[0] or 0) // batch_words), 1)
+    batch = F.pmod(F.xxhash64("item_id", "text"), F.lit(batches)).cast("int")
+
+    def build(rows: pd.DataFrame) -> pd.DataFrame:
+        texts = [t if isinstance(t, str) else None for t in rows["text"]]
+        own = sorted(zip(rows["item_id"], texts, strict=True), key=lambda r: (r[0], r[1] or ""))
+        raw = pickle.dumps(Automaton(own, window), protocol=5)
+        return pd.DataFrame({"batch": rows["batch"].iloc[:1], "automaton": [raw]})
+
+    dealt = chosen.withColumn("batch", batch).groupBy("batch")
+    return written(dealt.applyInPandas(build, "batch int, automaton binary"), "decontamination_automata")
+
+
+def _shipped(models: DataFrame, window: int) -> Iterator[Shipped]:
+    """One automaton after the other, of bounded size; that of no items if there are none."""
+    spark = models.sparkSession
+    numbers = sorted(r["batch"] for r in models.select("batch").collect())
+    for number in numbers:
+        yield Shipped(spark, bytes(models.where(F.col("batch") == number).first()["automaton"]))
+    if not numbers:
+        yield Shipped(spark, pickle.dumps(Automaton([], window), protocol=5))
+
+
+def _passes(frame: DataFrame, models: Iterable[Shipped], step) -> DataFrame:
+    """``step(frame, shipped)`` for each automaton in turn; what a pass gives is written before the
     next one, so that no task holds two automata."""
     before = None
     for model in models:
         if before is not None:
             frame = written(frame, "decontamination_pass")
-            before.unpersist()
-        before = frame.sparkSession.sparkContext.broadcast(model)
-        frame = step(frame, before)
+            before.release()
+        before = model
+        frame = step(frame, model)
     return frame
 
 
@@ -198,7 +233,7 @@ def contamination(
     def step(frame: DataFrame, model) -> DataFrame:
         def run(text, before):
             words = words_of(text)
-            spans, found = model.value.scan(words)
+            spans, found = model.automaton.scan(words)
             if before is not None:
                 spans = _merged(spans + [tuple(s) for s in before.spans])
                 found = found.union(before.items)
@@ -207,7 +242,7 @@ def contamination(
         return frame.withColumn("hit", F.udf(run, _HITS, useArrow=False)("text", "hit"))
 
     own = docs.select("doc_id", "text", F.lit(None).cast(_HITS).alias("hit"))
-    found = _passes(own, automata(items, window, batch_words), step)
+    found = _passes(own, _shipped(automata(items, window, batch_words), window), step)
     hits = F.aggregate("hit.spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
     named = F.sha2(F.array_join("hit.items", ",").cast("binary"), 256)
     return found.select(
@@ -217,10 +252,21 @@ def contamination(
     )
 
 
+def cut(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text without the characters from the first to the last word of each span."""
+    places = [m.span() for m in _WORD.finditer(text)]
+    for first, last in reversed(spans):
+        text = text[: places[first][0]] + text[places[last][1] :]
+    return text
+
+
+def _taken(spans: list[tuple[int, int]]) -> int:
+    return sum(last - first + 1 for first, last in spans)
+
+
 def without_overlaps(text: str | None, model: Automaton) -> tuple[str | None, int, int]:
-    """The text without the characters from the first to the last word of each hit span, the number
-    of words taken out and the number there were. Taking a span out can bring the ends of another
-    passage together, so it goes on until there is none."""
+    """The text without the hit spans, the number of words taken out and the number there were. Taking
+    a span out can bring the ends of another passage together, so it goes on until there is none."""
     taken, total = 0, None
     while text is not None:
         words = words_of(text)
@@ -228,13 +274,15 @@ def without_overlaps(text: str | None, model: Automaton) -> tuple[str | None, in
         spans, _ = model.scan(words)
         if not spans:
             break
-        places = [m.span() for m in _WORD.finditer(text)]
-        for first, last in reversed(spans):
-            taken += last - first + 1
-            text = text[: places[first][0]] + text[places[last][1] :]
+        taken += _taken(spans)
+        text = cut(text, spans)
     return text, taken, total or 0
 
 
+_CUT = "struct<text: string, taken: bigint, words: bigint>"
+_SPANS = "array<struct<first: bigint, last: bigint>>"
+
+
 def remove_overlaps(
     docs: DataFrame, items: DataFrame, window: int = 10, max_coverage: float = 0.5,
     batch_words: int = 200_000,
@@ -242,31 +290,47 @@ def remove_overlaps(
     """``docs`` without benchmark passages: spans of ``window`` words and more that an item has are
     taken out of the text, and documents of which more than ``max_coverage`` of the words were taken
     go altogether. ``n_chars``, if there is one, follows the text. Other documents, null and empty
-    texts stay as they are. With several automata the passes are repeated until one round of them
-    takes nothing."""
-
-    def step(frame: DataFrame, model) -> DataFrame:
-        clean = F.udf(
-            lambda text: without_overlaps(text, model.value),
-            "struct<text: string, taken: bigint, words: bigint>", useArrow=False,
+    texts and all other columns, whatever their names, stay as they are; repeated rows stay repeated;
+    an empty table on either side removes nothing.
+
+    The result does not depend on ``batch_words``: with several automata the spans of all of them are
+    found on the same text and merged before anything is cut, and rounds follow for the texts that
+    were cut, until none is.
+    """
+    models = automata(items, window, batch_words)
+    state, spans, still = free(docs, "_state", "_spans", "_open")
+    if models.count() <= 1:
+        (model,) = _shipped(models, window)
+        clean = F.udf(lambda text: without_overlaps(text, model.automaton), _CUT, useArrow=False)
+        done = docs.withColumn(state, clean("text"))
+    else:
+        def step(frame: DataFrame, model: Shipped) -> DataFrame:
+            def find(text, before):
+                own, _ = model.automaton.scan(words_of(text))
+                return _merged([*map(tuple, before or []), *own])
+
+            more = F.udf(find, _SPANS, useArrow=False)(f"{state}.text", spans)
+            return frame.withColumn(spans, F.when(F.col(still), more).otherwise(F.col(spans)))
+
+        def shorten(now, found):
+            found = [tuple(s) for s in found or []]
+            words = len(words_of(now.text)) if now.words is None else now.words
+            return cut(now.text, found) if found else now.text, now.taken + _taken(found), words
+
+        first = [F.lit(v).cast("bigint").alias(n) for n, v in (("taken", 0), ("words", None))]
+        none = F.lit(None).cast(_SPANS)
+        done = docs.withColumns(
+            {state: F.struct("text", *first), spans: none, still: F.col("text").isNotNull()}
         )
-        done = frame.withColumn("_done", clean("_state.text"))
-        taken = F.col("_state.taken") + F.col("_done.taken")
-        words = F.coalesce("_state.words", "_done.words")
-        new = F.struct(F.col("_done.text").alias("text"), taken.alias("taken"), words.alias("words"))
-        return done.withColumn("_state", new).drop("_done")
-
-    several = items.where("item_id is not null").agg(
-        F.sum(F.octet_length(F.coalesce("text", F.lit(""))))
-    ).first()[0]
-    none_yet = [F.lit(v).cast("bigint").alias(n) for n, v in (("taken", 0), ("words", None))]
-    state = docs.withColumn("_state", F.struct("text", *none_yet))
-    state = _passes(state, automata(items, window, batch_words), step)
-    while (several or 0) > batch_words:  # fewer bytes than that are one automaton
-        before = written(state, "decontamination_round")
-        state = written(_passes(before, automata(items, window, batch_words), step), "decontamination_round")
-        sums = [f.agg(F.sum("_state.taken")).first()[0] for f in (before, state)]
-        if sums[0] == sums[1]:
-            break
-    cleaned = state.where(F.col("_state.taken") <= F.col("_state.words") * max_coverage)
-    return with_text(cleaned, F.col("_state.text")).select(docs.columns)
+        while True:
+            found = written(_passes(done, _shipped(models, window), step), "decontamination_spans")
+            hit = F.coalesce(F.size(spans) > 0, F.lit(False))
+            now = F.udf(shorten, _CUT, useArrow=False)(state, spans)
+            done = written(
+                found.withColumn(state, now).withColumn(still, hit).withColumn(spans, none),
+                "decontamination_round",
+            )
+            if done.where(still).isEmpty():
+                break
+    cleaned = done.where(F.col(f"{state}.taken") <= F.col(f"{state}.words") * max_coverage)
+    return with_text(cleaned, F.col(f"{state}.text")).select(docs.columns)

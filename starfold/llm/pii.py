@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starfold.llm.common import free
 from starfold.llm.text_spans import bound, digest, find_all, listed, of_kind, replaced
 
 #: Proposing patterns, fixed values. Runs are matched from their beginning to their end and are not
@@ -131,8 +132,8 @@ def _scored(text: Column, spans: Column, kind: str, reach: int) -> Column:
     return F.transform(spans, score)
 
 
-def find(docs: DataFrame, least: float = 0.5, reach: int = 40) -> DataFrame:
-    """``docs`` with ``_pii``: spans ``start, rank, end, kind, value, score`` by kind, then start.
+def find(docs: DataFrame, least: float = 0.5, reach: int = 40, name: str = "_pii") -> DataFrame:
+    """``docs`` with ``name``, which must be free: spans ``start, rank, end, kind, value, score`` by kind, then start.
     Email, ip, card and phone spans that are confirmed always count; account and social security
     numbers count from a score of ``least``. A null or empty text has none."""
     text = F.col("text")
@@ -140,7 +141,7 @@ def find(docs: DataFrame, least: float = 0.5, reach: int = 40) -> DataFrame:
     for rank, kind in enumerate((*BASE, *ADDED)):
         spans = _scored(text, of_kind(_confirmed(text, kind), kind, rank), kind, reach)
         parts.append(F.filter(spans, lambda s: s["score"] >= least) if kind in ADDED else spans)
-    return docs.withColumn("_pii", F.concat(*parts))
+    return docs.withColumn(name, F.concat(*parts))
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -161,8 +162,9 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def masked(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """``docs`` with every span in ``text`` replaced by its kind in brackets."""
-    found = find(docs, least)
-    by_start = bound(F.col("_pii"), lambda spans: F.array_sort(spans))
+    """``docs`` with every span in ``text`` replaced by its kind in brackets; all other columns, whatever
+    their names, stay as they are."""
+    (name,) = free(docs, "_pii")
+    by_start = bound(F.col(name), lambda spans: F.array_sort(spans))
     text = replaced(F.col("text"), by_start, lambda s: F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
-    return found.withColumn("text", text).select(docs.columns)
+    return find(docs, least, name=name).withColumn("text", text).select(docs.columns)

@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starfold.llm.common import row_hash, sampled, with_text, written
+from starfold.llm.common import free, row_hash, sampled, with_text, written
 from starfold.llm.text_spans import digest, find_all, listed, of_kind, replaced
 
 #: Known shapes, fixed values. Each is leftmost and without overlaps; runs are matched from their
@@ -133,17 +133,17 @@ def random_spans(
     return F.filter(runs, lambda s: long(s) & (log_ratio(s["value"], model) >= min_ratio))
 
 
-def with_spans(docs: DataFrame, sample: int = 200) -> DataFrame:
-    """``docs`` with ``_base``, the spans of known shape, and ``_more``, the random strings that are not
-    part of one of these (kind ``markov``); both by start, then kind. A random string that reaches
+def with_spans(docs: DataFrame, sample: int = 200, base: str = "_base", more: str = "_more") -> DataFrame:
+    """``docs`` with ``base``, the spans of known shape, and ``more``, the random strings that are not
+    part of one of these (kind ``markov``); both by start, then kind; the names must be free. A random string that reaches
     beyond a known shape stays whole beside it."""
     model = train(labelled_strings(docs, sample))
-    found = docs.withColumns({"_base": base_spans(F.col("text")), "_more": random_spans(F.col("text"), model)})
+    found = docs.withColumns({base: base_spans(F.col("text")), more: random_spans(F.col("text"), model)})
     beyond = F.filter(
-        of_kind(F.col("_more"), "markov", 3),
-        lambda s: ~F.exists("_base", lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])),
+        of_kind(F.col(more), "markov", 3),
+        lambda s: ~F.exists(base, lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])),
     )
-    return found.withColumn("_more", beyond)
+    return found.withColumn(more, beyond)
 
 
 def scan(docs: DataFrame, sample: int = 200) -> DataFrame:
@@ -163,8 +163,10 @@ def scan(docs: DataFrame, sample: int = 200) -> DataFrame:
 
 
 def redacted(docs: DataFrame, sample: int = 200) -> DataFrame:
-    """``docs`` with every secret in ``text`` replaced by ``[SECRET]``; n_chars follows the text.
-    Other texts stay as they are, null stays null."""
-    marked = with_spans(docs, sample).withColumn("_secrets", F.array_sort(F.concat("_base", "_more")))
-    text = replaced(F.col("text"), F.col("_secrets"), lambda s: F.lit("[SECRET]"))
+    """``docs`` with every secret in ``text`` replaced by ``[SECRET]``; n_chars follows the text. Other
+    texts and all other columns, whatever their names, stay as they are, null stays null; texts of
+    any length are read whole; repeated rows stay repeated, an empty table stays empty."""
+    base, more, secrets = free(docs, "_base", "_more", "_secrets")
+    marked = with_spans(docs, sample, base, more).withColumn(secrets, F.array_sort(F.concat(base, more)))
+    text = replaced(F.col("text"), F.col(secrets), lambda s: F.lit("[SECRET]"))
     return with_text(marked, text).select(docs.columns)

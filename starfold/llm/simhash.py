@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starfold.llm.common import ascii_lower, sampled, written
+from starfold.llm.common import ascii_lower, free, sampled, written
 
 #: Hashes whose bits are counted at once; keeps memory flat on very long texts.
 _BLOCK = 1 << 16
@@ -268,17 +268,22 @@ def keep_one(docs: DataFrame, words_per_shingle: int = 4, max_distance: int = 4)
     """``docs`` with one row of each group of near-duplicates, that with the smallest doc_id, nulls
     last; of several such rows that with the smallest hash of all columns, of equal ones any. Rows
     that share a doc_id but are no near-duplicates all stay. Rows with neither doc_id nor text have
-    nothing to be compared or named by and stay as they are."""
+    nothing to be compared or named by and stay as they are. Columns keep their values, whatever their
+    names; an empty table stays empty."""
     hashed = F.udf(lambda text: fingerprint(text, words_per_shingle), "long", useArrow=False)
+    fp, row = free(docs, "_fp", "_row")
     empty = F.col("doc_id").isNull() & F.col("text").isNull()
     # written, so that a row's number is the same in all that follows
-    numbered = docs.where(~empty).withColumns({"_fp": hashed("text"), "_row": F.monotonically_increasing_id()})
+    numbered = docs.where(~empty).withColumns({fp: hashed("text"), row: F.monotonically_increasing_id()})
     rows = written(numbered, "simhash_rows")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*docs.columns), "_row")
-    first = rows.groupBy(F.col("_fp").alias("fp")).agg(F.min(order).alias("first"))
+    order = F.struct(
+        F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"),
+        F.xxhash64(*docs.columns).alias("hash"), F.col(row).alias("row"),
+    )
+    first = rows.groupBy(F.col(fp).alias("fp")).agg(F.min(order).alias("first"))
     first = written(first, "simhash_distinct")
     roots = components(links(first.select("fp"), max_distance))
     group = F.coalesce("root", "fp")
     stay = first.join(roots, roots.node == first.fp, "left").groupBy(group).agg(F.min("first").alias("first"))
-    stay = stay.select(F.col("first._row").alias("_row"))
-    return rows.join(stay, "_row", "left_semi").select(docs.columns).unionByName(docs.where(empty))
+    stay = stay.select(F.col("first.row").alias(row))
+    return rows.join(stay, row, "left_semi").select(docs.columns).unionByName(docs.where(empty))

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starfold.llm.common import held_out, labelled, written
+from starfold.llm.common import free, held_out, labelled, written
 
 _WORD = re.compile(r"\w+")
 #: A word that comes again within so many words counts as an ordinary one: saying it over and over
@@ -174,8 +174,8 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 3, fold: int = 1, row
     return docs.sparkSession.sparkContext.broadcast(fit(examples))
 
 
-def scored(docs: DataFrame, model) -> DataFrame:
-    """``docs`` with ``_toxic``: ``score`` (0 to 1) and ``passages`` (first and last word, from 0, and
+def scored(docs: DataFrame, model, name: str) -> DataFrame:
+    """``docs`` with ``name``, which must be free: ``score`` (0 to 1) and ``passages`` (first and last word, from 0, and
     the probability that the passage alone gives). Null and empty texts have no passage."""
 
     def run(text):
@@ -186,7 +186,7 @@ def scored(docs: DataFrame, model) -> DataFrame:
         return float(chance.max()), listed
 
     mark = F.udf(run, f"struct<score: double, passages: {_PASSAGE}>", useArrow=False)
-    return docs.withColumn("_toxic", mark("text"))
+    return docs.withColumn(name, mark("text"))
 
 
 def score_documents(
@@ -195,7 +195,7 @@ def score_documents(
     """``doc_id, held_out, score, predicted, passages`` for every row of ``docs``. Repeated rows stay
     repeated; a null doc_id is scored, not learned from. Scores depend on nothing but the text."""
     own = docs.select("doc_id", "text")
-    marked = scored(own, learn(own, labels, folds, fold))
+    marked = scored(own, learn(own, labels, folds, fold), "_toxic")
     return marked.select(
         "doc_id", held_out("doc_id", folds, fold).alias("held_out"), F.col("_toxic.score").alias("score"),
         (F.col("_toxic.score") >= threshold).cast("int").alias("predicted"),
@@ -204,5 +204,9 @@ def score_documents(
 
 
 def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """``docs`` without those that score ``threshold`` or more."""
-    return scored(docs, learn(docs, labels)).where(F.col("_toxic.score") < threshold).select(docs.columns)
+    """``docs`` without those that score ``threshold`` or more, with all their columns, whatever their
+    names. Null and empty texts have no passage and stay; repeated rows share their fate; an empty
+    table stays empty."""
+    (name,) = free(docs, "_toxic")
+    kept = scored(docs, learn(docs, labels), name).where(F.col(f"{name}.score") < threshold)
+    return kept.select(docs.columns)

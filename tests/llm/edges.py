@@ -4,7 +4,11 @@ CLASHING = (
     "score double, fp bigint, shard int, spans string, ids string, n_tokens string, held_out string, "
     "stats string, component_id bigint, size bigint, predicted int, `key` string, y int"
 )
-SCHEMA = f"doc_id bigint, text string, lang string, source string, n_chars bigint, {CLASHING}"
+#: Names that operators use inside, in either case, with values that have to survive.
+INTERNAL = [
+    "_fp", "_ROW", "_state", "_SPANS", "_open", "_bpe", "_KEY", "_toxic", "_base", "_MORE", "_secrets", "_pii", "_done", "fp_", "row",
+]
+SCHEMA = f"doc_id bigint, text string, lang string, source string, n_chars bigint, {CLASHING}, " + ", ".join(f"`{n}` string" for n in INTERNAL)
 
 LONG = ("word tale " * 9_000) + "x" * 30_000 + " é😀 " * 5_000
 TEXTS = [
@@ -24,7 +28,7 @@ TEXTS = [
 
 
 def documents(spark, rows=None):
-    rest = (None,) * (len(SCHEMA.split(", ")) - 5)
+    rest = (None,) * len(CLASHING.split(", ")) + tuple(f"own {n}" for n in INTERNAL)
     data = [(i, t, "en" if i else None, "s" if t else None, None if t is None else len(t), *rest) for i, t in (TEXTS if rows is None else rows)]
     return spark.createDataFrame(data, SCHEMA)
 

@@ -30,6 +30,9 @@ def test_stages_on_awkward_documents(spark, tmp_path):
         own = source
         for _, stage in corpus_pipeline.STAGES[:-1]:
             own = written(stage(spark, own, str(tmp_path)), "test_edges")
-            assert own.columns == docs.columns
+            assert own.columns == docs.columns and own.dtypes == docs.dtypes
+            for r in own.collect():
+                assert [r[n] for n in edges.INTERNAL] == [f"own {n}" for n in edges.INTERNAL]
         last = corpus_pipeline.STAGES[-1][1](spark, own, str(tmp_path))
         assert last.count() == own.count()
+        assert all([r[n] for n in edges.INTERNAL] == [f"own {n}" for n in edges.INTERNAL] for r in last.collect())
