@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from importlib import import_module
+from warnings import warn
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ import starfold as sf
 from starfold.functions import composite_label
 from starfold.plans import report, retail
 from starfold.plans.session import prepare
+from starfold.plans.sql import register_functions
 from starfold.schema import schema_of
 from starfold.sources import shared_folder
 
@@ -125,6 +127,32 @@ def _sql_view(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _by_sql(call: str):
+    """A table function over the reporting view, called from SQL."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        name = f"sales_{uuid4().hex}"
+        register_functions(spark, _view(spark, folder), name)
+        return spark.sql(f"SELECT * FROM {name}_{call}")
+
+    return run
+
+
+def _catalog_slice(spark: SparkSession, folder: str) -> DataFrame:
+    """The three tables by name, as views of the catalog, checked before they are joined."""
+    suffix = f"_{uuid4().hex}"
+    frames = {
+        "fact_sales": retail.fact_sales(spark, folder),
+        "dim_customers": retail.dim_customers(spark, folder),
+        "dim_products": retail.dim_products(spark, folder),
+    }
+    for name, frame in frames.items():
+        frame.createOrReplaceTempView(name + suffix)
+    names = [name + suffix for name in frames]
+    sf.require_tables(spark, names)
+    return sf.slice_by(sf.build_reporting(*map(spark.table, names)), "Region", REGION)
+
+
 def _documents_with_labels(spark: SparkSession, folder: str) -> DataFrame:
     documents = retail.table(spark, folder, "documents")
     return documents.join(retail.table(spark, folder, "labels"), "doc_id", "left")
@@ -193,9 +221,9 @@ def _parts() -> list:
     for name in ("starfold.llm.queries", "corpus_pipeline"):
         try:
             found.append(import_module(name))
-        except ModuleNotFoundError as missing:
-            if missing.name not in ("starfold.llm", "corpus_pipeline"):
-                raise
+        except ImportError as missing:
+            if getattr(missing, "name", None) not in (name, "starfold.llm"):
+                warn(f"{name} is left out: {missing}", stacklevel=2)
     return found
 
 
@@ -205,6 +233,12 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # sources, sinks, checks
         "reporting_view": _on(_shown),
         "sales_view_sql": _sql_view,
+        "sql_slice": _by_sql(f"slice_region(member => '{REGION}')"),
+        "sql_dice": _by_sql(f"dice(of_region => ARRAY({_quoted(REGIONS)}), of_category => ARRAY({_quoted(CATEGORIES)}))"),
+        "sql_rollup": _by_sql("rollup()"),
+        "sql_drilldown": _by_sql(f"drilldown(member => {YEAR})"),
+        "sql_drilldown_latest": _by_sql("drilldown()"),
+        "catalog_slice": _catalog_slice,
         "row_count": _on(sf.row_count),
         "export_reporting": lambda spark, folder: _shown(_exported(spark, folder)),
         "csv_roundtrip": lambda spark, folder: sf.rollup_levels(_exported(spark, folder)),
@@ -439,6 +473,13 @@ def _oracle_sql() -> dict[str, str]:
     return {
         "reporting_view": _REPORTING + whole,
         "sales_view_sql": _REPORTING + slice_region,
+        "sql_slice": _REPORTING + slice_region,
+        "sql_dice": _REPORTING
+        + f"SELECT Region, Category, {_TOTAL} FROM r WHERE {in_dice} GROUP BY Region, Category",
+        "sql_rollup": _REPORTING + _ROLLUP.format(source="r"),
+        "sql_drilldown": _REPORTING + _DRILL.format(year=YEAR),
+        "sql_drilldown_latest": _REPORTING + _DRILL.format(year=_LATEST),
+        "catalog_slice": _REPORTING + slice_region,
         "row_count": _REPORTING + "SELECT COUNT(*) AS rows FROM r",
         "export_reporting": _REPORTING + whole,
         "csv_roundtrip": _REPORTING + _ROLLUP.format(source="r"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 SETTINGS: dict[str, str] = {
+    # Calendar parts of timestamps must not depend on where a job runs.
+    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     # Split a join partition that a hot key fills, also where totals per join key follow and the
     # split costs them a shuffle of their partial sums: without it the hot key is one task's work.
