@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from starfold.llm.common import row_hash, sampled, written
+from starfold.llm.common import sampled, written
 
 #: Bits of a substring.
 _BITS = 8
@@ -60,6 +60,7 @@ def filled(rows: np.ndarray, norm: float) -> np.ndarray:
 
 def asked(rows: np.ndarray, norm: float) -> np.ndarray:
     """Queries at the same norm, with nothing in the filling coordinate."""
+    rows = rows / np.abs(rows).max(axis=1, keepdims=True)  # so that no square is too large or small
     length = np.linalg.norm(rows, axis=1, keepdims=True)
     return np.hstack([rows * (norm / length), np.zeros((len(rows), 1))])
 
@@ -141,8 +142,8 @@ def search(
     The codes and the radius are fitted on about ``sample`` rows at most, chosen by a hash; all rows are
     indexed. Vectors that are null, zero or not finite take no part, nor do rows without
     vec_id, nor vectors of another length than most. Rows with the query's vec_id are its own row.
-    A repeated candidate row counts once for each row, a repeated query once. Fewer than k other
-    rows: all of them.
+    A repeated candidate row counts once for each row, a query_id once, with the smallest of its
+    vectors. Fewer than k other rows: all of them. The result does not depend on how rows are stored.
     """
     spark = vectors.sparkSession
     kind = vectors.schema["embedding"].dataType
@@ -154,25 +155,28 @@ def search(
         F.coalesce(is_query, F.lit(False)).alias("asks"),
     ).where(F.col("vec_id").isNotNull() & usable(F.col("v")))
     lengths = own.groupBy(F.size("v").alias("length")).agg(
-        F.count("*").alias("rows"),
-        F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("square"),
+        F.count("*").alias("rows"), F.max(F.array_max(F.transform("v", F.abs))).alias("peak"),
     )
     most = lengths.orderBy(F.desc("rows"), "length").first()
     if most is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    norm = float(np.sqrt(most["square"]))
     own = own.where(F.size("v") == most["length"])
-    total = own.count()
-    base = _rows(sampled(own, row_hash("vec_id"), sample, total).select("v").toPandas()["v"])
+    # codes are those of the vectors in units of the largest number, whose squares cannot overflow
+    peak = float(most["peak"])
+    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + (x / F.lit(peak)) * (x / F.lit(peak)))
+    sums = own.agg(F.count("*").alias("rows"), F.max(square).alias("square")).first()
+    total, norm = sums["rows"], float(np.sqrt(sums["square"]))
+    by = F.xxhash64("vec_id", "v")
+    base = _rows(sampled(own, by, sample, total).orderBy("vec_id", "v").select("v").toPandas()["v"]) / peak
     codes = Codes(filled(base, norm), bits)
     radius = calibrate(codes, base, norm, k, share, 400)
     model = spark.sparkContext.broadcast(codes)
 
     shards = -(-total // shard_rows)
     queries = own.where("asks").select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
-    queries = queries.dropDuplicates(["query_id"])
+    queries = queries.groupBy("query_id").agg(F.min("q").alias("q"))
     blocks = -(-max(queries.count(), 1) // block_rows)
-    shard = F.pmod(row_hash("vec_id"), F.lit(shards)).cast("int")
+    shard = F.pmod(by, F.lit(shards)).cast("int")
     block = F.pmod(F.xxhash64("query_id", F.lit("block")), F.lit(blocks)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     indexed = own.select("vec_id", "v", shard.alias("shard")).select("*", every(blocks).alias("block"))
@@ -183,7 +187,7 @@ def search(
             return pd.DataFrame({"query_id": np.empty(0, int), "vec_id": np.empty(0, int), "score": np.empty(0)})
         rows = rows.sort_values("vec_id", kind="stable")
         ids, x, q = rows["vec_id"].to_numpy(), _rows(rows["v"]), _rows(probes["q"])
-        index = Index(model.value.encode(filled(x, norm)))
+        index = Index(model.value.encode(filled(x / peak, norm)))
         out = []
         for query_id, query, code in zip(probes["query_id"], q, model.value.encode(asked(q, norm)), strict=True):
             # one more than k, as the query's own row may be among them

@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starfold.llm.common import free, row_hash, sampled, with_text, written
+from starfold.llm.common import free, sampled, with_text, written
 from starfold.llm.text_spans import digest, find_all, listed, of_kind, replaced
 
 #: Known shapes, fixed values. Each is leftmost and without overlaps; runs are matched from their
@@ -62,9 +62,9 @@ def _steps(strings: DataFrame) -> DataFrame:
 
 
 def labelled_strings(docs: DataFrame, sample: int = 200) -> DataFrame:
-    """``value, random``: strings of about ``sample`` documents at most, chosen by a hash; of equal
-    texts one counts."""
-    chosen = sampled(docs, row_hash("doc_id"), sample, docs.count())
+    """``value, random``: strings of about ``sample`` documents at most, chosen by a hash of id
+    and text, however the rows are stored; of equal texts one counts."""
+    chosen = sampled(docs, F.xxhash64("doc_id", "text"), sample, docs.count())
     chosen = chosen.select(F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("by"))
     chosen = written(chosen.dropDuplicates(["by"]), "secret_sample")
 

@@ -10,29 +10,34 @@ distribution, from which its surprise is read; a logistic curve turns surprise i
 
 from __future__ import annotations
 
-import re
 from itertools import repeat
 
 import numpy as np
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starfold.llm.common import free, held_out, labelled, written
 
-_WORD = re.compile(r"\w+")
-#: A word that comes again within so many words counts as an ordinary one: saying it over and over
-#: is no further evidence.
+_WORD = regex.compile(r"[\w\p{M}]+")
+#: A word that comes again within so many words counts half as much as the time before: saying it over
+#: and over is some further evidence, but never more than that of two.
 REPEAT = 30
 _PASSAGE = "array<struct<first: bigint, last: bigint, score: double>>"
 
 
+def words_of(text: str | None) -> list[str]:
+    """Words in lower case, with their combining marks: the same when learning and when scoring."""
+    return _WORD.findall((text or "").lower())
+
+
 def word_scores(
-    counts: DataFrame, prior: float = 0.1, shrink: float = 1.64, vocabulary: int = 20_000
+    counts: DataFrame, prior: float = 0.1, shrink: float = 1.64, vocabulary: int = 1_000_000
 ) -> dict[str, float]:
     """Scores of words from ``word, toxic, other`` counts: log-odds with a prior of ``prior`` times as
-    many words as there are, nearer to zero by ``shrink`` standard deviations. The ``vocabulary``
-    words of the largest positive scores, in units of deviation, are the model; all others count as
-    ordinary."""
+    many words as there are, nearer to zero by ``shrink`` standard deviations. All words of positive
+    score are the model, all others count as ordinary. More than ``vocabulary`` words, which the
+    labelled documents are too few for, are an error: none is left out."""
     totals = counts.agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).first()
     toxic, other = float(totals.toxic or 0), float(totals.other or 0)
     if not toxic or not other:
@@ -41,16 +46,18 @@ def word_scores(
     a, b = F.col("toxic") + share, F.col("other") + share
     odds = F.log(a / (toxic + prior - a)) - F.log(b / (other + prior - b))
     deviation = F.sqrt(1 / a + 1 / b)
-    scored = counts.select("word", (odds - shrink * deviation).alias("score"), (odds / deviation).alias("z"))
-    best = scored.where("score > 0").orderBy(F.desc("z"), "word").limit(vocabulary)
-    return {r.word: r.score for r in best.collect()}
+    scored = counts.select("word", (odds - shrink * deviation).alias("score")).where("score > 0")
+    found = scored.limit(vocabulary + 1).collect()
+    if len(found) > vocabulary:
+        raise ValueError(f"more than {vocabulary} words speak for a toxic text; learn from fewer documents")
+    return {r.word: r.score for r in found}
 
 
 def count_words(examples: DataFrame) -> DataFrame:
     """``word, toxic, other``: in how many documents of each class (``y``) a word occurs."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"((?U)\w+)"), F.lit(1)))
+    words = F.udf(lambda text: list(set(words_of(text))), "array<string>", useArrow=False)
     return (
-        examples.select("y", F.explode(words).alias("word")).groupBy("word")
+        examples.select("y", F.explode_outer(words("text")).alias("word")).where("word is not null").groupBy("word")
         .agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("other"))
     )
 
@@ -93,13 +100,14 @@ class Model:
         self.curve = (0.0, 0.0)
 
     def passages(self, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:
-        words = _WORD.findall((text or "").lower())
+        words = words_of(text)
         scores = np.fromiter(map(self.words.get, words, repeat(-self.cost)), float, len(words))
-        last: dict[str, int] = {}
+        last: dict[str, tuple[int, int]] = {}  # where a word was seen, and how often in that stretch
         for at in np.flatnonzero(scores > 0).tolist():
-            if at - last.get(words[at], at - REPEAT - 1) <= REPEAT:
-                scores[at] = -self.cost
-            last[words[at]] = at
+            before, times = last.get(words[at], (at - REPEAT - 1, 0))
+            times = times + 1 if at - before <= REPEAT else 0
+            scores[at] *= 0.5**times
+            last[words[at]] = at, times
         return len(words), segments(scores)
 
     def surprise(self, best: np.ndarray, n: np.ndarray) -> np.ndarray:

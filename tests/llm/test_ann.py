@@ -78,3 +78,16 @@ def test_a_vector_that_a_third_of_the_rows_have(spark):
     rows = [(i, [1.0, 0.5, 0.0, 0.0] if i % 3 == 0 else rng.normal(size=4).tolist()) for i in range(900)]
     found = by_query(ann.search(frame(spark, rows), F.col("vec_id") == 0, 20, shard_rows=100))
     assert found[0] == brute(rows, 0, 20)
+
+
+def test_large_finite_vectors_take_part(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(400)] + [(1000, [1e200] + [0.0] * 7), (1001, [1e-200] + [0.0] * 7)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = ann.search(df, F.col("vec_id").isin(0, 20, 1001), k=5)
+    first = {r.query_id: r.vec_id for r in found.where("rank = 1").collect()}
+    for query in (0, 20, 1001):
+        own = dict(rows)[query]
+        assert (first[query] == 1000) == (own[0] > 0)
+    again = ann.search(df.repartition(7), F.col("vec_id").isin(0, 20, 1001), k=5)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, found.collect()))

@@ -114,4 +114,15 @@ def test_passages_are_found_where_they_are(spark):
     n, found = model.passages("a calm text " * 20 + "you Idiot, you MORON! " + "calm again " * 20 + "idiot")
     assert n == 60 + 4 + 40 + 1
     assert [(a, b) for a, b, _ in found] == [(61, 63), (104, 104)]
-    assert model.passages("idiot " * 50)[1] == [(0, 0, 3.0)]
+    ((first, last, score),) = model.passages("idiot " * 50)[1]
+    assert (first, last) == (0, 49) and 3.0 < score <= 6.0
+
+
+def test_words_with_combining_marks_are_learned_and_scored_alike(spark):
+    text = "यह किताब बहुत अच्छी है cafe\u0301 नि:शुल्क"
+    words = toxicity.words_of(text)
+    assert words[:5] == ["यह", "किताब", "बहुत", "अच्छी", "है"] and "cafe\u0301" in words
+    counts = toxicity.count_words(spark.createDataFrame([(1, text), (0, None)], "y int, text string"))
+    assert {r.word for r in counts.collect()} == set(words)
+    model = toxicity.Model({"किताब": 2.0}, 0.25)
+    assert model.passages(text) == (len(words), [(1, 1, 2.0)])
