@@ -85,12 +85,12 @@ class Pair:
         if not text:
             return None
         want = b" " + text.encode()
-        a = self._a.encode_ordinary(" " + text)
+        a = np.array(self._a.encode_ordinary(" " + text), np.int64)
         b = self._b.encode(text)
-        for ids, table in ((a, self._bytes_a), (b, self._bytes_b)):
-            if b"".join(map(table.__getitem__, ids)) != want:
-                return None
-        return np.array(a, np.int64), np.array(b, np.int64)
+        # the tokens of A are stretches of the text in order, so that their length tells; B may change it
+        if self._size_a[a].sum() != len(want) or b"".join(map(self._bytes_b.__getitem__, b)) != want:
+            return None
+        return a, np.array(b, np.int64)
 
     def groups(self, a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray) -> str:
         """``a1,a2|b1;a3|b2,b3``: ids of A and of B in each group, in order."""
@@ -98,9 +98,14 @@ class Pair:
         new_b = np.diff(group_b, prepend=-1) > 0
         mark = np.where(new_a, 2, 1)
         mark[0] = 0
-        place = np.concatenate([a + mark * len(self._bytes_a), b + (new_b - 2) * self.width + len(self._words)])
-        order = np.lexsort((np.repeat([0, 1], [len(a), len(b)]), np.concatenate([group_a, group_b])))
-        return "".join(map(self._words.__getitem__, place[order].tolist()))
+        # a token comes after those of its own side and those of the other side in the groups before,
+        # one of B also after those of A in its own group
+        place = np.empty(len(a) + len(b), np.int64)
+        place[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = a + mark * len(self._bytes_a)
+        place[np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")] = (
+            b + (new_b - 2) * self.width + len(self._words)
+        )
+        return "".join(map(self._words.__getitem__, place.tolist()))
 
     def document(self, text: str | None) -> tuple:
         """Numbers of tokens, groups and links, the digest of the groups, and the distinct codes
