@@ -1,6 +1,11 @@
+import ast
+import base64
 import hashlib
+import os
 import random
 import re
+import string
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,7 +84,7 @@ def test_secrets_against_brute_force(spark):
 def test_random_strings_are_told_from_names(spark):
     plain = [(i, f"the configuration of service number {i} is loaded before the start") for i in range(50)]
     docs = edges.documents(spark, plain)
-    model = secret_scan.train(secret_scan.labelled_strings(docs))
+    model = secret_scan.train(docs)
     random_ones = ["9fX2kLq7VbT0zRw3YhNc5mAe", "QmFzZTY0VGhpc0lzTm90QW5JZGVudA9x", "7c72db563d7f6e50cec00950"]
     names = ["configuration_of_the_service", "load_before_the_configuration", "TheServiceConfigurationNumber"]
     strings = spark.createDataFrame([(s,) for s in random_ones + names], "s string")
@@ -88,23 +93,58 @@ def test_random_strings_are_told_from_names(spark):
     text = f"use {names[0]} with {random_ones[0]} or token={random_ones[1]} é"
     # few documents are learned from, and this one is not among them
     docs = edges.documents(spark, [*plain, (1000, text)])
-    row = secret_scan.scan(docs, sample=20).where("doc_id = 1000").first()
+    row = secret_scan.scan(docs, model).where("doc_id = 1000").first()
     assert (row.n_assign, row.n_markov) == (1, 1)
     kinds = [(s.split(":")[0], text[slice(*map(int, s.split(":")[1:]))]) for s in row.spans.split(",")]
     assert kinds == [("markov", random_ones[0]), ("assign", f"token={random_ones[1]}")]
-
-
-def test_random_strings_beyond_known_shapes_and_short_ones(spark, monkeypatch):
+    assert row.ratios == pytest.approx([ratio[random_ones[0]], ratio[random_ones[1]]], abs=0.001)
+
+
+def library_names(least):
+    """Identifiers of the Python standard library."""
+    names = set()
+    for path in Path(os.__file__).parent.glob("*.py"):
+        for node in ast.walk(ast.parse(path.read_text("utf-8"))):
+            if isinstance(node, (ast.FunctionDef, ast.ClassDef)):
+                names.add(node.name)
+            elif isinstance(node, (ast.Name, ast.Attribute)):
+                names.add(node.id if isinstance(node, ast.Name) else node.attr)
+    return sorted(n for n in names if len(n) >= least and n.isascii())
+
+
+def planted_keys(n):
+    rng = random.Random(11)
+    for _ in range(n):
+        key, length = rng.randbytes(64), rng.randrange(16, 41)
+        alphabet = string.ascii_lowercase + string.digits
+        plain = "".join(rng.choice(alphabet) for _ in range(length))
+        forms = [key.hex(), key.hex().upper(), base64.b64encode(key).decode(), base64.urlsafe_b64encode(key).decode(), plain]
+        yield rng.choice(forms)[:length]
+
+
+def test_planted_keys_are_found_and_library_names_are_not(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = secret_scan.train(docs)
+    assert model == secret_scan.train(docs.repartition(7))
+    names, keys = library_names(16), list(planted_keys(2000))
+    rows = [(i, f"x {s} y") for i, s in enumerate([*names, *keys])]
+    got = secret_scan.scan(spark.createDataFrame(rows, "doc_id int, text string"), model)
+    found = {r.doc_id for r in got.where("spans <> ''").collect()}
+    wrong = sum(i in found for i in range(len(names)))
+    assert len(names) > 1500 and wrong <= 0.01 * len(names)
+    assert sum(i in found for i in range(len(names), len(rows))) >= 0.95 * len(keys)
+
+
+def test_random_strings_beyond_known_shapes_and_short_ones(spark):
     plain = [(i, f"the configuration of service number {i} is loaded before the start") for i in range(50)]
     around = "9fX2kLq7VbT0zRw3YhNc" + "7c72db563d7f6e50cec00950" + "Zq5mAeXw2LkR"
     access = "xW7qPz3vKd9-AKIA" + "Q7ZX4KV9PLM2WT8R" + "_kLq7VbT0zRw3Yh"
     rows = [(1000, f"use {around} now"), (1001, f"use {access} now"), (1002, "use 9f3Xk27Lq81Vb4T0 now"), (1003, "use token=9fX2kLq7VbT0zRw3YhNc now")]
     docs = edges.documents(spark, [*plain, *rows])
-    strings = secret_scan.labelled_strings  # these rows are not learned from
-    monkeypatch.setattr(secret_scan, "labelled_strings", lambda docs, n: strings(docs.where("doc_id < 1000"), n))
-    got = {r.doc_id: r for r in secret_scan.scan(docs).where("doc_id >= 1000").collect()}
+    model = secret_scan.train(docs.where("doc_id < 1000"))
+    got = {r.doc_id: r for r in secret_scan.scan(docs, model).where("doc_id >= 1000").collect()}
     assert [(got[i].n_assign, got[i].n_access, got[i].n_hex, got[i].n_markov) for i, _ in rows] == [(0, 0, 1, 1), (0, 1, 0, 1), (0, 0, 0, 1), (1, 0, 0, 0)]
-    redacted = {r.doc_id: r.text for r in secret_scan.redacted(docs).where("doc_id >= 1000").collect()}
+    redacted = {r.doc_id: r.text for r in secret_scan.redacted(docs, model).where("doc_id >= 1000").collect()}
     assert set(redacted.values()) == {"use [SECRET] now"}
     number = edges.documents(spark, [*plain, (1000, "pay 4952935900253052 now")])
     assert secret_scan.scan(number).where("doc_id = 1000").first().n_markov == 0
