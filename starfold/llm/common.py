@@ -46,12 +46,6 @@ def held_out(doc_id: Column | str, folds: int, fold: int) -> Column:
     return F.coalesce(remainder == fold, F.lit(False))
 
 
-def row_hash(*columns: str) -> Column:
-    """A hash of ``columns`` and of the row's place in its input, which is the same if a task is run
-    again; so rows that repeat a key fall apart."""
-    return F.xxhash64(*columns, F.monotonically_increasing_id())
-
-
 def sampled(df: DataFrame, by: Column, rows: int, total: int) -> DataFrame:
     """About ``rows`` of the ``total`` rows of ``df``, for fitting a model: those whose hash ``by`` is
     in the lowest part of its range. All rows, if there are no more. Every task decides for its own

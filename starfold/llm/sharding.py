@@ -15,7 +15,7 @@ import heapq
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starfold.llm.common import row_hash, written
+from starfold.llm.common import free, written
 
 
 def schedule(items: list[tuple], shards: int) -> list[tuple]:
@@ -67,21 +67,34 @@ def assign(sized: DataFrame, shards: int = 16, grain: int = 1024) -> DataFrame:
     return placed.select(*sized.columns, F.coalesce("own_shard", "bundle_shard").alias("shard"))
 
 
-def numbered(placed: DataFrame, order: list[str], total: int, rows: int = 100_000) -> DataFrame:
-    """``placed``, of ``total`` rows, with ``slot``, gapless from 0 in each shard. Rows are numbered
-    within buckets of about ``rows`` rows, dealt by a hash that also parts repeated rows, and the
-    buckets are lined up by their counts; no task numbers a whole shard."""
-    bucket = F.pmod(row_hash(*order), F.lit(total // rows + 1))
-    bucketed = written(placed.withColumn("_bucket", bucket), "shards")
-    counts = bucketed.groupBy("shard", "_bucket").agg(F.count("*").alias("_rows"))
-    upto = Window.partitionBy("shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(
-        "shard", "_bucket", F.coalesce(F.sum("_rows").over(upto), F.lit(0)).alias("_start")
+def numbered(placed: DataFrame, total: int, rows: int = 100_000) -> DataFrame:
+    """``placed``, of ``total`` rows, with ``slot``, gapless from 0 in each shard, in the order of a hash
+    of the row's values, then of the values. Ranges of the hash of about ``rows`` rows each are numbered
+    apart and lined up by their counts, so no task numbers a whole shard and ``rows`` does not change
+    the slots. Equal rows are counted before and numbered in a run; they are told apart by slot only."""
+    high, count, start, run = free(placed, "_hash", "_rows", "_start", "_run")
+    bucket, first, step = free(placed, "_bucket", "_first", "_step")
+    values = [c for c in placed.columns if c != "shard"]
+    distinct = placed.groupBy(*placed.columns).agg(F.count("*").alias(count))
+    top = F.shiftrightunsigned(F.xxhash64(*values), 33)
+    distinct = distinct.withColumn(high, top)
+    distinct = distinct.withColumn(bucket, F.shiftright(F.col(high) * F.lit(total // rows + 1), 31))
+    distinct = written(distinct, "shards")
+    sums = distinct.groupBy("shard", bucket).agg(F.sum(count).alias(step))
+    upto = Window.partitionBy("shard").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("shard", bucket, F.coalesce(F.sum(step).over(upto), F.lit(0)).alias(start))
+    within = Window.partitionBy("shard", bucket).orderBy(high, *values)
+    before = F.sum(count).over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col(count)
+    ranked = distinct.withColumn(first, before).join(starts, ["shard", bucket])
+    # runs of a thousand, so that a row that is there very often never stands in one array
+    at = F.col(start) + F.col(first)
+    runs = ranked.select(
+        *placed.columns, (at + F.col(count)).alias(count),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(count) - 1) / 1000))).alias(run), at.alias(start),
     )
-    within = Window.partitionBy("shard", "_bucket").orderBy(*order)
-    ranked = bucketed.withColumn("_place", F.row_number().over(within) - 1)
-    slot = (F.col("_start") + F.col("_place")).alias("slot")
-    return ranked.join(starts, ["shard", "_bucket"]).select(*placed.columns, slot)
+    low = F.col(start) + F.col(run) * 1000
+    slots = F.sequence(low, F.least(low + 999, F.col(count) - 1))
+    return runs.select(*placed.columns, F.explode(slots).alias("slot"))
 
 
 def shard_documents(docs: DataFrame, shards: int = 16, grain: int = 1024) -> DataFrame:
@@ -89,7 +102,8 @@ def shard_documents(docs: DataFrame, shards: int = 16, grain: int = 1024) -> Dat
     text plus 1, rows of equal text stay together, shards are of near equal size.
 
     Null and empty texts have size 1 and are one group. Repeated rows are rows of their own, with
-    slots of their own; a null doc_id is a value like any other. Other columns are not read.
+    slots of their own; a null doc_id is a value like any other. Shards and slots follow from the rows
+    alone, however they are stored, at any number of rows; no rows give none. Other columns are not read.
     """
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     sized = docs.select(
@@ -98,4 +112,4 @@ def shard_documents(docs: DataFrame, shards: int = 16, grain: int = 1024) -> Dat
     )
     sized = written(sized, "shard_sizes")
     placed = assign(sized, shards, grain).drop("group")
-    return numbered(placed, ["doc_id", "size", "text_crc32"], sized.count())
+    return numbered(placed, sized.count())

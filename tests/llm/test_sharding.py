@@ -65,7 +65,15 @@ def test_a_text_that_a_third_of_the_rows_have(spark):
 
 def test_slots_over_many_buckets(spark):
     frame = spark.range(5000).selectExpr("id AS doc_id", "CAST(id % 3 AS INT) AS shard", "1 AS extra")
-    got = sharding.numbered(frame, ["doc_id"], 5000, rows=100).collect()
+    got = sharding.numbered(frame, 5000, rows=100).collect()
     for shard in range(3):
         slots = sorted(r.slot for r in got if r.shard == shard)
         assert slots == list(range(len(slots)))
+
+
+def test_slots_depend_on_the_rows_alone(spark):
+    frame = spark.range(3000).selectExpr("IF(id % 3 = 0, 7, id) AS doc_id", "CAST(id % 2 AS INT) AS shard")
+    one = sorted(sharding.numbered(frame, 3000, rows=10_000).collect())
+    assert one == sorted(sharding.numbered(frame.repartition(11), 3000, rows=50).collect())
+    for shard in (0, 1):
+        assert sorted(r.slot for r in one if r.shard == shard) == list(range(1500))
