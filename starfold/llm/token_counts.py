@@ -5,12 +5,14 @@ document adds its tokens and itself, a deleted one takes both away, a revised co
 away and adds the new one. Changes come in batches. A batch is summed to one delta for each group,
 and the deltas of a batch are written to the batch's own folder in one committed write; a batch that
 is there already is not written again, so a job that is run twice counts once. Totals are sums of
-deltas, at any time; old batches can be folded into one.
+deltas, at any time. Old batches can be folded: their sums are committed as a batch of its own that
+names those it stands for; these are read no more, but their names stay taken.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,10 +76,13 @@ class Rollup:
         place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return place.getFileSystem(self.spark._jsc.hadoopConfiguration()), place
 
-    def _there(self, batch: str) -> bool:
-        files, place = self._folder(f"{self.path}/batch={batch}/_SUCCESS")
+    def _is_file(self, path: str) -> bool:
+        files, place = self._folder(path)
         return files.exists(place)
 
+    def _there(self, batch: str) -> bool:
+        return self._is_file(f"{self.path}/batch={batch}/_SUCCESS")
+
     def batches(self) -> list[str]:
         """Names of the committed batches."""
         files, place = self._folder(self.path)
@@ -88,15 +93,49 @@ class Rollup:
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Add the sums of ``changes`` under the name ``batch`` (letters, digits, ``-`` and ``_``);
         false if that batch was there. A failed attempt leaves no ``_SUCCESS`` and is written over.
-        One writer at a time for a batch name."""
+        One writer at a time for a batch name. A list that a fold of that name left behind when it
+        failed does not make the batch a fold."""
         if self._there(batch):
             return False
+        files, left = self._folder(f"{self.path}/fold={batch}")
+        files.delete(left, True)
+        return self._add(batch, changes)
+
+    def _add(self, batch: str, changes: DataFrame) -> bool:
         sums = changes.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS])
         sums.where("documents <> 0 OR tokens <> 0").write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
         return True
 
+    def _folded(self, batches: list[str]) -> set[str]:
+        """What the committed folds among ``batches`` stand for."""
+        lists = [f"{self.path}/fold={name}" for name in batches]
+        lists = [path for path in lists if self._is_file(f"{path}/_SUCCESS")]
+        return {r.value for r in self.spark.read.text(lists).collect()} if lists else set()
+
+    def live(self) -> list[str]:
+        """Names of the committed batches that totals are read from: those no fold stands for."""
+        batches = self.batches()
+        return sorted(set(batches) - self._folded(batches))
+
+    def fold(self, batch: str, names: list[str] | None = None) -> bool:
+        """Commit the sums of the live batches ``names`` (all, if not given) as ``batch``, which then
+        stands for them; false if that batch was there. Totals do not change. The list of names is
+        written first and counts from the commit on; a failed attempt changes nothing."""
+        if self._there(batch):
+            return False
+        live = self.live()
+        names = live if names is None else names
+        if not set(names) <= set(live):
+            raise ValueError(f"not live: {sorted(set(names) - set(live))}")
+        listed = self.spark.createDataFrame([(n,) for n in names], "value string")
+        listed.coalesce(1).write.mode("overwrite").text(f"{self.path}/fold={batch}")
+        return self._add(batch, self._read(names))
+
     def deltas(self) -> DataFrame:
-        paths = [f"{self.path}/batch={name}" for name in self.batches()]
+        return self._read(self.live())
+
+    def _read(self, names: list[str]) -> DataFrame:
+        paths = [f"{self.path}/batch={name}" for name in names]
         if not paths:
             return self.spark.createDataFrame([], _SCHEMA)
         return self.spark.read.schema(_SCHEMA).option("basePath", self.path).parquet(*paths)
@@ -107,28 +146,42 @@ class Rollup:
         return sums.where("documents <> 0 OR tokens <> 0")
 
 
-def build(docs: DataFrame, path: str) -> Rollup:
-    """The life of a corpus as batches: every document is inserted as counted by ``words-1``; all are
-    counted anew by ``pieces-2``; documents whose text one of a smaller doc_id has are deleted. Then
-    each batch is delivered a second time, which changes nothing. Texts are read once."""
+Version = tuple[str, Callable[[Column], Column]]
+
+
+def build(
+    docs: DataFrame, path: str, old: Version = ("words-1", words), new: Version = ("pieces-2", pieces),
+    beside: Version | None = None,
+) -> Rollup:
+    """The life of a corpus as batches: every document is inserted as counted by ``old``, and by
+    ``beside``, a version that stays; all are counted anew by ``new`` instead of ``old``; documents whose
+    text one of a smaller doc_id has are deleted from each version; what came before that is folded.
+    Then each batch is delivered a second time, which changes nothing. Texts are read once.
+
+    A document without a doc_id is never deleted, null and empty texts are copies of each other, rows
+    that repeat a doc_id stay, and an empty table gives no totals. Other columns are not read."""
     text = F.coalesce(F.col("text"), F.lit(""))
+    versions = {"old": old, "new": new} | ({"beside": beside} if beside else {})
     counted = docs.select(
-        "doc_id", "source", "lang", words(text).alias("old"), pieces(text).alias("new"),
-        F.sha2(text, 256).alias("digest"),
+        "doc_id", "source", "lang", F.sha2(text, 256).alias("digest"),
+        *[count(text).alias(c) for c, (_, count) in versions.items()],
     )
     counted = written(counted, "token_counts_of_documents")
     # texts of one document take no part; written, so that Spark can split the rows of a hot text
     first = counted.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows"))
     first = written(first.where("rows > 1").select("digest", "first"), "token_counts_of_copies")
     copies = counted.join(first, "digest").where("doc_id > first")
-    old, new = ("words-1", F.col("old")), ("pieces-2", F.col("new"))
+    by = {c: (name, F.col(c)) for c, (name, _) in versions.items()}
+    kept = [by[c] for c in by if c != "old"]
     rollup = Rollup(docs.sparkSession, path)
-    batches = {
-        "load": inserted(counted, *old),
-        "recount": revised(counted, old, new),
-        "deduplicate": deleted(copies, *new),
-    }
+    batches = {"load": inserted(counted, *by["old"])}
+    if beside:
+        batches["load_beside"] = inserted(counted, *by["beside"])
+    batches["recount"] = revised(counted, by["old"], by["new"])
+    earlier = list(batches)
+    batches["deduplicate"] = reduce(DataFrame.unionByName, [deleted(copies, *version) for version in kept])
     for _ in range(2):
         for name, changes in batches.items():
             rollup.commit(name, changes)
+        rollup.fold("fold", earlier)
     return rollup

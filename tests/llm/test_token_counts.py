@@ -1,11 +1,14 @@
 import os
+import re
+from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 import edges
 from starfold.llm import token_counts
 from starfold.llm.bpe import codec
-from starfold.llm.queries import BPE
+from starfold.llm.queries import BPE, queries
 from starfold.sources import shared_folder
 
 
@@ -49,6 +52,45 @@ def test_a_failed_batch_does_not_count_and_is_done_again(spark):
     assert totals(rollup) == {k: (2 * n, 2 * t) for k, (n, t) in before.items()}
 
 
+def test_a_fold_leaves_totals_and_names_as_they_were(spark):
+    docs, path = edges.documents(spark), shared_folder(spark, "rollup")
+    rollup = token_counts.Rollup(spark, path)
+    changes = token_counts.inserted(docs, "w", token_counts.words(F.col("text")))
+    for name in "abc":
+        rollup.commit(name, changes)
+    before = totals(rollup)
+    assert rollup.fold("old", ["a", "b"]) and rollup.live() == ["c", "old"]
+    assert totals(rollup) == before
+    assert not rollup.commit("a", changes) and not rollup.fold("old") and totals(rollup) == before
+    with pytest.raises(ValueError):
+        rollup.fold("again", ["a"])
+    assert rollup.fold("older") and rollup.live() == ["older"] and totals(rollup) == before
+    # a fold that failed before its commit
+    rollup.commit("d", changes)
+    with_d = totals(rollup)
+    rollup.fold("failed")
+    os.remove(f"{path}/batch=failed/_SUCCESS")
+    assert totals(rollup) == with_d and rollup.live() == ["d", "older"]
+    rollup.commit("failed", changes)  # the name is used for a plain batch
+    assert rollup.live() == ["d", "failed", "older"]
+    assert totals(rollup) == {k: (5 * n // 3, 5 * t // 3) for k, (n, t) in before.items()}
+
+
+def test_the_registered_query_against_brute_force(spark):
+    folder = "/root/testdata/sf0.001"
+    seen, expected = {}, Counter()
+    own = codec(**BPE)
+    rows = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "source", "lang").collect()
+    pieces = r"[0-9]+|[A-Za-z\x80-\U0010FFFF]+|[!-/:-@\[-`{-~]"
+    for r in sorted(rows, key=lambda r: r.doc_id):
+        if seen.setdefault(r.text or "", r.doc_id) == r.doc_id:
+            expected[r.source, r.lang, "byte_bpe_50k"] += len(own.encode(r.text or ""))
+            expected[r.source, r.lang, "pieces-2"] += len(re.findall(pieces, r.text or ""))
+    got = queries()["op6_token_counts"](spark, folder).collect()
+    assert {(r.source, r.lang, r.tokenizer): r.tokens for r in got} == expected
+    assert sum(r.documents for r in got) == 2 * len(seen)
+
+
 def test_no_documents(spark):
     docs = edges.documents(spark).limit(0)
     assert token_counts.build(docs, shared_folder(spark, "rollup")).totals().count() == 0
