@@ -114,6 +114,33 @@ def _summary_mart(spark: SparkSession, folder: str) -> DataFrame:
     return sf.read_mart(spark, path, schema_of(cuboid))
 
 
+def _delta_mart(spark: SparkSession, folder: str) -> DataFrame:
+    """The cuboid after a load, a batch booked by mistake, its correction and late days; the last
+    delivery comes twice, and years that changed are compacted."""
+    sales = _mart(spark, folder)
+    late = F.coalesce(F.col("SaleDate") >= f"{YEAR}-12-01", F.lit(False))
+    mart = sf.DeltaMart(spark, shared_folder(spark, "sales_deltas"))
+    mart.commit("load", sales.filter(~late))
+    mart.commit("mistake", sf.restrict(sales, {"Region": REGION, "SalesYear": YEAR}))
+    mart.commit("correction", removed=sf.restrict(sales, {"Region": REGION, "SalesYear": YEAR}))
+    for _ in range(2):
+        mart.commit("late", sales.filter(late))
+    mart.compact("compacted", sales)
+    return mart.read(sales)
+
+
+def _sorted_out(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Documents whose length fits one byte, and the others."""
+    documents = retail.table(spark, folder, "documents").select("doc_id", "lang", "source", "n_chars")
+    path = sf.export_csv(documents, shared_folder(spark, "documents_csv"), ["doc_id"])
+    return sf.sort_out_csv(spark, path, "doc_id bigint, lang string, source string, n_chars tinyint")
+
+
+def _rejected(spark: SparkSession, folder: str) -> DataFrame:
+    rejected = _sorted_out(spark, folder)[1].select("fields", F.explode("failed").alias("f"))
+    return rejected.select(F.col("fields")["doc_id"].alias("doc_id"), "f.column", "f.value")
+
+
 def _sql_view(spark: SparkSession, folder: str) -> DataFrame:
     view = f"sales_reporting_{uuid4().hex}"
     sf.register_view(_view(spark, folder), view)
@@ -246,6 +273,9 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "mart_latest": lambda spark, folder: sf.drill_levels(
             sf.restrict_latest(_mart(spark, folder))
         ),
+        "delta_mart_rollup": lambda spark, folder: sf.rollup_levels(_delta_mart(spark, folder)),
+        "csv_accepted": lambda spark, folder: _sorted_out(spark, folder)[0],
+        "csv_rejected": _rejected,
         "summary_mart_rollup": lambda spark, folder: sf.rollup_levels(_summary_mart(spark, folder)),
         "summary_mart_findings": _summary_findings,
         "csv_structure": _csv_structure,
@@ -485,6 +515,10 @@ def _oracle_sql() -> dict[str, str]:
         "csv_roundtrip": _REPORTING + _ROLLUP.format(source="r"),
         "mart_drilldown": _REPORTING + _DRILL.format(year=YEAR),
         "mart_latest": _REPORTING + _DRILL.format(year=_LATEST),
+        "delta_mart_rollup": _REPORTING + _ROLLUP.format(source="r"),
+        "csv_accepted": "SELECT doc_id, lang, source, n_chars FROM documents WHERE n_chars BETWEEN -128 AND 127",
+        "csv_rejected": """SELECT CAST(doc_id AS VARCHAR) AS doc_id, 'n_chars' AS "column",
+            CAST(n_chars AS VARCHAR) AS value FROM documents WHERE n_chars NOT BETWEEN -128 AND 127""",
         "summary_mart_rollup": _REPORTING + _ROLLUP.format(source="r"),
         "csv_conversations": "SELECT * FROM conversations",
         "csv_pages": "SELECT * FROM pages",

@@ -151,6 +151,50 @@ def failed_values(
     return present.agg(F.array(*failed).alias("c")).select(F.explode("c").alias("c")).select("c.*")
 
 
+_CORRUPT = "__corrupt"
+
+
+def sort_out_csv(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str,
+    missing_texts: Sequence[str] = MISSING_TEXTS,
+) -> tuple[DataFrame, DataFrame]:
+    """The rows that fit ``schema``, typed, and those that do not, as data, so that one bad value does
+    not end a load. Every row is in one of the two.
+
+    Rejected rows: ``file``, ``record`` (the text of a row with another number of fields than the
+    header, else null), ``fields`` (texts by column) and ``failed``, an array of ``column, value`` of the
+    present values that do not fit. Columns are found by name; a file with another header than the
+    first one is an error. Both frames are lazy and read the files for themselves.
+    """
+    schema, header = _schema(schema), _header(spark, path)
+    _named(header, schema.names, path)
+    texts = [T.StructField(n, T.StringType()) for n in [*header, _CORRUPT]]
+    raw = (
+        spark.read.options(**_SHAPE, nullValue=_NULL_READ, multiLine=True, enforceSchema=False)
+        .options(mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT, columnPruning=False)
+        .schema(T.StructType(texts)).csv(path)
+    )
+    shown = {n: F.when(~col(n).isin(list(missing_texts)), col(n)) for n in header}
+    failed = [
+        F.when(
+            shown[f.name].isNotNull() & shown[f.name].try_cast(f.dataType).isNull(),
+            F.struct(F.lit(f.name).alias("column"), shown[f.name].alias("value")),
+        )
+        for f in schema
+    ]
+    marked = raw.withColumn("__failed", F.array_compact(F.array(*failed)))
+    fits = F.col(_CORRUPT).isNull() & (F.size("__failed") == 0)
+    good = marked.filter(fits).select(*[shown[f.name].try_cast(f.dataType).alias(f.name) for f in schema])
+    fields = F.create_map(*[x for n in header for x in (F.lit(n), col(n))])
+    rejected = marked.filter(~fits).select(
+        F.col("_metadata.file_name").alias("file"), F.col(_CORRUPT).alias("record"),
+        fields.alias("fields"), F.col("__failed").alias("failed"),
+    )
+    return good, rejected
+
+
 def _typed(text: DataFrame) -> T.StructType:
     """The narrowest type that every present value of a column fits; no value at all is a double,
     as in a data frame. A column of whole numbers is never a double, which would round them."""
