@@ -176,6 +176,9 @@ def sort_out_csv(
         .options(mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT, columnPruning=False)
         .schema(T.StructType(texts)).csv(path)
     )
+    # Spark refuses to read the text of bad rows alone; this is true of every row and reads a column
+    read = F.length(F.concat_ws("", col(header[0]))) >= 0
+    raw = raw.withColumn(_CORRUPT, F.when(read, F.col(_CORRUPT)))
     shown = {n: F.when(~col(n).isin(list(missing_texts)), col(n)) for n in header}
     failed = [
         F.when(
