@@ -23,6 +23,7 @@ REGION = "ASIA"
 REGIONS = ["ASIA", "EUROPE"]
 CATEGORIES = ["SMALL", "LARGE"]
 YEAR = 2000
+_BEYOND_DOUBLES = 2**53 + 1
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -38,10 +39,12 @@ def _shown(reporting: DataFrame) -> DataFrame:
     return reporting.withColumn("SaleAmount", F.col("SaleAmount").cast("double"))
 
 
+def _mart_path(spark: SparkSession, folder: str) -> str:
+    return sf.write_mart(_view(spark, folder), shared_folder(spark, "sales_mart"))
+
+
 def _mart(spark: SparkSession, folder: str) -> DataFrame:
-    reporting = _view(spark, folder)
-    path = sf.write_mart(reporting, shared_folder(spark, "sales_mart"))
-    return sf.read_mart(spark, path, schema_of(reporting))
+    return sf.read_mart(spark, _mart_path(spark, folder), schema_of(_view(spark, folder)))
 
 
 def _csv(spark: SparkSession, folder: str) -> str:
@@ -108,6 +111,21 @@ def _float_cube(spark: SparkSession, folder: str) -> DataFrame:
     return sf.cube_by(sf.base_cuboid(lines, [*keys, "l_suppkey"], spec), keys, spec)
 
 
+def _stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The reporting relation over tables stored by order."""
+    return retail.stored_reporting(spark, folder, shared_folder(spark, "stored"), f"sales_{uuid4().hex}")
+
+
+def _typed_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    """Quartiles of whole numbers beyond 2^53, of amounts and of doubles; amounts leave as text."""
+    lines = retail.table(spark, folder, "lineitem").select(
+        "l_partkey", "l_linenumber", "l_extendedprice",
+        (F.col("l_orderkey") + _BEYOND_DOUBLES).alias("LargeKey"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("Amount"),
+    )
+    return sf.typed_summary(lines).withColumn("Amount", F.col("Amount").cast("string"))
+
+
 def _summary_mart(spark: SparkSession, folder: str) -> DataFrame:
     cuboid = sf.base_cuboid(_view(spark, folder))
     path = sf.write_mart(cuboid, shared_folder(spark, "sales_summary"))
@@ -273,6 +291,9 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "mart_latest": lambda spark, folder: sf.drill_levels(
             sf.restrict_latest(_mart(spark, folder))
         ),
+        "mart_latest_listed": lambda spark, folder: sf.latest_partition(spark, _mart_path(spark, folder)),
+        "stored_slice": lambda spark, folder: sf.slice_by(_stored(spark, folder), "Region", REGION),
+        "stored_rollup": lambda spark, folder: sf.rollup_levels(_stored(spark, folder)),
         "delta_mart_rollup": lambda spark, folder: sf.rollup_levels(_delta_mart(spark, folder)),
         "csv_accepted": lambda spark, folder: _sorted_out(spark, folder)[0],
         "csv_rejected": _rejected,
@@ -342,6 +363,10 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "profile_numeric": lambda spark, folder: sf.numeric_summary(
             retail.table(spark, folder, "lineitem")
         ),
+        "profile_columns": lambda spark, folder: sf.column_profile(
+            retail.table(spark, folder, "lineitem")
+        ),
+        "profile_typed": _typed_numbers,
         "profile_numeric_sketch": lambda spark, folder: sf.sketch_check(
             retail.table(spark, folder, "lineitem")
         ),
@@ -430,6 +455,40 @@ def _quoted(values) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
 
+def _profile_sql(name: str) -> str:
+    parts = []
+    for i, part in enumerate(retail.TABLE_SCHEMAS[name].split(", "), start=1):
+        c, kind = part.split(" ")
+        number = kind in ("int", "bigint", "double")
+        shown = kind != "string"
+        parts.append(
+            f"""SELECT CAST({i} AS INTEGER) AS position, '{c}' AS "column", '{kind}' AS type,
+            COUNT(*) AS rows, COUNT(*) - COUNT({c}) AS missing, {number} AS "numeric",
+            {f"ROUND(AVG({c}), 2)" if number else "CAST(NULL AS DOUBLE)"} AS mean,
+            {f"ROUND(STDDEV_SAMP({c}), 2)" if number else "CAST(NULL AS DOUBLE)"} AS std,
+            CAST({f"MIN({c})" if shown else "NULL"} AS VARCHAR) AS min,
+            CAST({f"MAX({c})" if shown else "NULL"} AS VARCHAR) AS max FROM {name}"""
+        )
+    return " UNION ALL ".join(parts)
+
+
+def _typed_sql() -> str:
+    columns = {
+        "l_partkey": "l_partkey", "l_linenumber": "l_linenumber", "l_extendedprice": "l_extendedprice",
+        "LargeKey": f"l_orderkey + {_BEYOND_DOUBLES}", "Amount": "CAST(l_extendedprice AS DECIMAL(18,2))",
+    }
+    call = {"min": "MIN({})", "max": "MAX({})"} | {
+        f"p{p}": "QUANTILE_DISC({}, 0." + str(p) + ")" for p in (25, 50, 75)
+    }
+    def taken(name: str, found: str) -> str:
+        return f'CAST({found} AS VARCHAR) AS "{name}"' if name == "Amount" else f'{found} AS "{name}"'
+    return " UNION ALL ".join(
+        f"SELECT '{s}' AS statistic, "
+        + ", ".join(taken(name, f.format(value)) for name, value in columns.items()) + " FROM lineitem"
+        for s, f in call.items()
+    )
+
+
 def _numeric_sql(columns) -> str:
     return " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", COUNT(v) AS "count", ROUND(AVG(v), 2) AS mean,
@@ -522,6 +581,9 @@ def _oracle_sql() -> dict[str, str]:
         "summary_mart_rollup": _REPORTING + _ROLLUP.format(source="r"),
         "csv_conversations": "SELECT * FROM conversations",
         "csv_pages": "SELECT * FROM pages",
+        "mart_latest_listed": _REPORTING + "SELECT MAX(SalesYear) AS LatestMember FROM r",
+        "stored_slice": _REPORTING + slice_region,
+        "stored_rollup": _REPORTING + _ROLLUP.format(source="r"),
         "warehouse_slice": _REPORTING + slice_region,
         "report_findings": findings,
         "report_rollup": _REPORTING + _ROLLUP.format(source="r"),
@@ -620,6 +682,8 @@ def _oracle_sql() -> dict[str, str]:
         + " UNION ALL "
         + duplicates.format(name="documents", keys="text, lang"),
         "profile_numeric": _numeric_sql(_NUMBERS),
+        "profile_columns": _profile_sql("lineitem"),
+        "profile_typed": _typed_sql(),
         "compare_regions": _REPORTING
         + """
         SELECT Category, CAST(a AS DOUBLE) AS "ASIA", CAST(e AS DOUBLE) AS "EUROPE",

@@ -16,9 +16,10 @@ from starfold.operators.profile import (
 )
 from starfold.operators.rank import strongest, top_bottom
 from starfold.operators.star import attach_dimension, build_reporting, register_view
+from starfold.operators.typed import column_profile, typed_summary
 from starfold.sources import (
-    DeltaMart, export_csv, failed_values, open_warehouse, read_csv, read_mart, read_reporting_csv,
-    require_tables, sort_out_csv, write_mart,
+    DeltaMart, export_csv, failed_values, latest_partition, open_warehouse, read_csv, read_mart,
+    read_reporting_csv, require_tables, sort_out_csv, write_bucketed, write_mart,
 )
 from starfold.spec import SALES, CubeSpec, Level
 

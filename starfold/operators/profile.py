@@ -246,17 +246,22 @@ def _holds(rank: Column) -> Column:
     return (F.col("before") <= rank) & (rank < F.col("before") + F.col("n"))
 
 
-def _survey(values: DataFrame, probabilities: dict[str, float]) -> list[Row]:
-    """First pass: statistics of each column, and the bucket of each quantile among at most 70,000
-    per column. One row per column, no row for an empty frame."""
-    magnitude = F.abs("value")
+def suboctave(value: Column) -> Column:
+    """The bucket of a double: the larger the value, the larger the bucket."""
+    magnitude = F.abs(value)
     # Grows with the magnitude; the offset keeps it positive down to the smallest double.
     octave = F.when(magnitude == float("inf"), 1024 * _SUBOCTAVES).otherwise(
         F.floor(F.log2(magnitude) * _SUBOCTAVES).cast("int")
     ) + F.lit(1100 * _SUBOCTAVES)
-    bucket = F.when(F.col("value") == 0, 0).otherwise(F.signum("value").cast("int") * octave)
+    return F.when(value == 0, 0).otherwise(F.signum(value).cast("int") * octave)
+
+
+def _survey(values: DataFrame, probabilities: dict[str, float]) -> list[Row]:
+    """First pass: statistics of each column, and the bucket of each quantile among at most 70,000
+    per column. One row per column, no row for an empty frame."""
     ordered = Window.partitionBy("position").orderBy("bucket")
-    parts = _long(values).groupBy("position", bucket.alias("bucket")).agg(*_part_moments())
+    bucket = suboctave(F.col("value")).alias("bucket")
+    parts = _long(values).groupBy("position", bucket).agg(*_part_moments())
     placed = _with_whole_mean(parts).select(
         "*",
         (F.sum("n").over(ordered) - F.col("n")).alias("before"),

@@ -12,6 +12,7 @@ from starfold.operators.star import (
     product_columns,
 )
 from starfold.schema import MONEY, REPORTING_COLUMNS
+from starfold.sources.buckets import write_bucketed
 
 
 # Column types of the test tables. With them a read needs no job to look at a footer.
@@ -96,9 +97,30 @@ def reporting(spark: SparkSession, folder: str) -> DataFrame:
     dates, and a large customer dimension costs a shuffle of the orders only. How the headers meet
     the lines is for adaptive execution to decide, by the size that they turn out to have.
     """
-    headers = attach_dimension(
+    return _joined(sale_lines(spark, folder), _known_headers(spark, folder), dim_products(spark, folder))
+
+
+def _known_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders with calendar parts and their customer."""
+    return attach_dimension(
         add_periods(sale_headers(spark, folder)), customer_columns(dim_customers(spark, folder)), "CustomerID"
     )
-    lines = attach_dimension(sale_lines(spark, folder), headers, "o_orderkey")
-    joined = attach_dimension(lines, product_columns(dim_products(spark, folder)), "ProductID")
+
+
+def _joined(lines: DataFrame, headers: DataFrame, products: DataFrame) -> DataFrame:
+    joined = attach_dimension(
+        attach_dimension(lines, headers, "o_orderkey"), product_columns(products), "ProductID"
+    )
     return joined.select(*REPORTING_COLUMNS)
+
+
+def stored_reporting(
+    spark: SparkSession, folder: str, path: str, tables: str = "sales", buckets: int = 8
+) -> DataFrame:
+    """The reporting relation over lines and headers that are stored by order, as the catalog tables
+    ``<tables>_lines`` and ``<tables>_headers``: reports on it do not shuffle the lines."""
+    lines = write_bucketed(sale_lines(spark, folder), f"{tables}_lines", f"{path}/lines", "o_orderkey", buckets)
+    headers = write_bucketed(
+        _known_headers(spark, folder), f"{tables}_headers", f"{path}/headers", "o_orderkey", buckets
+    )
+    return _joined(lines, headers, dim_products(spark, folder))

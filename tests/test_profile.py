@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 
 import starfold as sf
+from plans import count, ran
 from sample import rows
 from starfold.operators import profile
 
@@ -164,3 +165,70 @@ def test_infinite_values_are_ordered(spark):
     df = spark.createDataFrame([(v,) for v in data], "v double")
     row = profile.quantiles(df, {"a": 0.0, "b": 0.25, "c": 0.5, "d": 1.0}, enough=1).first()
     assert (row.a, row.b, row.c, row.d) == (-math.inf, -1.0, 0.0, math.inf)
+
+
+def _typed(df, **kwargs):
+    return {r["statistic"]: r for r in sf.typed_summary(df, **kwargs).collect()}
+
+
+def test_large_whole_numbers_and_decimals_keep_every_digit(spark):
+    top = 9007199254740993
+    df = spark.range(101).selectExpr(
+        f"{top - 100} + id AS big", "CAST(id - 50 AS SMALLINT) AS small",
+        "CAST('12345678901234567890123456789.000000001' AS DECIMAL(38,9)) + CAST(id AS DECIMAL(3,0)) / 1000000000BD AS loose",
+    ).selectExpr("*", "CAST(loose AS DECIMAL(38,9)) AS fine").drop("loose").repartition(7)
+    for enough in (1 << 20, 3):
+        got = _typed(df, enough=enough)
+        assert [got[s].big for s in ("min", "p25", "p50", "p75", "max")] == [top - 100, top - 75, top - 50, top - 25, top]
+        assert [got[s].small for s in ("min", "p50", "max")] == [-50, 0, 50]
+        sorted_ = sorted(r.fine for r in df.select("fine").collect())
+        assert [got[s].fine for s in ("min", "p25", "p50", "p75", "max")] == [sorted_[i] for i in (0, 25, 50, 75, 100)]
+    assert [f.dataType for f in sf.typed_summary(df).schema][1:] == [f.dataType for f in df.schema]
+
+
+@pytest.mark.parametrize("enough", [1, 40, 1 << 20])
+def test_typed_values_are_those_at_the_rank(spark, enough):
+    random = np.random.default_rng(5)
+    frame = pd.DataFrame(
+        {
+            "wide": random.integers(-(2**63), 2**63 - 1, 997),
+            "skewed": np.where(random.random(997) < 0.4, 42, random.integers(0, 10**6, 997)),
+            "real": random.normal(0, 1e6, 997),
+        }
+    )
+    got = _typed(spark.createDataFrame(frame).repartition(5), enough=enough)
+    for name in frame:
+        ordered = sorted(frame[name])
+        for s, p in {"min": 0, "p25": 0.25, "p50": 0.5, "p75": 0.75, "max": 1}.items():
+            assert got[s][name] == ordered[max(math.ceil(997 * p) - 1, 0)], (name, s)
+
+
+def test_typed_summary_of_extremes_and_of_nothing(spark):
+    ends = spark.sql("SELECT * FROM VALUES (-9223372036854775808L, -99999999999999999999999999999999999999BD), (9223372036854775807L, 99999999999999999999999999999999999999BD), (NULL, NULL) AS t(b, `d.e`)")
+    got = _typed(ends, enough=1)
+    assert (got["min"].b, got["max"].b, got["p50"].b) == (-(2**63), 2**63 - 1, -(2**63))
+    assert (int(got["min"]["d.e"]), int(got["max"]["d.e"])) == (-(10**38 - 1), 10**38 - 1)
+    odd = spark.createDataFrame([(math.nan, 1), (math.inf, None), (-0.0, 2), (None, 3)], "f double, statistic int")
+    rows_ = {r["_statistic"]: r for r in sf.typed_summary(odd).collect()}
+    assert (rows_["min"].f, rows_["max"].f, rows_["p50"]["statistic"]) == (0.0, math.inf, 2)
+    assert [r.a for r in sf.typed_summary(spark.createDataFrame([], "a int")).collect()] == [None] * 5
+    assert sf.typed_summary(spark.createDataFrame([("x",)], "t string")).columns == ["statistic"]
+
+
+def test_one_scan_tells_the_same_as_the_single_operators(spark, tmp_path):
+    nan = math.nan
+    data = [(1, 9007199254740993, 1.5, "x", None), (2, None, nan, None, None), (None, 9007199254740992, 2.5, "", None)]
+    spark.createDataFrame(data, "a int, `b.c` bigint, f double, t string, d date").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    profiled = sf.column_profile(df)
+    got = profiled.collect()
+    assert [(r.position, r["column"], r.type, r.rows) for r in got] == rows(sf.structure(df))
+    assert [(r.position, r["column"], r.missing) for r in got] == rows(sf.missing_values(df, only_present=False))
+    assert [r["column"] for r in got if r.numeric] == sf.numeric_columns(df)
+    assert [(r.min, r.max) for r in got] == [("1", "2"), ("9007199254740992", "9007199254740993"), ("1.5", "2.5"), (None, None), (None, None)]
+    described = _described(df)
+    assert all((r.mean, r.std) == (described[r["column"]]["mean"], described[r["column"]]["std"]) for r in got if r.numeric)
+    plan = ran(profiled)
+    assert count(plan, r"FileScan|Scan parquet") == 1 and count(plan, r"Exchange SinglePartition") == 1
+    empty = sf.column_profile(df.limit(0)).collect()
+    assert [(r.rows, r.missing, r.min) for r in empty] == [(0, 0, None)] * 5
