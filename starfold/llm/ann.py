@@ -10,6 +10,8 @@ the exact product. R is the radius within which the sample's true neighbours lie
 
 All rows are indexed, in shards of a fixed number of rows, and queries come in blocks of a fixed
 number: a task searches one shard for one block, and the best of all shards are ranked at the end.
+Each row is sent once to every block and each query once to every shard, so for a given memory of a
+task least is moved when a block is as large as a shard.
 """
 
 from __future__ import annotations
@@ -133,7 +135,7 @@ def _rows(column: pd.Series) -> np.ndarray:
 
 def search(
     vectors: DataFrame, is_query: Column, k: int = 20, bits: int = 256, sample: int = 20_000,
-    share: float = 0.97, shard_rows: int = 16_384, block_rows: int = 1_024,
+    share: float = 0.97, shard_rows: int = 16_384, block_rows: int = 16_384,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row of ``vectors`` (``vec_id``, ``embedding``)
     that ``is_query`` holds for, the ``k`` nearest other rows found, nearest first, ties to the
