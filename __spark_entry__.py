@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 import starfold as sf
 from starfold.functions import composite_label
+from starfold.operators.star import period_columns
 from starfold.plans import report, retail
 from starfold.plans.session import prepare
 from starfold.plans.sql import register_functions
-from starfold.schema import schema_of
+from starfold.schema import MART_CLUSTER, schema_of
 from starfold.sources import shared_folder
 
 REGION = "ASIA"
@@ -40,7 +41,8 @@ def _shown(reporting: DataFrame) -> DataFrame:
 
 
 def _mart_path(spark: SparkSession, folder: str) -> str:
-    return sf.write_mart(_view(spark, folder), shared_folder(spark, "sales_mart"))
+    sales = retail.reporting(spark, folder, whole=True)
+    return sf.write_mart(sales, shared_folder(spark, "sales_mart"), cluster=MART_CLUSTER, rebalance=False)
 
 
 def _mart(spark: SparkSession, folder: str) -> DataFrame:
@@ -49,7 +51,8 @@ def _mart(spark: SparkSession, folder: str) -> DataFrame:
 
 def _csv(spark: SparkSession, folder: str) -> str:
     """The extract of the mart, so that the sort reads files and the star join runs once."""
-    return sf.export_csv(_mart(spark, folder), shared_folder(spark, "sales_reporting_csv"))
+    path = shared_folder(spark, "sales_reporting_csv")
+    return sf.export_csv(_mart(spark, folder), path, derived=period_columns())
 
 
 def _exported(spark: SparkSession, folder: str) -> DataFrame:

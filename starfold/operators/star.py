@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starfold.functions import quarter_of, year_month, year_of
@@ -25,15 +25,18 @@ def attach_dimension(
     return fact.join(dimension, [key] if isinstance(key, str) else list(key), how)
 
 
+def period_columns(date: str = "SaleDate") -> dict[str, Column]:
+    """Year, quarter and ``YYYY-MM`` of the sale date, by name: a shuffle need not carry them."""
+    return {
+        "SalesYear": year_of(F.col(date)),
+        "SalesQuarter": quarter_of(F.col(date)),
+        "YearMonth": year_month(F.col(date)),
+    }
+
+
 def add_periods(df: DataFrame, date: str = "SaleDate") -> DataFrame:
     """Year, quarter and ``YYYY-MM`` of the sale date."""
-    return df.withColumns(
-        {
-            "SalesYear": year_of(F.col(date)),
-            "SalesQuarter": quarter_of(F.col(date)),
-            "YearMonth": year_month(F.col(date)),
-        }
-    )
+    return df.withColumns(period_columns(date))
 
 
 def customer_columns(customers: DataFrame) -> DataFrame:

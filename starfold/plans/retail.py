@@ -11,7 +11,7 @@ from starfold.operators.star import (
     customer_columns,
     product_columns,
 )
-from starfold.schema import MONEY, REPORTING_COLUMNS
+from starfold.schema import MONEY, REPORTING_COLUMNS, WAREHOUSE_TABLES
 from starfold.sources.buckets import write_bucketed
 
 
@@ -52,17 +52,21 @@ def sale_headers(spark: SparkSession, folder: str) -> DataFrame:
 def sale_lines(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"),
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("TransactionID"),
+        "l_linenumber",
         F.col("l_partkey").alias("ProductID"),
         F.col("l_suppkey").alias("StoreID"),
         F.col("l_extendedprice").cast(MONEY).alias("SaleAmount"),
     )
 
 
+def _numbered(lines: DataFrame) -> DataFrame:
+    """Lines with their number as one text, which is made after the joins: they carry its two parts."""
+    return lines.withColumn("TransactionID", F.concat_ws("-", "o_orderkey", "l_linenumber"))
+
+
 def fact_sales(spark: SparkSession, folder: str) -> DataFrame:
-    return attach_dimension(
-        sale_lines(spark, folder), sale_headers(spark, folder), "o_orderkey"
-    ).drop("o_orderkey")
+    joined = attach_dimension(sale_lines(spark, folder), sale_headers(spark, folder), "o_orderkey")
+    return _numbered(joined).select(*WAREHOUSE_TABLES["fact_sales"])
 
 
 def dim_customers(spark: SparkSession, folder: str) -> DataFrame:
@@ -89,29 +93,36 @@ def dim_products(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def reporting(spark: SparkSession, folder: str) -> DataFrame:
+def reporting(spark: SparkSession, folder: str, whole: bool = False) -> DataFrame:
     """The reporting relation.
 
     Customers and calendar parts belong to the order, so they are attached to the headers, before
     the lines are joined: that shuffle then carries rows already cut to the wanted regions and
     dates, and a large customer dimension costs a shuffle of the orders only. How the headers meet
     the lines is for adaptive execution to decide, by the size that they turn out to have.
+
+    ``whole``: for a reader of all rows and columns, such as a mart. Lines then get their product
+    first, while they are narrow, and what the headers add is shuffled with no line. The rows are the same.
     """
-    return _joined(sale_lines(spark, folder), _known_headers(spark, folder), dim_products(spark, folder))
+    return _joined(
+        sale_lines(spark, folder), _known_headers(spark, folder), dim_products(spark, folder), whole
+    )
 
 
 def _known_headers(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders with calendar parts and their customer."""
+    """Orders with their customer."""
     return attach_dimension(
-        add_periods(sale_headers(spark, folder)), customer_columns(dim_customers(spark, folder)), "CustomerID"
+        sale_headers(spark, folder), customer_columns(dim_customers(spark, folder)), "CustomerID"
     )
 
 
-def _joined(lines: DataFrame, headers: DataFrame, products: DataFrame) -> DataFrame:
-    joined = attach_dimension(
-        attach_dimension(lines, headers, "o_orderkey"), product_columns(products), "ProductID"
-    )
-    return joined.select(*REPORTING_COLUMNS)
+def _joined(
+    lines: DataFrame, headers: DataFrame, products: DataFrame, products_first: bool = False
+) -> DataFrame:
+    steps = [(headers, "o_orderkey"), (product_columns(products), "ProductID")]
+    for dimension, key in reversed(steps) if products_first else steps:
+        lines = attach_dimension(lines, dimension, key)
+    return add_periods(_numbered(lines)).select(*REPORTING_COLUMNS)
 
 
 def stored_reporting(

@@ -23,6 +23,10 @@ REPORTING_COLUMNS: tuple[str, ...] = (
     "StoreID", "CampaignID", "SaleAmount",
 )
 
+# Order of rows inside the files of the mart: what slices ask for, then other columns
+# of few values, whose runs pack well in the files and in shuffles of what is read from them.
+MART_CLUSTER: tuple[str, ...] = ("Region", "Category", "ProductName", "CampaignID")
+
 
 def reporting_schema(
     *,

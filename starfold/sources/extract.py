@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,6 +43,7 @@ def export_csv(
     order: Sequence[str] = ("SaleDate", "TransactionID"),
     mode: str = "overwrite",
     rows_per_file: int = _ROWS_PER_FILE,
+    derived: Mapping[str, Column] | None = None,
 ) -> str:
     """Write a relation as CSV part files with a header, globally sorted.
 
@@ -53,15 +54,12 @@ def export_csv(
 
     The range sort samples its input by computing it, so give it a stored relation, such as the
     mart. A file with values of several lines is read by one task; ``rows_per_file`` bounds it.
+
+    The shuffle carries what it must: no hash, which is only a key, and none of ``derived``, columns
+    that follow from others, by what they are made of; they are made again after it.
     """
-    rest = [f.name for f in df.schema if f.name not in order]
-    tie = F.xxhash64(*[col(c) for c in rest]) if rest else F.lit(0)
-    keys = [*[col(c).asc_nulls_last() for c in order], F.col(_TIE)]
     (
-        df.withColumns({_TIE: tie, _SOURCE: F.spark_partition_id()})
-        .repartitionByRange(*keys, F.col(_SOURCE))
-        .sortWithinPartitions(*keys)
-        .drop(_TIE, _SOURCE)
+        _ordered(df, order, derived or {})
         .write.mode(mode)
         .options(**_SHAPE, maxRecordsPerFile=rows_per_file)
         .csv(path)
@@ -69,6 +67,22 @@ def export_csv(
     return path
 
 
+def _ordered(df: DataFrame, order: Sequence[str], derived: Mapping[str, Column]) -> DataFrame:
+    derived = {c: made for c, made in derived.items() if c not in order}
+    carried = df.drop(*derived)
+    rest = [c for c in carried.columns if c not in order]
+    tie = F.xxhash64(*[col(c) for c in rest]) if rest else F.lit(0)
+    keys = [col(c).asc_nulls_last() for c in order]
+    return (
+        carried.withColumn(_SOURCE, F.spark_partition_id())
+        .repartitionByRange(*keys, tie, F.col(_SOURCE))
+        .withColumn(_TIE, tie)
+        .sortWithinPartitions(*keys, F.col(_TIE))
+        .withColumns(derived)
+        .select(*[col(c) for c in df.columns])
+    )
+
+
 def _header(spark: SparkSession, path: str) -> list[str]:
     return spark.read.options(**_SHAPE).csv(path).columns
 

@@ -17,24 +17,33 @@ def write_mart(
     partition: str = "SalesYear",
     cluster: Sequence[str] = ("Region", "Category"),
     mode: str = "overwrite",
+    rebalance: bool = True,
 ) -> str:
     """Write partitioned by ``partition`` and sorted by ``cluster`` inside each file.
 
     The rebalance hint lets adaptive execution size the files: a year that holds much of the data
     is split over many tasks, small ones are merged, and each task writes to few folders. Sorting
     gives row groups narrow value ranges, so a slice skips most of a partition.
+
+    ``rebalance=False`` is for a wide relation that joins have just dealt over even tasks: it is
+    written by these, without one more shuffle of all its columns, and each task writes a file to
+    every folder it has rows for.
     """
-    cluster = [c for c in cluster if c in df.columns]
     (
-        df.hint("rebalance", col(partition))
-        .sortWithinPartitions(col(partition), *[col(c) for c in cluster])
+        _clustered(df, partition, cluster, rebalance)
         .write.mode(mode)
+        .option("compression", "zstd")
         .partitionBy(partition)
         .parquet(path)
     )
     return path
 
 
+def _clustered(df: DataFrame, partition: str, cluster: Sequence[str], rebalance: bool) -> DataFrame:
+    dealt = df.hint("rebalance", col(partition)) if rebalance else df
+    return dealt.sortWithinPartitions(*[col(c) for c in (partition, *cluster) if c in df.columns])
+
+
 def read_mart(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """The mart; give the schema to keep the column order and to skip reading a file footer."""
     reader = spark.read if schema is None else spark.read.schema(schema)
