@@ -79,7 +79,8 @@ def _warehouse(spark: SparkSession, folder: str) -> str:
         "dim_customers": retail.dim_customers(spark, folder),
         "dim_products": retail.dim_products(spark, folder),
     }.items():
-        frame.write.parquet(f"{path}/{name}")
+        # a dimension keeps the usual codec: the size of its files decides on a broadcast
+        frame.write.parquet(f"{path}/{name}", compression="zstd" if name == "fact_sales" else None)
     return path
 
 

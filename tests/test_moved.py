@@ -8,7 +8,7 @@ import sample
 import starfold as sf
 from plans import count, planned, settings
 from starfold.operators.star import period_columns
-from starfold.plans import retail
+from starfold.plans import report, retail
 from starfold.schema import MART_CLUSTER, schema_of
 from starfold.sources import extract, mart
 
@@ -74,3 +74,13 @@ def test_wide_rows_cross_no_shuffle_before_the_mart(spark, tmp_path):
     found = sf.read_mart(spark, path, schema_of(sales))
     assert found.columns == plain.columns
     assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_a_report_writes_its_mart_from_the_join(spark, tmp_path, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(report, "write_mart", lambda df, path, **how: seen.update({path: how}) or mart.write_mart(df, path, **how))
+    for name, df in zip(("fact_sales", "dim_customers", "dim_products"), sample.star(spark)):
+        df.write.parquet(str(tmp_path / "in" / name))
+    report.run(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert seen[f"{tmp_path}/out/mart"]["rebalance"] is False
+    assert "rebalance" not in seen[f"{tmp_path}/out/cuboid"]
